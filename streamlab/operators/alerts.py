@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 from streamlab.operators import durations as d
 from streamlab.operators.history import (
     HOT_ROWS,
+    History,
     Scan,
     following,
-    hot_keys,
     next_match,
     previous,
     running_count,
@@ -35,9 +35,7 @@ def jump_alarm(
     return seen.where(big).withColumn(f"previous_{value}", F.col(f"_p.{value}")).drop("_p")
 
 
-def _anchor_windows(
-    rows: DataFrame, keys: Sequence[str], ts: str, length: timedelta, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def _anchor_windows(rows: DataFrame, keys: Sequence[str], ts: str, length: timedelta) -> DataFrame:
     """Windows anchored at the first row not covered by the window before: [t0, t0 + length].
 
     Input columns: keys, ``_chain`` (rows of two chains never share a window), ``ts`` and ``_stop`` (time of the event
@@ -99,18 +97,6 @@ def _anchor_windows(
     )
 
 
-def _chains(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], breaks: Column, length: timedelta,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Add ``_chain``: a new one where ``breaks`` holds or the row before is more than ``length`` away."""
-    ts = order[0]
-    hot = hot_keys(rows, keys, order, hot_rows)
-    near = scan(rows, keys, order, {"_before": Scan("last", F.col(ts), inclusive=False)}, hot=hot)
-    new = breaks | F.col("_before").isNull() | (F.col(ts) - F.col("_before") > F.lit(length))
-    return scan(near.withColumn("_new", new), keys, order, {"_chain": running_sum(F.col("_new").cast("long"))}, hot=hot)
-
-
 def no_decrease_alarm(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, length: timedelta,
     hot_rows: int = HOT_ROWS,
@@ -120,29 +106,18 @@ def no_decrease_alarm(
     A rise starts the clock unless it runs; a fall stops it; after an alarm the next rise starts it again.
     """
     ts = order[0]
-    hot = hot_keys(df, keys, order, hot_rows)
-    seen = scan(df, keys, order, {"_p": previous(value)}, hot=hot)
-    before = F.col(f"_p.{value}")
-    seen = seen.withColumn("_fall", F.coalesce(F.col(value) < before, F.lit(False))).withColumn(
-        "_rise", F.coalesce(F.col(value) > before, F.lit(True))
-    )
-    islands = scan(
-        seen, keys, order,
-        {"_island": running_sum(F.col("_fall").cast("long")), "_f": next_match(F.col("_fall"), ts)}, hot=hot,
-    )
-    rises = islands.where("_rise").select(*keys, *[o for o in order if o not in keys], "_island",
-                                          F.col(f"_f.{ts}").alias("_stop"))
-    # rises of one island follow each other; the island number is part of the chain, so no row can join two of them
-    hot_rises = hot_keys(rises, keys, order, hot_rows)
-    near = scan(rises, keys, order, {"_b": previous(ts, "_island")}, hot=hot_rises)
-    breaks = F.col("_b").isNull() | (F.col("_b._island") != F.col("_island")) | (
-        F.col(ts) - F.col(f"_b.{ts}") > F.lit(length)
-    )
-    chained = scan(
-        near.withColumn("_new", breaks), keys, order, {"_chain": running_sum(F.col("_new").cast("long"))},
-        hot=hot_rises,
+    seen = History.of(df, keys, order, hot_rows).scan(_p=previous(value, ts))
+    before, gap = F.col(f"_p.{value}"), F.col(ts) - F.col(f"_p.{ts}")
+    seen = seen.with_columns(
+        _fall=F.coalesce(F.col(value) < before, F.lit(False)),
+        _rise=F.coalesce(F.col(value) > before, F.lit(True)),
+        _far=F.coalesce(gap > F.lit(length), F.lit(False)),
     )
-    clocks = _anchor_windows(chained, keys, ts, length, hot_rows)
+    # no window reaches over a fall or over a silence longer than itself, so chains are cut there
+    cut = (F.col("_fall") | F.col("_far")).cast("long")
+    chained = seen.scan(_chain=running_sum(cut), _f=next_match(F.col("_fall"), ts))
+    rises = chained.rows.where("_rise").select(*keys, ts, "_chain", F.col(f"_f.{ts}").alias("_stop"))
+    clocks = _anchor_windows(rises, keys, ts, length)
     due = F.col("first_ts") + F.lit(length)
     return clocks.where(F.col("stop_ts").isNull() | (F.col("stop_ts") > due)).select(
         *keys, F.col("first_ts").alias("rise_ts"), due.alias("alarm_ts")
@@ -171,11 +146,12 @@ def fail_windows(
     """
     ts = order[0]
     marked = df.withColumn("_fail", failed)
-    seen = scan(marked, keys, order, {"_p": previous("_fail"), "_f": following("_fail", ts)}, hot_rows)
-    fails = seen.where("_fail").withColumn("_stop", F.when(~F.col("_f._fail"), F.col(f"_f.{ts}")))
-    breaks = F.coalesce(~F.col("_p._fail"), F.lit(True))
-    chained = _chains(fails, keys, order, breaks, length, hot_rows)
-    opened = _anchor_windows(chained, keys, ts, length, hot_rows)
+    seen = History.of(marked, keys, order, hot_rows).scan(_p=previous("_fail", ts), _f=following("_fail", ts))
+    adjacent = F.col("_p._fail") & (F.col(ts) - F.col(f"_p.{ts}") <= F.lit(length))
+    cut = (F.col("_fail") & ~F.coalesce(adjacent, F.lit(False))).cast("long")
+    fails = seen.scan(_chain=running_sum(cut)).rows.where("_fail")
+    fails = fails.select(*keys, ts, "_chain", F.when(~F.col("_f._fail"), F.col(f"_f.{ts}")).alias("_stop"))
+    opened = _anchor_windows(fails, keys, ts, length)
     cancelled = F.coalesce(F.col("stop_ts") <= F.col("first_ts") + F.lit(length), F.lit(False))
     return opened.where(~cancelled & (F.col("cnt") >= at_least)).drop("stop_ts")
 

@@ -1,24 +1,24 @@
 """Running and neighbour columns over the ordered history of each key.
 
 A plain window function sends all rows of a key to one task. That is fine until one key holds a large share of the
-table, so ``scan`` splits the history of such *hot* keys into slices along the order column:
+table, so a ``History`` splits the rows of such *hot* keys into slices along the order column:
 
 1. ``hot_keys`` counts rows per key (partial aggregation, only the key and the order column are read) and keeps the
    keys above ``hot_rows``. There can be at most ``rows / hot_rows`` of them, which bounds the broadcast.
-2. Rows are grouped by (key, slice); keys that are not hot have the single slice NULL.
+2. Rows are grouped by (key, slice); keys that are not hot have the single slice NULL. This is the only shuffle of whole
+   rows, also when several scans follow each other.
 3. Each slice of a hot key is reduced to one summary row, and what a slice needs to know about its neighbours (running
    total so far, last value seen, next match ahead) is carried over these few rows.
-4. The carried values enter the slice as an edge row, the usual window functions run per (key, slice), and the edge
-   rows are filtered out again.
+4. The usual window functions run per (key, slice) and the carried value is joined on and combined with theirs. The rows
+   are already partitioned and sorted for this join; a small carry table is turned into a broadcast at run time.
 
-Every column is exact; slicing only changes how the work is spread.
+Every column is exact; slicing only changes how the work is spread. Rows with a NULL key count as one key that is never
+sliced.
 """
-
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from functools import reduce
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,8 +27,6 @@ from pyspark.sql import types as T
 HOT_ROWS = 1_000_000
 
 SLICE = "_slice"
-_EDGE = "_edge"
-_FRONT, _ROW, _BACK = 0, 1, 2
 
 
 @dataclass(frozen=True)
@@ -45,8 +43,33 @@ class Scan:
     ahead: bool = False
     peers: bool = False
 
-    def over_rows(self) -> Column:
-        return {"sum": F.sum, "max": F.max, "min": F.min}[self.fn](self.value)
+    def over(self, value: Column) -> Column:
+        """The aggregate in scan direction: rows ahead are read in descending order, so *first* becomes *last*."""
+        if self.fn in ("first", "last"):
+            return (F.last if self._nearest() else F.first)(value, ignorenulls=True)
+        return {"sum": F.sum, "max": F.max, "min": F.min}[self.fn](value)
+
+    def summary(self, value: Column, order: Sequence[str]) -> Column:
+        """The aggregate over a whole slice."""
+        at = F.when(value.isNotNull(), F.struct(*order))
+        return {
+            "first": lambda: F.min_by(value, at),
+            "last": lambda: F.max_by(value, at),
+            "sum": lambda: F.sum(value),
+            "max": lambda: F.max(value),
+            "min": lambda: F.min(value),
+        }[self.fn]()
+
+    def combine(self, carried: Column, local: Column) -> Column:
+        if self.fn in ("first", "last"):
+            return F.coalesce(local, carried) if self._nearest() else F.coalesce(carried, local)
+        if self.fn == "sum":
+            return F.coalesce(carried + local, carried, local)
+        return (F.greatest if self.fn == "max" else F.least)(carried, local)
+
+    def _nearest(self) -> bool:
+        """Whether the value closest to the current row wins."""
+        return (self.fn == "last") != self.ahead
 
 
 def running_sum(value: Column, inclusive: bool = True, peers: bool = False) -> Scan:
@@ -102,90 +125,90 @@ def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows:
     """Keys with more than ``hot_rows`` rows, with the range of their order column and the number of slices."""
     pos = position(df, order[0])
     return (
-        df.groupBy(*keys)
+        df.where(" and ".join(f"`{k}` is not null" for k in keys))
+        .groupBy(*keys)
         .agg(F.count("*").alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi"))
         .where(F.col("_n") > hot_rows)
         .select(*keys, "_lo", "_hi", F.ceil(F.col("_n") / hot_rows).alias("_parts"))
     )
 
 
-def _sliced(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str], how: str) -> DataFrame:
-    """Rows with their slice; ``how='inner'`` keeps the hot keys only."""
-    small = F.broadcast(hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_lo", "_hi", "_parts"))
-    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    share = (position(df, order[0]) - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-    number = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * F.col("_parts")), F.col("_parts") - 1)
-    return (
-        df.join(small, same_key, how)
-        .withColumn(SLICE, F.when(F.col("_parts").isNotNull(), F.greatest(number, F.lit(0))))
-        .drop(*[f"_hot_{k}" for k in keys], "_lo", "_hi", "_parts")
-    )
-
-
-def _summary(name: str, scan: Scan, order: Sequence[str]) -> Column:
-    value = F.col(name)
-    at = F.when(value.isNotNull(), F.struct(*order))
-    if scan.fn == "first":
-        return F.min_by(value, at).alias(name)
-    if scan.fn == "last":
-        return F.max_by(value, at).alias(name)
-    return Scan(scan.fn, value).over_rows().alias(name)
+@dataclass(frozen=True)
+class History:
+    """Rows with their slice. ``scan`` and the row-wise methods give a new History over the same slices.
 
+    ``order`` must be ascending and total within a key (add an id as the last column); its first column must be a
+    number, date or timestamp.
+    """
 
-def _over(scan: Scan, value: Column) -> Column:
-    """The aggregate in scan direction: rows ahead are read in descending order, so *first* becomes *last*."""
-    if scan.fn in ("first", "last"):
-        nearest = (scan.fn == "last") != scan.ahead
-        return (F.last if nearest else F.first)(value, ignorenulls=True)
-    return Scan(scan.fn, value).over_rows()
+    sliced: DataFrame
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+
+    @staticmethod
+    def of(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS) -> History:
+        hot = hot_keys(df, keys, order, hot_rows)
+        share = (position(df, order[0]) - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
+        number = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * F.col("_parts")), F.col("_parts") - 1)
+        sliced = (
+            df.join(F.broadcast(hot), list(keys), "left")
+            .withColumn(SLICE, F.when(F.col("_parts").isNotNull(), F.greatest(number, F.lit(0))))
+            .select(*df.columns, SLICE)
+        )
+        return History(sliced, tuple(keys), tuple(order))
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.sliced.drop(SLICE)
+
+    def with_columns(self, **columns: Column) -> History:
+        return replace(self, sliced=self.sliced.withColumns(columns))
+
+    def where(self, condition: Column) -> History:
+        return replace(self, sliced=self.sliced.where(condition))
+
+    def drop(self, *columns: str) -> History:
+        return replace(self, sliced=self.sliced.drop(*columns))
+
+    def scan(self, **columns: Scan) -> History:
+        """Add the columns to every row."""
+        group = [*self.keys, SLICE]
+        forward = Window.partitionBy(*group).orderBy(*self.order)
+        backward = Window.partitionBy(*group).orderBy(*[F.desc(o) for o in self.order])
+        local = []
+        for name, s in columns.items():
+            window = backward if s.ahead else forward
+            if s.peers:
+                window = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+            else:
+                window = window.rowsBetween(Window.unboundedPreceding, 0 if s.inclusive else -1)
+            local.append(s.over(s.value).over(window).alias(f"_local_{name}"))
+        kept = [c for c in self.sliced.columns if c not in columns]
+        carried = self._carried(columns)
+        joined = self.sliced.select("*", *local).join(carried, group, "left")
+        results = [s.combine(F.col(f"_carry_{n}"), F.col(f"_local_{n}")).alias(n) for n, s in columns.items()]
+        return replace(self, sliced=joined.select(*kept, *results))
+
+    def _carried(self, columns: dict[str, Scan]) -> DataFrame:
+        """Per slice of a hot key, each column's value over all slices before it (or after it)."""
+        # the slice is NULL for other keys, so this filter turns the join with the hot keys into an inner one
+        summary = (
+            self.sliced.where(F.col(SLICE).isNotNull())
+            .groupBy(*self.keys, SLICE)
+            .agg(*[s.summary(s.value, self.order).alias(f"_carry_{n}") for n, s in columns.items()])
+        )
+        by_key = Window.partitionBy(*self.keys)
+        earlier = by_key.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+        later = by_key.orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+        carries = [
+            s.over(F.col(f"_carry_{n}")).over(later if s.ahead else earlier).alias(f"_carry_{n}")
+            for n, s in columns.items()
+        ]
+        return summary.select(*self.keys, SLICE, *carries)
 
 
 def scan(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    columns: dict[str, Scan],
-    hot_rows: int = HOT_ROWS,
-    hot: DataFrame | None = None,
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, Scan], hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Add the ``columns`` to every row of ``df``; see the module text for how hot keys are spread.
-
-    ``order`` must be ascending and total within a key (add an id as the last column); its first column must be a
-    number, date or timestamp. Pass ``hot`` from ``hot_keys`` to share it between several scans over the same rows.
-    """
-    hot = hot_keys(df, keys, order, hot_rows) if hot is None else hot
-    names = {name: f"_v{i}" for i, name in enumerate(columns)}
-    values = [columns[name].value.alias(alias) for name, alias in names.items()]
-    rows = _sliced(df, hot, keys, order, "left").select("*", *values, F.lit(_ROW).alias(_EDGE))
-
-    summary = (
-        _sliced(df, hot, keys, order, "inner")
-        .select(*keys, *[o for o in order if o not in keys], SLICE, *values)
-        .groupBy(*keys, SLICE)
-        .agg(*[_summary(alias, columns[name], order) for name, alias in names.items()])
-    )
-    by_slice = Window.partitionBy(*keys)
-    earlier = by_slice.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    later = by_slice.orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
-
-    parts = [rows]
-    for edge, ahead, window in ((_FRONT, False, earlier), (_BACK, True, later)):
-        wanted = {n: a for n, a in names.items() if columns[n].ahead == ahead}
-        if wanted:
-            carried = [_over(columns[n], F.col(a)).over(window).alias(a) for n, a in wanted.items()]
-            parts.append(summary.select(*keys, SLICE, F.lit(edge).alias(_EDGE), *carried))
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-    forward = Window.partitionBy(*keys, SLICE).orderBy(_EDGE, *order)
-    backward = Window.partitionBy(*keys, SLICE).orderBy(F.desc(_EDGE), *[F.desc(o) for o in order])
-    derived = []
-    for name, alias in names.items():
-        s = columns[name]
-        window = backward if s.ahead else forward
-        if s.peers:
-            window = window.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-        else:
-            window = window.rowsBetween(Window.unboundedPreceding, 0 if s.inclusive else -1)
-        derived.append(_over(s, F.col(alias)).over(window).alias(name))
-    kept = [c for c in df.columns if c not in columns]
-    return stacked.select(*kept, _EDGE, *derived).where(F.col(_EDGE) == _ROW).drop(_EDGE)
+    """One scan over ``df``; use ``History`` for several in a row."""
+    return History.of(df, keys, order, hot_rows).scan(**columns).rows

@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlab.operators.history import HOT_ROWS, following, hot_keys, next_match, scan
+from streamlab.operators.history import HOT_ROWS, History, following, next_match
 
 NEXT, FOLLOWED_BY, NOT_FOLLOWED_BY = "next", "followed_by", "not_followed_by"
 
@@ -96,7 +96,7 @@ def match_pattern(
     rows = df.select(*carried, *[c.alias(n) for n, c in flags.items()])
     if not any(s.contiguity == NEXT for s in stages):
         rows = rows.where(reduce(lambda a, b: a | b, [F.col(n) for n in flags]))
-    hot = hot_keys(rows, keys, order, hot_rows)
+    history = History.of(rows, keys, order, hot_rows)
     event = list(dict.fromkeys([ts, *columns]))
     for i in range(len(stages) - 1, 0, -1):
         rest = [f"_s{i + 1}"] if i + 1 < len(stages) else []
@@ -104,7 +104,7 @@ def match_pattern(
             found = following(*event, f"_is{i}", *rest)
         else:
             found = next_match(F.col(f"_is{i}"), *event, f"_is{i}", *rest)
-        rows = scan(rows, keys, order, {f"_s{i}": found}, hot=hot).drop(*rest)
+        history = history.scan(**{f"_s{i}": found}).drop(*rest)
 
     start = F.col(ts)
     path, ok, waiting, alive = "", {}, F.lit(False), F.lit(True)
@@ -128,11 +128,10 @@ def match_pattern(
     if pattern.absent is not None:
         reached = ok[len(stages) - 2][0] if len(stages) > 2 else F.lit(True)
         found = ok[len(stages) - 1][0]
-        early = waiting if len(stages) == 2 else waiting & ~reached
-        status = F.when(reached & ~found, "matched").when(~reached & early, "timeout")
+        status = F.when(reached & ~found, "matched").when(~reached & waiting, "timeout")
     else:
         status = F.when(alive, "matched").when(waiting, "timeout")
-    return rows.where("_is0").select(*keys, *out, status.alias("status")).where("status is not null")
+    return history.rows.where("_is0").select(*keys, *out, status.alias("status")).where("status is not null")
 
 
 def joined_events(pattern: Pattern, column: str, separator: str = "->") -> str:

@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from streamlab.operators.history import (
     HOT_ROWS,
     first_so_far,
-    hot_keys,
     previous,
     running_count,
     running_max,
@@ -73,9 +72,8 @@ def history_text(key: str, depth: str) -> Column:
 def over_range(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, hot_rows: int = HOT_ROWS
                ) -> DataFrame:
     """OVER window with the default RANGE frame: rows tied in the order column share the result."""
-    hot = hot_keys(df, keys, order, hot_rows)
-    return scan(df, keys, order, {"over_count": running_count(peers=True),
-                                  "over_max": running_max(F.col(value), peers=True)}, hot=hot)
+    columns = {"over_count": running_count(peers=True), "over_max": running_max(F.col(value), peers=True)}
+    return scan(df, keys, order, columns, hot_rows)
 
 
 def changelog(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "cnt", hot_rows: int = HOT_ROWS

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from streamlab.operators import durations as d
 from streamlab.operators.history import (
     HOT_ROWS,
+    History,
     Scan,
-    hot_keys,
     last_so_far,
     running_count,
     scan,
@@ -98,13 +98,25 @@ def hop(
     """Sliding windows in two steps: aggregate per pane, then merge the panes of each window.
 
     A pane is the greatest common divisor of size and slide, so it lies wholly inside or outside a window and rows are
-    shuffled once per pane instead of once per window.
+    shuffled once per pane instead of once per window. Panes are copied with one ``explode``; the expression Spark
+    generates for a sliding ``window`` has a branch per copy and does not compile for hundreds of them.
     """
     pane = timedelta(microseconds=gcd(d.micros(size), d.micros(slide)))
     partials = [column for n, a in aggs.items() for column in a.partial(n)]
     panes = df.groupBy(*keys, window_of(ts, pane)).agg(*partials).withColumn("_pane", F.col("window.start"))
-    merged = panes.drop("window").groupBy(*keys, window_of("_pane", size, slide))
-    return _bounds(merged.agg(*[a.merge(n) for n, a in aggs.items()]))
+    newest = F.col("window.start")
+    oldest = F.col("_newest") - F.lit((-(-d.micros(size) // d.micros(slide)) - 1) * slide)
+    copies = (
+        panes.withColumn("window", window_of("_pane", slide))
+        .withColumn("_newest", newest)
+        .drop("window")
+        .withColumn("_oldest", oldest)
+        .withColumn("window_start", F.explode(F.sequence("_oldest", "_newest", F.lit(slide))))
+    )
+    if d.micros(size) % d.micros(slide):
+        copies = copies.where(F.col("window_start") + F.lit(size) > F.col("_pane"))
+    merged = copies.groupBy(*keys, "window_start").agg(*[a.merge(n) for n, a in aggs.items()])
+    return merged.select(*keys, "window_start", (F.col("window_start") + F.lit(size)).alias("window_end"), *aggs)
 
 
 def hop_count(
@@ -151,12 +163,9 @@ def with_session(
 ) -> DataFrame:
     """Add ``session_start`` to every row: a session ends when the key is silent for more than ``gap``."""
     ts = order[0]
-    hot = hot_keys(df, keys, order, hot_rows)
-    before = scan(df, keys, order, {"_before": Scan("last", F.col(ts), inclusive=False)}, hot=hot)
+    history = History.of(df, keys, order, hot_rows).scan(_before=Scan("last", F.col(ts), inclusive=False))
     opens = F.col("_before").isNull() | (F.col(ts) - F.col("_before") > F.lit(gap))
-    return scan(
-        before, keys, order, {"session_start": last_so_far(F.when(opens, F.col(ts)))}, hot=hot
-    ).drop("_before")
+    return history.scan(session_start=last_so_far(F.when(opens, F.col(ts)))).drop("_before").rows
 
 
 def session(
