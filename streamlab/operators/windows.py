@@ -61,10 +61,9 @@ class Agg:
 
 
 def _bounds(df: DataFrame) -> DataFrame:
-    rest = [c for c in df.columns if c != "window"]
-    at = next((i for i, c in enumerate(rest) if c.startswith("__end")), len(rest))
-    return df.select(*rest[:at], F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                     *rest[at:])
+    at = df.columns.index("window")
+    bounds = [F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end")]
+    return df.select(*df.columns[:at], *bounds, *df.columns[at + 1:])
 
 
 def window_of(ts: str, size: timedelta, slide: timedelta | None = None, offset: timedelta | None = None) -> Column:
@@ -122,32 +121,28 @@ def hop(
 def hop_count(
     df: DataFrame, keys: Sequence[str], ts: str, size: timedelta, slide: timedelta, name: str = "cnt"
 ) -> DataFrame:
-    """Sliding counts for a large fan-out (``slide`` must divide ``size``).
+    """Sliding counts without copying rows or panes (``slide`` must divide ``size``).
 
     Each pane raises the count of its windows at one window end and lowers it again ``size`` later. A running sum over
     these changes gives the level between two of them, and the windows are written out from there, so the shuffle
-    carries two rows per pane, not one per window. A key has at most two change rows per slide of the time covered,
-    however many input rows it has.
+    carries two rows per pane instead of one per window. A key has at most two change rows per slide of the time
+    covered, however many input rows it has.
     """
     if d.micros(size) % d.micros(slide):
         raise ValueError("slide must divide size; use hop")
     panes = df.groupBy(*keys, window_of(ts, slide)).agg(F.count("*").alias("_c"))
     end = F.col("window.end")
-    change = F.explode(
-        F.array(
-            F.struct(end.alias("_at"), F.col("_c").alias("_by")),
-            F.struct((end + F.lit(size)).alias("_at"), (-F.col("_c")).alias("_by")),
-        )
-    ).alias("_change")
-    changes = panes.select(*keys, change).groupBy(*keys, F.col("_change._at").alias("_at"))
-    changes = changes.agg(F.sum("_change._by").alias("_by"))
+    rise = F.struct(end.alias("_at"), F.col("_c").alias("_by"))
+    fall = F.struct((end + F.lit(size)).alias("_at"), (-F.col("_c")).alias("_by"))
+    changes = panes.select(*keys, F.inline(F.array(rise, fall)))
     in_time = Window.partitionBy(*keys).orderBy("_at")
+    # changes at the same time are peers and share the level; only the last of them has a later successor
     levels = changes.select(
         *keys,
         "_at",
-        F.sum("_by").over(in_time.rowsBetween(Window.unboundedPreceding, 0)).alias(name),
+        F.sum("_by").over(in_time.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias(name),
         F.lead("_at").over(in_time).alias("_until"),
-    ).where(F.col(name) > 0)
+    ).where((F.col(name) > 0) & (F.col("_until") > F.col("_at")))
     ends = F.sequence("_at", F.col("_until") - F.lit(slide), F.lit(slide))
     return levels.select(*keys, F.explode(ends).alias("window_end"), name).select(
         *keys, (F.col("window_end") - F.lit(size)).alias("window_start"), "window_end", name

@@ -7,7 +7,6 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from streamlab.operators import alerts, joins, patterns, windows
-from streamlab.operators.windows import Agg
 from streamlab.plans.registry import events, query
 
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
@@ -166,8 +165,7 @@ def province_count(spark, d):
       FROM events, generate_series(1, 12) s(k))
     GROUP BY event_type, user_id, e""")
 def channel_count(spark, d):
-    return windows.hop(events(spark, d), ["event_type", "user_id"], "ts", HOUR, timedelta(minutes=5),
-                       {"cnt": Agg("count")})
+    return windows.hop_count(events(spark, d), ["event_type", "user_id"], "ts", HOUR, timedelta(minutes=5))
 
 
 _NEXT = """(SELECT *, lead(event_id) OVER w AS e2, lead(event_type) OVER w AS t2, lead(ts) OVER w AS ts2,

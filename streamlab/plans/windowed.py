@@ -203,7 +203,7 @@ def uv_running(spark, d):
 def hot_items(spark, d, n: int = 5):
     """Most viewed items of each 1 h window sliding by 5 min."""
     views = events(spark, d).where("event_type = 'view'").select(F.col("user_id").alias("item_id"), "ts")
-    counts = windows.hop(views, ["item_id"], "ts", HOUR, 5 * MINUTE, CNT)
+    counts = windows.hop_count(views, ["item_id"], "ts", HOUR, 5 * MINUTE)
     return top_n(counts, ["window_end"], [F.desc("cnt"), F.asc("item_id")], n)
 
 
