@@ -35,8 +35,11 @@ class Machine:
 
 
 class _InOrder(StatefulProcessor):
-    def __init__(self, machine: Machine, order: Sequence[str], row_schema: T.StructType) -> None:
+    def __init__(
+        self, machine: Machine, order: Sequence[str], row_schema: T.StructType, output_names: Sequence[str]
+    ) -> None:
         self.machine, self.order, self.row_schema = machine, list(order), row_schema
+        self.result = Row(*output_names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -81,7 +84,7 @@ class _InOrder(StatefulProcessor):
         if pending:
             self._wake_at(min(pending))
         for values in out:
-            yield Row(*key, *values)
+            yield self.result(*key, *values)
 
     def _wake_at(self, us: int) -> None:
         at = -(-us // 1000)
@@ -106,8 +109,8 @@ def run_machine(
     """
     needed = list(dict.fromkeys([*columns, *order]))
     with_us = stream.select(*keys, ts, *[c for c in needed if c not in (*keys, ts)], F.unix_micros(ts).alias(_US))
-    processor = _InOrder(machine, order, with_us.schema)
     output = T.StructType([*[stream.schema[k] for k in keys], *machine.output_schema.fields])
+    processor = _InOrder(machine, order, with_us.schema, output.names)
     return with_us.groupBy(*keys).transformWithState(
         statefulProcessor=processor, outputStructType=output, outputMode="append", timeMode="eventTime"
     )

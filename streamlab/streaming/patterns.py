@@ -75,5 +75,6 @@ def match_stream(
     flags = {f"_is{i}": F.coalesce(F.expr(s.where), F.lit(False)) for i, s in enumerate(stages)}
     flagged = stream.select(*keys, ts, row_id, *[c.alias(n) for n, c in flags.items()])
     if not any(s.contiguity == NEXT for s in stages):
-        flagged = flagged.where(" or ".join(flags))
+        # naming the time column keeps this filter above the watermark, which all rows should move
+        flagged = flagged.where(F.when(F.col(ts).isNotNull(), F.expr(" or ".join(flags))))
     return run_machine(flagged, keys, ts, _Matches(pattern, row_id), [row_id, *flags], order=[row_id])

@@ -20,7 +20,9 @@ Fold = Callable[[tuple | None, Row], tuple]
 
 
 class _RunningFold(StatefulProcessor):
-    def __init__(self, fold: Fold, state_schema: T.StructType, order: Sequence[str], keep: Sequence[str]) -> None:
+    def __init__(self, fold: Fold, state_schema: T.StructType, order: Sequence[str], keep: Sequence[str],
+                 output_names: Sequence[str]) -> None:
+        self.result = Row(*output_names)
         self.fold, self.state_schema, self.order, self.keep = fold, state_schema, list(order), list(keep)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
@@ -31,7 +33,7 @@ class _RunningFold(StatefulProcessor):
         state = None if state is None else tuple(state)
         for row in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
             state = self.fold(state, row)
-            yield Row(*key, *[row[c] for c in self.keep], *state)
+            yield self.result(*key, *[row[c] for c in self.keep], *state)
         self.state.update(state)
 
     def close(self) -> None:
@@ -43,8 +45,8 @@ def running_fold(
     fold: Fold,
 ) -> DataFrame:
     """After each row: its ``keep`` columns and the folded state of its key (sum, max, reduce, count, ...)."""
-    processor = _RunningFold(fold, state_schema, order, keep)
     output = T.StructType([*[stream.schema[c] for c in [*keys, *keep]], *state_schema.fields])
+    processor = _RunningFold(fold, state_schema, order, keep, output.names)
     return stream.groupBy(*keys).transformWithState(processor, output, "append", "none")
 
 
@@ -56,7 +58,11 @@ def running_count(stream: DataFrame, keys: Sequence[str], order: Sequence[str],
 class _CountWindow(StatefulProcessor):
     """Keeps the last ``size`` values; fires every ``slide`` rows, or only on full windows if ``full``."""
 
-    def __init__(self, value: str, kind: T.DataType, order: Sequence[str], size: int, slide: int, full: bool) -> None:
+    def __init__(
+        self, value: str, kind: T.DataType, order: Sequence[str], size: int, slide: int, full: bool,
+        output_names: Sequence[str],
+    ) -> None:
+        self.result = Row(*output_names)
         self.value, self.kind, self.order = value, kind, list(order)
         self.size, self.slide, self.full = size, slide, full
 
@@ -70,7 +76,7 @@ class _CountWindow(StatefulProcessor):
         for row in sorted(rows, key=lambda r: tuple(r[c] for c in self.order)):
             n, last = n + 1, [*last, row[self.value]][-self.size:]
             if n % self.slide == 0 and (len(last) == self.size or not self.full):
-                yield Row(*key, n, len(last), list(last))
+                yield self.result(*key, n, len(last), list(last))
         self.state.update((n, last))
 
     def close(self) -> None:
@@ -89,11 +95,14 @@ def count_window(
         *[stream.schema[k] for k in keys], T.StructField("row_no", T.LongType()), T.StructField("cnt", T.IntegerType()),
         T.StructField("items", T.ArrayType(kind)),
     ])
-    processor = _CountWindow(value, kind, order, size, slide or size, slide is None)
+    processor = _CountWindow(value, kind, order, size, slide or size, slide is None, output.names)
     return stream.groupBy(*keys).transformWithState(processor, output, "append", "none")
 
 
 class _Changelog(StatefulProcessor):
+    def __init__(self, output_names: Sequence[str]) -> None:
+        self.result = Row(*output_names)
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.count = handle.getValueState("count", "cnt long")
 
@@ -102,8 +111,8 @@ class _Changelog(StatefulProcessor):
         old = 0 if stored is None else stored[0]
         new = old + sum(1 for _ in rows)
         if old:
-            yield Row(*key, False, old)
-        yield Row(*key, True, new)
+            yield self.result(*key, False, old)
+        yield self.result(*key, True, new)
         self.count.update((new,))
 
     def close(self) -> None:
@@ -114,14 +123,14 @@ def changelog_count(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Changelog of a count per key, one change per micro-batch: the old row withdrawn, the new one added."""
     fields = [T.StructField("is_add", T.BooleanType()), T.StructField("cnt", T.LongType())]
     output = T.StructType([*[stream.schema[k] for k in keys], *fields])
-    return stream.select(*keys).groupBy(*keys).transformWithState(_Changelog(), output, "append", "none")
+    return stream.select(*keys).groupBy(*keys).transformWithState(_Changelog(output.names), output, "append", "none")
 
 
 class _LateSplit(StatefulProcessor):
     """Tags rows against the watermark of this operator; the bound was taken off the closing time beforehand."""
 
-    def __init__(self, keep: Sequence[str]) -> None:
-        self.keep = list(keep)
+    def __init__(self, keep: Sequence[str], output_names: Sequence[str]) -> None:
+        self.keep, self.result = list(keep), Row(*output_names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -129,7 +138,7 @@ class _LateSplit(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
         for row in rows:
-            yield Row(*key, *[row[c] for c in self.keep], row["_closes_ms"] <= watermark)
+            yield self.result(*key, *[row[c] for c in self.keep], row["_closes_ms"] <= watermark)
 
     def close(self) -> None:
         pass
@@ -148,12 +157,12 @@ def late_split(
     closes = F.unix_millis(last_end) - 1 + (d.micros(lateness) - d.micros(allow) + d.micros(bound)) // 1000
     rows = stream.withWatermark(ts, d.text(allow)).select(*keys, *keep, ts, closes.alias("_closes_ms"))
     output = T.StructType([*[stream.schema[c] for c in [*keys, *keep]], T.StructField("is_late", T.BooleanType())])
-    return rows.groupBy(*keys).transformWithState(_LateSplit(keep), output, "append", "eventTime")
+    return rows.groupBy(*keys).transformWithState(_LateSplit(keep, output.names), output, "append", "eventTime")
 
 
 class _Reminder(StatefulProcessor):
-    def __init__(self, delay_ms: int) -> None:
-        self.delay = delay_ms
+    def __init__(self, delay_ms: int, output_names: Sequence[str]) -> None:
+        self.delay, self.result = delay_ms, Row(*output_names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -166,7 +175,7 @@ class _Reminder(StatefulProcessor):
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield Row(*key, expiredTimerInfo.getExpiryTimeInMs(), self.count.get()[0])
+        yield self.result(*key, expiredTimerInfo.getExpiryTimeInMs(), self.count.get()[0])
 
     def close(self) -> None:
         pass
@@ -176,5 +185,5 @@ def reminder(stream: DataFrame, keys: Sequence[str], delay: timedelta) -> DataFr
     """Processing-time timer: ``delay`` after rows of a key arrive, its count so far."""
     fields = [T.StructField("fired_ms", T.LongType()), T.StructField("cnt", T.LongType())]
     output = T.StructType([*[stream.schema[k] for k in keys], *fields])
-    processor = _Reminder(d.micros(delay) // 1000)
+    processor = _Reminder(d.micros(delay) // 1000, output.names)
     return stream.select(*keys).groupBy(*keys).transformWithState(processor, output, "append", "processingTime")
