@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SALTS = 32
+FLUSH_ROWS = 200_000
 
 
 def text_length(column: str) -> Column:
@@ -40,85 +40,80 @@ def register(spark: SparkSession) -> None:
     spark.udtf.register("split_words", SplitWords)
 
 
-def aggregate_with(
+def reduce_by_key(
     df: DataFrame,
     keys: Sequence[str],
-    state_schema: T.StructType,
-    result_schema: T.StructType,
-    add: Callable[[pd.DataFrame], dict],
-    merge: Callable[[pd.DataFrame], dict],
-    result: Callable[[dict], dict],
-    salts: int = SALTS,
+    schema: T.StructType,
+    add: Callable[[pd.DataFrame], pd.DataFrame],
+    merge: Callable[[pd.DataFrame], pd.DataFrame],
 ) -> DataFrame:
-    """User-defined aggregate with an accumulator: ``add`` rows, ``merge`` accumulators, then ``result``.
+    """Group and reduce with vectorized Python steps.
 
-    Each Arrow batch is reduced to one accumulator per key before anything is shuffled; accumulators are merged in two
-    steps over a salt, so a key that fills a third of the table is merged by many tasks.
+    ``add`` turns a batch of input rows into state rows (``schema``, with the key columns) and ``merge`` reduces state
+    rows of many keys at once. Each task first reduces its own input to few state rows, as Spark's partial aggregation
+    does, so a key that fills a third of the table reaches the shuffle as a handful of rows per task. The final step
+    reads rows sorted by key and holds back only the last key of a batch.
     """
-    key_fields = [df.schema[k] for k in keys]
-    names = [f.name for f in state_schema]
-    partial_schema = T.StructType([*key_fields, *state_schema.fields, T.StructField("_salt", T.IntegerType())])
-    merged_schema = T.StructType([*key_fields, *state_schema.fields])
-
-    def add_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for i, batch in enumerate(batches):
-            rows = [
-                (*key, *[state[n] for n in names], i % salts)
-                for key, part in batch.groupby(list(keys), dropna=False, sort=False)
-                for state in [add(part)]
-            ]
-            yield pd.DataFrame(rows, columns=partial_schema.names)
-
-    def merge_group(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        state = merge(part[names])
-        return pd.DataFrame([(*key[: len(keys)], *[state[n] for n in names])], columns=merged_schema.names)
-
-    def finish(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        value = result(merge(part[names]))
-        return pd.DataFrame([(*key, *[value[f.name] for f in result_schema])],
-                            columns=[*keys, *result_schema.names])
-
-    partial = df.mapInPandas(add_batches, partial_schema)
-    spread = partial.withColumn("_salt", F.pmod(F.col("_salt") + F.spark_partition_id(), F.lit(salts)))
-    merged = spread.groupBy(*keys, "_salt").applyInPandas(merge_group, merged_schema)
-    return merged.groupBy(*keys).applyInPandas(finish, T.StructType([*key_fields, *result_schema.fields]))
+    names, keys = schema.names, list(keys)
+
+    def combine(frames: list[pd.DataFrame]) -> pd.DataFrame:
+        return merge(pd.concat(frames, ignore_index=True))[names]
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        rows = 0
+        for batch in batches:
+            held.append(add(batch)[names])
+            rows += len(held[-1])
+            if rows > FLUSH_ROWS:
+                held = [combine(held)]
+                rows = len(held[0])
+                if rows > FLUSH_ROWS // 2:
+                    yield held[0]
+                    held, rows = [], 0
+        if held:
+            yield combine(held)
+
+    def final(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_rows: pd.DataFrame | None = None
+        for batch in batches:
+            merged = combine([batch] if open_rows is None else [open_rows, batch])
+            last = batch[keys].tail(1).merge(merged[keys].reset_index(), on=keys)["index"]
+            yield merged.drop(index=last)
+            open_rows = merged.loc[last]
+        if open_rows is not None:
+            yield open_rows
+
+    reduced = df.mapInPandas(partial, schema)
+    return reduced.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(final, schema)
 
 
 def average_with_state(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Average from a (sum, count) accumulator, through ``aggregate_with``."""
-    state = T.StructType([T.StructField("total", T.DoubleType()), T.StructField("n", T.LongType())])
-    return aggregate_with(
-        df.select(*keys, value), keys, state, T.StructType([T.StructField(name, T.DoubleType())]),
-        add=lambda p: {"total": p[value].sum(), "n": int(p[value].count())},
-        merge=lambda p: {"total": p["total"].sum(), "n": int(p["n"].sum())},
-        result=lambda s: {name: s["total"] / s["n"] if s["n"] else None},
-    )
-
-
-def top_with_state(
-    df: DataFrame, keys: Sequence[str], value: str, n: int, salts: int = SALTS
-) -> DataFrame:
-    """The ``n`` largest values of each key with their rank, as a table aggregate of pandas batches.
+    """Average from a (sum, count) accumulator."""
+    key_fields = [df.schema[k] for k in keys]
+    state = T.StructType([*key_fields, T.StructField("total", T.DoubleType()), T.StructField("n", T.LongType())])
 
-    Every step keeps at most ``n`` rows per key and input batch, so no task sees more than the partial winners.
-    """
-    schema = T.StructType([*[df.schema[k] for k in keys], df.schema[value]])
-    salted = T.StructType([*schema.fields, T.StructField("_salt", T.IntegerType())])
-    ranked = T.StructType([*schema.fields, T.StructField("rank", T.IntegerType())])
+    def add(batch: pd.DataFrame) -> pd.DataFrame:
+        grouped = batch.groupby(list(keys), dropna=False, sort=False)[value]
+        return grouped.agg(total="sum", n="count").reset_index()
 
-    def best(part: pd.DataFrame) -> pd.DataFrame:
-        ordered = part.sort_values(value, ascending=False, kind="stable")
-        return ordered.groupby(list(keys), dropna=False, sort=False).head(n)
+    def merge(states: pd.DataFrame) -> pd.DataFrame:
+        return states.groupby(list(keys), dropna=False, sort=False)[["total", "n"]].sum().reset_index()
+
+    sums = reduce_by_key(df.select(*keys, value), keys, state, add, merge)
+    return sums.select(*keys, F.try_divide("total", "n").alias(name))
 
-    def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for i, batch in enumerate(batches):
-            yield best(batch).assign(_salt=i % salts)
 
-    def final(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        top = best(part)
-        return top.assign(rank=range(1, len(top) + 1))
+def top_with_state(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
+    """The ``n`` largest values of each key with their rank, as a table aggregate: ``n`` state rows per key."""
+    state = T.StructType([*[df.schema[k] for k in keys], df.schema[value]])
+
+    def best(rows: pd.DataFrame) -> pd.DataFrame:
+        ordered = rows.sort_values(value, ascending=False, kind="stable")
+        return ordered.groupby(list(keys), dropna=False, sort=False).head(n)
 
-    partial = df.select(*keys, value).where(F.col(value).isNotNull()).mapInPandas(per_batch, salted)
-    spread = partial.withColumn("_salt", F.pmod(F.col("_salt") + F.spark_partition_id(), F.lit(salts)))
-    fewer = spread.groupBy(*keys, "_salt").applyInPandas(lambda part: best(part)[schema.names], schema)
-    return fewer.groupBy(*keys).applyInPandas(final, ranked)
+    rows = df.select(*keys, value).where(F.col(value).isNotNull())
+    top = reduce_by_key(rows, keys, state, best, best)
+    # at most n rows per key are left
+    place = Window.partitionBy(*keys).orderBy(F.desc(value))
+    return top.withColumn("rank", F.row_number().over(place))

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from streamlab.operators import durations as d
 from streamlab.operators.history import (
-    HOT_ROWS,
     History,
     Scan,
     following,
@@ -26,7 +25,7 @@ from streamlab.operators.history import (
 
 def jump_alarm(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, threshold: float,
-    upward_only: bool = False, hot_rows: int = HOT_ROWS,
+    upward_only: bool = False, hot_rows: int | None = None,
 ) -> DataFrame:
     """Rows whose value differs from the previous one of the key by more than ``threshold``."""
     seen = scan(df, keys, order, {"_p": previous(value)}, hot_rows)
@@ -99,7 +98,7 @@ def _anchor_windows(rows: DataFrame, keys: Sequence[str], ts: str, length: timed
 
 def no_decrease_alarm(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, length: timedelta,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Alarm when ``length`` passes after a rise without a fall. A first reading counts as a rise.
 
@@ -126,7 +125,7 @@ def no_decrease_alarm(
 
 def adjacent_fails(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str, failed: Column, within: timedelta,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Alert on a failed row whose predecessor failed too, at most ``within`` away in either direction."""
     marked = df.withColumn("_fail", failed)
@@ -138,7 +137,7 @@ def adjacent_fails(
 
 def fail_windows(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], failed: Column, length: timedelta, at_least: int = 2,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """The first failure opens a window of ``length``; a success inside it cancels; else it alerts when it closes.
 
@@ -158,7 +157,7 @@ def fail_windows(
 
 def order_timeout(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], created: Column, paid: Column, within: timedelta,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Status of each create (``paid`` or ``no_pay``) and of each pay without a create in the time before it.
 
@@ -200,7 +199,7 @@ def _ranked_by_day(
 
 def blacklist_pass(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str, limit: int,
-    utc_offset: timedelta = timedelta(hours=8), hot_rows: int = HOT_ROWS,
+    utc_offset: timedelta = timedelta(hours=8), hot_rows: int | None = None,
 ) -> DataFrame:
     """Rows below the daily ``limit`` of their key; the count starts again at local midnight."""
     return _ranked_by_day(df, keys, order, ts, utc_offset, hot_rows).where(F.col("_n") < limit).drop("_n")
@@ -208,7 +207,7 @@ def blacklist_pass(
 
 def blacklist_warnings(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], ts: str, limit: int,
-    utc_offset: timedelta = timedelta(hours=8), hot_rows: int = HOT_ROWS,
+    utc_offset: timedelta = timedelta(hours=8), hot_rows: int | None = None,
 ) -> DataFrame:
     """One row per key and local day that reaches the ``limit``: the row that did."""
     return _ranked_by_day(df, keys, order, ts, utc_offset, hot_rows).where(F.col("_n") == limit).drop("_n")

@@ -8,7 +8,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlab.operators.history import HOT_ROWS, running_count, running_sum, scan
+from streamlab.operators.history import running_count, running_sum, scan
 from streamlab.operators.windows import window_of
 
 
@@ -43,7 +43,7 @@ def unique_approx(df: DataFrame, user: str, ts: str, size: timedelta, rsd: float
 
 
 def unique_running(
-    df: DataFrame, user: str, order: Sequence[str], size: timedelta, hot_rows: int = HOT_ROWS
+    df: DataFrame, user: str, order: Sequence[str], size: timedelta, hot_rows: int | None = None
 ) -> DataFrame:
     """After every row, the number of users seen so far in its window."""
     windowed = _windowed(df, order[0], size)

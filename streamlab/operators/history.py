@@ -12,6 +12,8 @@ table, so a ``History`` splits the rows of such *hot* keys into slices along the
 4. The usual window functions run per (key, slice) and the carried value is joined on and combined with theirs. The rows
    are already partitioned and sorted for this join; a small carry table is turned into a broadcast at run time.
 
+A table that is small by its size estimate has no key worth splitting and takes the plain window functions.
+
 Every column is exact; slicing only changes how the work is spread. Rows with a NULL key count as one key that is never
 sliced.
 """
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
+SMALL_BYTES = 64 * 1024 * 1024
 
 SLICE = "_slice"
 
@@ -121,6 +124,11 @@ def position(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether the optimizer's size estimate (file sizes for a plain scan) is small enough for one task per key."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SMALL_BYTES
+
+
 def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with more than ``hot_rows`` rows, with the range of their order column and the number of slices."""
     pos = position(df, order[0])
@@ -144,9 +152,15 @@ class History:
     sliced: DataFrame
     keys: tuple[str, ...]
     order: tuple[str, ...]
+    split: bool = True
 
     @staticmethod
-    def of(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS) -> History:
+    def of(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None) -> History:
+        """``hot_rows`` sets when a key is split; by default it is ``HOT_ROWS``, and small tables are left whole."""
+        if hot_rows is None:
+            if is_small(df):
+                return History(df, tuple(keys), tuple(order), split=False)
+            hot_rows = HOT_ROWS
         hot = hot_keys(df, keys, order, hot_rows)
         share = (position(df, order[0]) - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
         number = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * F.col("_parts")), F.col("_parts") - 1)
@@ -172,7 +186,7 @@ class History:
 
     def scan(self, **columns: Scan) -> History:
         """Add the columns to every row."""
-        group = [*self.keys, SLICE]
+        group = [*self.keys, SLICE] if self.split else list(self.keys)
         forward = Window.partitionBy(*group).orderBy(*self.order)
         backward = Window.partitionBy(*group).orderBy(*[F.desc(o) for o in self.order])
         local = []
@@ -184,6 +198,9 @@ class History:
                 window = window.rowsBetween(Window.unboundedPreceding, 0 if s.inclusive else -1)
             local.append(s.over(s.value).over(window).alias(f"_local_{name}"))
         kept = [c for c in self.sliced.columns if c not in columns]
+        if not self.split:
+            results = [F.col(f"_local_{n}").alias(n) for n in columns]
+            return replace(self, sliced=self.sliced.select("*", *local).select(*kept, *results))
         carried = self._carried(columns)
         joined = self.sliced.select("*", *local).join(carried, group, "left")
         results = [s.combine(F.col(f"_carry_{n}"), F.col(f"_local_{n}")).alias(n) for n, s in columns.items()]
@@ -208,7 +225,7 @@ class History:
 
 
 def scan(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, Scan], hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, Scan], hot_rows: int | None = None
 ) -> DataFrame:
     """One scan over ``df``; use ``History`` for several in a row."""
     return History.of(df, keys, order, hot_rows).scan(**columns).rows

@@ -8,15 +8,16 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamlab.operators.history import HOT_ROWS, Scan, running_count, running_max, scan
-from streamlab.operators.windows import window_of
+from streamlab.operators import durations as d
+from streamlab.operators.history import Scan, running_count, running_max, scan
+from streamlab.operators.windows import count_levels, window_of
 
 _ALL = "_all"
 _TICK = timedelta(milliseconds=1)
 
 
 def with_watermark_column(
-    df: DataFrame, arrival: Sequence[str], ts: str, bound: timedelta, hot_rows: int = HOT_ROWS
+    df: DataFrame, arrival: Sequence[str], ts: str, bound: timedelta, hot_rows: int | None = None
 ) -> DataFrame:
     """Add ``watermark`` as each row met it (NULL on the first row). Arrival order is sliced, so this stays parallel."""
     one = df.withColumn(_ALL, F.lit(0))
@@ -24,7 +25,7 @@ def with_watermark_column(
     return ahead.withColumn("watermark", F.col("_top") - F.lit(bound)).drop("_top", _ALL)
 
 
-def clamped_time(df: DataFrame, arrival: Sequence[str], ts: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def clamped_time(df: DataFrame, arrival: Sequence[str], ts: str, hot_rows: int | None = None) -> DataFrame:
     """Add ``clamped_ts``: late times are raised to the largest time seen so far."""
     one = df.withColumn(_ALL, F.lit(0))
     return scan(one, [_ALL], arrival, {"clamped_ts": running_max(F.col(ts))}, hot_rows).drop(_ALL)
@@ -44,7 +45,7 @@ def late_split(
     bound: timedelta,
     slide: timedelta | None = None,
     lateness: timedelta = timedelta(0),
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add ``is_late``: all windows of the row were closed for good when it arrived."""
     seen = with_watermark_column(df, arrival, ts, bound, hot_rows)
@@ -60,7 +61,7 @@ def window_firings(
     size: timedelta,
     bound: timedelta,
     lateness: timedelta,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Counts a tumbling window emits: once when the watermark passes it, then again for each row within lateness.
 
@@ -89,15 +90,21 @@ def hop_kept(
     slide: timedelta,
     bound: timedelta,
     lateness: timedelta,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Final sliding counts when each window takes rows until the watermark passes it by ``lateness``.
 
-    A late row still counts in those of its windows that are open.
+    A late row still counts in those of its windows that are open, which are the last ones: it enters the count at the
+    first open window end instead of the first end (see ``windows.hop_count``; ``slide`` must divide ``size``).
     """
+    if d.micros(size) % d.micros(slide):
+        raise ValueError("slide must divide size")
     seen = with_watermark_column(df, arrival, ts, bound, hot_rows)
-    copies = seen.select(*keys, "watermark", window_of(ts, size, slide)).select(
-        *keys, "watermark", F.col("window.end").alias("window_end")
+    closed_until = F.col("watermark") - F.lit(lateness) + F.lit(_TICK)
+    spans = (
+        seen.select(*keys, ts, F.greatest(F.col(ts), closed_until).alias("_open"))
+        .withColumn("_fall", window_of(ts, slide)["end"] + F.lit(size))
+        .withColumn("_rise", window_of("_open", slide)["end"])
+        .where(F.col("_rise") < F.col("_fall"))
     )
-    closed = F.col("window_end") - F.lit(_TICK) + F.lit(lateness) <= F.col("watermark")
-    return copies.where(~F.coalesce(closed, F.lit(False))).groupBy(*keys, "window_end").agg(F.count("*").alias("cnt"))
+    return count_levels(spans, keys, slide, "cnt")

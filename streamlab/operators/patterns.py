@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlab.operators.history import HOT_ROWS, History, following, next_match
+from streamlab.operators.history import History, following, next_match
 
 NEXT, FOLLOWED_BY, NOT_FOLLOWED_BY = "next", "followed_by", "not_followed_by"
 
@@ -80,7 +80,7 @@ class Pattern:
 
 def match_pattern(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], pattern: Pattern, columns: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Matches and timeouts: keys, one struct of ``columns`` per stage, and ``status``.
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamlab.operators.history import (
-    HOT_ROWS,
     first_so_far,
     previous,
     running_count,
@@ -21,17 +20,17 @@ from streamlab.operators.history import (
 
 
 def rolling_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str,
-                hot_rows: int = HOT_ROWS) -> DataFrame:
+                hot_rows: int | None = None) -> DataFrame:
     return scan(df, keys, order, {name: running_sum(value)}, hot_rows)
 
 
 def rolling_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  hot_rows: int | None = None) -> DataFrame:
     return scan(df, keys, order, {name: running_count()}, hot_rows)
 
 
 def rolling_extreme(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, others: Sequence[str],
-                    largest: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+                    largest: bool = True, hot_rows: int | None = None) -> DataFrame:
     """Running max or min of ``value``; the ``others`` stay as they were on the first row of the key."""
     extreme = (running_max if largest else running_min)(F.col(value))
     first = scan(df, keys, order, {value: extreme, "_first": first_so_far(F.struct(*others))}, hot_rows)
@@ -46,7 +45,7 @@ def _descending(df: DataFrame, column: str) -> Column:
 
 
 def rolling_max_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, columns: Sequence[str],
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+                   hot_rows: int | None = None) -> DataFrame:
     """Whole row that holds the running maximum, as struct ``best``; the earliest row stays on a tie."""
     earliest = [_descending(df, o).alias(f"_o{i}") for i, o in enumerate(order)]
     best = F.struct(F.col(value).alias("_top"), *earliest, *columns)
@@ -55,7 +54,7 @@ def rolling_max_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
 
 
 def history_links(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str],
-                  hot_rows: int = HOT_ROWS) -> DataFrame:
+                  hot_rows: int | None = None) -> DataFrame:
     """Depth of a key's history at each row and the entry it continues.
 
     Writing the concatenated history into every row would grow with the square of the key's rows; depth and link say
@@ -69,14 +68,14 @@ def history_text(key: str, depth: str) -> Column:
     return F.array_join(F.array_repeat(F.col(key).cast("string"), F.col(depth).cast("int")), "_")
 
 
-def over_range(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, hot_rows: int = HOT_ROWS
+def over_range(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, hot_rows: int | None = None
                ) -> DataFrame:
     """OVER window with the default RANGE frame: rows tied in the order column share the result."""
     columns = {"over_count": running_count(peers=True), "over_max": running_max(F.col(value), peers=True)}
     return scan(df, keys, order, columns, hot_rows)
 
 
-def changelog(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "cnt", hot_rows: int = HOT_ROWS
+def changelog(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "cnt", hot_rows: int | None = None
               ) -> DataFrame:
     """Changelog of a running count: each row withdraws the old count (if any) and adds the new one."""
     counted = rolling_count(df, keys, order, "_n", hot_rows)

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from streamlab.operators import durations as d
 from streamlab.operators.history import (
-    HOT_ROWS,
     History,
     Scan,
     last_so_far,
@@ -130,11 +129,21 @@ def hop_count(
     """
     if d.micros(size) % d.micros(slide):
         raise ValueError("slide must divide size; use hop")
-    panes = df.groupBy(*keys, window_of(ts, slide)).agg(F.count("*").alias("_c"))
-    end = F.col("window.end")
-    rise = F.struct(end.alias("_at"), F.col("_c").alias("_by"))
-    fall = F.struct((end + F.lit(size)).alias("_at"), (-F.col("_c")).alias("_by"))
-    changes = panes.select(*keys, F.inline(F.array(rise, fall)))
+    spans = (
+        df.select(*keys, window_of(ts, slide))
+        .select(*keys, F.col("window.end").alias("_rise"), (F.col("window.end") + F.lit(size)).alias("_fall"))
+    )
+    counted = count_levels(spans, keys, slide, name)
+    start = (F.col("window_end") - F.lit(size)).alias("window_start")
+    return counted.select(*keys, start, "window_end", name)
+
+
+def count_levels(spans: DataFrame, keys: Sequence[str], slide: timedelta, name: str) -> DataFrame:
+    """For every window end, the number of spans (rows with ``_rise <= end < _fall``) of the key that cover it."""
+    grouped = spans.groupBy(*keys, "_rise", "_fall").agg(F.count("*").alias("_c"))
+    rise = F.struct(F.col("_rise").alias("_at"), F.col("_c").alias("_by"))
+    fall = F.struct(F.col("_fall").alias("_at"), (-F.col("_c")).alias("_by"))
+    changes = grouped.select(*keys, F.inline(F.array(rise, fall)))
     in_time = Window.partitionBy(*keys).orderBy("_at")
     # changes at the same time are peers and share the level; only the last of them has a later successor
     levels = changes.select(
@@ -144,9 +153,7 @@ def hop_count(
         F.lead("_at").over(in_time).alias("_until"),
     ).where((F.col(name) > 0) & (F.col("_until") > F.col("_at")))
     ends = F.sequence("_at", F.col("_until") - F.lit(slide), F.lit(slide))
-    return levels.select(*keys, F.explode(ends).alias("window_end"), name).select(
-        *keys, (F.col("window_end") - F.lit(size)).alias("window_start"), "window_end", name
-    )
+    return levels.select(*keys, F.explode(ends).alias("window_end"), name)
 
 
 def with_session(
@@ -154,7 +161,7 @@ def with_session(
     keys: Sequence[str],
     order: Sequence[str],
     gap: timedelta,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add ``session_start`` to every row: a session ends when the key is silent for more than ``gap``."""
     ts = order[0]
@@ -169,7 +176,7 @@ def session(
     order: Sequence[str],
     gap: timedelta,
     aggs: dict[str, Agg],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """One row per session; rows exactly one gap apart share a session. ``window_end`` is the last row plus the gap.
 
@@ -196,7 +203,7 @@ def count_tumble(
     order: Sequence[str],
     size: int,
     aggs: dict[str, Agg],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Groups of ``size`` consecutive rows per key; an unfinished group gives no row."""
     numbered = scan(df, keys, order, {"_n": running_count()}, hot_rows)
@@ -215,7 +222,7 @@ def count_hop(
     size: int,
     slide: int,
     aggs: dict[str, Agg],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Every ``slide`` rows of a key, the aggregate over its last ``size`` rows (fewer at the start)."""
     numbered = scan(df, keys, order, {"_n": running_count()}, hot_rows)
@@ -240,7 +247,7 @@ def fold_text(
     start: str = "Start:",
     separator: str = " - ",
     chunk: int = 1000,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Text fold of a window in arrival order, e.g. ``Start: - a - b``.
 

@@ -80,6 +80,11 @@ def test_one_key_with_a_third_of_the_rows(events):
     assert rows_of(scan(skewed, ["user_id"], ORDER, columns(), 50)) == rows_of(scan(skewed, ["user_id"], ORDER, columns()))
 
 
+def test_small_tables_stay_whole_and_large_ones_do_not(spark, events):
+    assert not History.of(events, ["user_id"], ORDER).split
+    assert History.of(spark.range(10**8).withColumn("k", F.lit(1)), ["k"], ["id"]).split
+
+
 def test_null_keys_and_equal_times(spark):
     rows = [(None, 1, 10), (None, 1, 11), ("a", 1, 12), ("a", 1, 13), ("a", 2, 14)]
     df = spark.createDataFrame(rows, "k string, t long, id long")
@@ -90,7 +95,7 @@ def test_null_keys_and_equal_times(spark):
 
 
 def test_chained_scans_shuffle_whole_rows_once(events):
-    history = History.of(events, ["user_id"], ORDER).scan(p=previous("value"))
+    history = History.of(events, ["user_id"], ORDER, 1000).scan(p=previous("value"))
     plan = history.scan(n=running_sum(F.col("p.value"))).rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(user_id") and "Python" not in plan
     wide = [line for line in plan.split("\n") if "FileScan" in line and "props" in line]
