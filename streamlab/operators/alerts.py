@@ -41,7 +41,8 @@ def _anchor_windows(rows: DataFrame, keys: Sequence[str], ts: str, length: timed
     that ends the chain, if any). Output: keys, ``first_ts``, ``last_ts``, ``cnt``, ``stop_ts``.
 
     Where an anchor lies depends on the anchor before, so a chain is walked in order. Rows of a chain that share a time
-    are first reduced to one, then each task walks its sorted chains batch by batch and keeps a single open window.
+    are first reduced to one, then each task walks its sorted chains batch by batch, jumping from window to window, and
+    keeps a single open window.
     """
     schema = ", ".join(
         [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys]
@@ -51,28 +52,37 @@ def _anchor_windows(rows: DataFrame, keys: Sequence[str], ts: str, length: timed
     group = [*keys, "_chain"]
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_id: tuple | None = None
-        first = last = count = stop = None
+        current: list | None = None  # chain, first, last, count, stop of the open window
         for batch in batches:
-            done: list[tuple] = []
-            ids = list(zip(*[batch[g] for g in group], strict=True))
-            stops = batch["_stop_us"].to_numpy(dtype=float, na_value=np.nan)
-            for row_id, at, n, until in zip(ids, batch["_us"], batch["_n"], stops, strict=True):
-                if row_id != open_id or at - first > span:
-                    if open_id is not None:
-                        done.append((*open_id[:-1], first, last, count, stop))
-                    open_id, first, count, stop = row_id, at, 0, None
-                last, count = at, count + n
-                if not np.isnan(until):
-                    stop = int(until)
+            done: list[list] = []
+            at, stops = batch["_us"].to_numpy(), batch["_stop_us"].to_numpy(dtype=float, na_value=np.nan)
+            total = np.concatenate([[0], np.cumsum(batch["_n"].to_numpy())])
+            ids = batch[group]
+            new = np.flatnonzero((ids != ids.shift()).any(axis=1).to_numpy())
+            for low, high in zip(new, [*new[1:], len(batch)], strict=True):
+                chain, i = tuple(ids.iloc[low]), low
+                while i < high:
+                    extends = current is not None and current[0] == chain
+                    start = current[1] if extends and at[i] - current[1] <= span else at[i]
+                    j = i + int(np.searchsorted(at[i:high], start + span, side="right"))
+                    until = np.fmax.reduce(stops[i:j])
+                    if extends and start == current[1]:
+                        current[2], current[3] = at[j - 1], current[3] + total[j] - total[i]
+                        current[4] = np.fmax(current[4], until)
+                    else:
+                        if current is not None:
+                            done.append(current)
+                        current = [chain, start, at[j - 1], total[j] - total[i], until]
+                    i = j
             yield _window_rows(done)
-        if open_id is not None:
-            yield _window_rows([(*open_id[:-1], first, last, count, stop)])
+        if current is not None:
+            yield _window_rows([current])
 
     names = [*keys, "first_us", "last_us", "cnt", "stop_us"]
 
-    def _window_rows(done: list[tuple]) -> pd.DataFrame:
-        frame = pd.DataFrame(done, columns=names)
+    def _window_rows(done: list[list]) -> pd.DataFrame:
+        rows = [(*chain[:-1], first, last, count, stop) for chain, first, last, count, stop in done]
+        frame = pd.DataFrame(rows, columns=names)
         frame["stop_us"] = frame["stop_us"].astype("Int64")
         return frame
 

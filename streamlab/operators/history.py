@@ -4,7 +4,8 @@ A plain window function sends all rows of a key to one task. That is fine until
 table, so a ``History`` splits the rows of such *hot* keys into slices along the order column:
 
 1. ``hot_keys`` counts rows per key (partial aggregation, only the key and the order column are read) and keeps the
-   keys above ``hot_rows``. There can be at most ``rows / hot_rows`` of them, which bounds the broadcast.
+   keys above ``hot_rows``, with quantiles of their order column. There can be at most ``rows / hot_rows`` of them,
+   which bounds the broadcast. The result is checkpointed; without hot keys nothing more is done.
 2. Rows are grouped by (key, slice); keys that are not hot have the single slice NULL. This is the only shuffle of whole
    rows, also when several scans follow each other.
 3. Each slice of a hot key is reduced to one summary row, and what a slice needs to know about its neighbours (running
@@ -12,7 +13,7 @@ table, so a ``History`` splits the rows of such *hot* keys into slices along the
 4. The usual window functions run per (key, slice) and the carried value is joined on and combined with theirs. The rows
    are already partitioned and sorted for this join; a small carry table is turned into a broadcast at run time.
 
-A table that is small by its size estimate has no key worth splitting and takes the plain window functions.
+A table that is small by its size estimate has no key worth splitting and is not counted first.
 
 Every column is exact; slicing only changes how the work is spread. Rows with a NULL key count as one key that is never
 sliced.
@@ -26,8 +27,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from streamlab.session import checkpointed
+
 HOT_ROWS = 1_000_000
 SMALL_BYTES = 64 * 1024 * 1024
+SEGMENTS = 64
 
 SLICE = "_slice"
 
@@ -130,17 +134,41 @@ def is_small(df: DataFrame) -> bool:
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, with the range of their order column and the number of slices."""
+    """Keys with more than ``hot_rows`` rows, the number of slices each needs and where its rows lie in order."""
     pos = position(df, order[0])
-    return (
+    counted = (
         df.where(" and ".join(f"`{k}` is not null" for k in keys))
         .groupBy(*keys)
-        .agg(F.count("*").alias("_n"), F.min(pos).alias("_lo"), F.max(pos).alias("_hi"))
+        .agg(F.count("*").alias("_n"))
         .where(F.col("_n") > hot_rows)
-        .select(*keys, "_lo", "_hi", F.ceil(F.col("_n") / hot_rows).alias("_parts"))
+        .select(*keys, F.ceil(F.col("_n") / hot_rows).alias("_parts"))
+    )
+    marks = [i / SEGMENTS for i in range(1, SEGMENTS)]
+    return (
+        df.select(*keys, pos.alias("_pos"))
+        .join(F.broadcast(counted), list(keys))
+        .groupBy(*keys, "_parts")
+        .agg(
+            F.min("_pos").alias("_lo"),
+            F.percentile_approx("_pos", marks, 20 * SEGMENTS).alias("_cuts"),
+            F.max("_pos").alias("_hi"),
+        )
     )
 
 
+def _slice_number(pos: Column) -> Column:
+    """Slice of a row of a hot key: rows are cut at quantiles of the key and evenly in between.
+
+    The quantiles follow bursts, the even cuts give the number of slices. Rows that tie in ``pos`` share a slice.
+    """
+    segment = F.size(F.filter("_cuts", lambda cut: cut <= pos))
+    edges = F.concat(F.array("_lo"), F.col("_cuts"), F.array("_hi"))
+    low, high = F.get(edges, segment), F.get(edges, segment + 1)
+    per_segment = F.ceil(F.col("_parts") / F.lit(SEGMENTS))
+    share = F.coalesce((pos - low) / F.nullif(high - low, F.lit(0.0)), F.lit(0.0))
+    return segment * per_segment + F.least(F.floor(share * per_segment), per_segment - 1)
+
+
 @dataclass(frozen=True)
 class History:
     """Rows with their slice. ``scan`` and the row-wise methods give a new History over the same slices.
@@ -161,14 +189,12 @@ class History:
             if is_small(df):
                 return History(df, tuple(keys), tuple(order), split=False)
             hot_rows = HOT_ROWS
-        hot = hot_keys(df, keys, order, hot_rows)
-        share = (position(df, order[0]) - F.col("_lo")) / F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-        number = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * F.col("_parts")), F.col("_parts") - 1)
-        sliced = (
-            df.join(F.broadcast(hot), list(keys), "left")
-            .withColumn(SLICE, F.when(F.col("_parts").isNotNull(), F.greatest(number, F.lit(0))))
-            .select(*df.columns, SLICE)
-        )
+        # approximate quantiles may differ between two runs, so all branches of the plan read one stored result
+        hot = checkpointed(hot_keys(df, keys, order, hot_rows))
+        if hot.isEmpty():
+            return History(df, tuple(keys), tuple(order), split=False)
+        number = F.when(F.col("_parts").isNotNull(), _slice_number(position(df, order[0])))
+        sliced = df.join(F.broadcast(hot), list(keys), "left").withColumn(SLICE, number).select(*df.columns, SLICE)
         return History(sliced, tuple(keys), tuple(order))
 
     @property

@@ -23,8 +23,8 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 def event_stream(spark, d):
-    path = f"{d}/events.parquet"
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    schema = events(spark, d).schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
     return stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", "1 hour")
 
 

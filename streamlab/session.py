@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,3 +29,16 @@ def build_session(app: str = "streamlab", master: str | None = None, **conf: str
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the cluster's checkpoint folder and go on from there.
+
+    For small results that several branches of a plan must see alike. The folder is the one the session names; only
+    where it names none (as in tests) a local one is set.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get(CHECKPOINT_CONF, None)
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="streamlab-checkpoint-"))
+    return df.checkpoint()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-CHECKPOINT_CONF = "spark.checkpoint.dir"
+from streamlab.session import CHECKPOINT_CONF
 
 
 def work_folder(spark: SparkSession, name: str) -> str:

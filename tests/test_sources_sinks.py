@@ -4,6 +4,7 @@ import sys
 import time
 from datetime import timedelta
 from pathlib import Path
+from types import SimpleNamespace
 
 import pandas as pd
 import pytest
@@ -191,16 +192,12 @@ def test_kept_and_late_rows_are_all_rows(events):
     assert counts[True] > 0 and counts[True] + counts[False] == events.count()
 
 
-def test_work_folder_uses_the_shared_folder(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    spark.conf.set("spark.checkpoint.dir", "/shared/folder/")
-    try:
-        assert work_folder(spark, "x") == "/shared/folder/x"
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+def test_work_folder_uses_the_shared_folder():
+    def session(folder):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder))
+
+    assert work_folder(session("/shared/folder/"), "x") == "/shared/folder/x"
+    assert work_folder(session(None), "x").endswith("/x")
 
 
 @pytest.mark.parametrize("name", ["hot_items", "page_views", "unique_visitors", "channel_report"])
