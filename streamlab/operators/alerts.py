@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,24 +55,27 @@ def _anchor_windows(rows: DataFrame, keys: Sequence[str], ts: str, length: timed
         current: list | None = None  # chain, first, last, count, stop of the open window
         for batch in batches:
             done: list[list] = []
-            at, stops = batch["_us"].to_numpy(), batch["_stop_us"].to_numpy(dtype=float, na_value=np.nan)
-            total = np.concatenate([[0], np.cumsum(batch["_n"].to_numpy())])
-            ids = batch[group]
-            new = np.flatnonzero((ids != ids.shift()).any(axis=1).to_numpy())
-            for low, high in zip(new, [*new[1:], len(batch)], strict=True):
-                chain, i = tuple(ids.iloc[low]), low
-                while i < high:
-                    extends = current is not None and current[0] == chain
-                    start = current[1] if extends and at[i] - current[1] <= span else at[i]
-                    j = i + int(np.searchsorted(at[i:high], start + span, side="right"))
-                    until = np.fmax.reduce(stops[i:j])
-                    if extends and start == current[1]:
+            at, stops = batch["_us"].tolist(), batch["_stop_us"].astype("Int64").tolist()
+            total = [0, *batch["_n"].cumsum().tolist()]
+            chains = list(zip(*[batch[g].tolist() for g in group], strict=True))
+            i, size = 0, len(chains)
+            while i < size:
+                chain = chains[i]
+                end = i + 1
+                while end < size and chains[end] == chain:
+                    end += 1
+                while i < end:
+                    extends = current is not None and current[0] == chain and at[i] - current[1] <= span
+                    start = current[1] if extends else at[i]
+                    j = bisect_right(at, start + span, i, end)
+                    if extends:
                         current[2], current[3] = at[j - 1], current[3] + total[j] - total[i]
-                        current[4] = np.fmax(current[4], until)
                     else:
                         if current is not None:
                             done.append(current)
-                        current = [chain, start, at[j - 1], total[j] - total[i], until]
+                        current = [chain, start, at[j - 1], total[j] - total[i], None]
+                    if stops[j - 1] is not pd.NA:
+                        current[4] = stops[j - 1]
                     i = j
             yield _window_rows(done)
         if current is not None:
