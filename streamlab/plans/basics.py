@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from streamlab.functions import user_functions as uf
-from streamlab.operators import distinct, joins, rolling, route
+from streamlab.operators import joins, rolling, route
 from streamlab.plans.registry import events, query, table
 from streamlab.sources import parse
 
@@ -167,6 +167,16 @@ def rolling_reduce(spark, d):
     return reduced.select("event_id", "user_id", "top", F.col("ts").alias("latest"), "seen")
 
 
+@query("first_per_key", """
+    SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (
+      PARTITION BY user_id, event_type ORDER BY ts, event_id) AS n FROM events) WHERE n = 1""")
+def first_per_key(spark, d):
+    """Rows at which a key appears for the first time (running count of one)."""
+    e = events(spark, d).select("event_id", "user_id", "event_type", "ts")
+    counted = rolling.rolling_count(e, ["user_id", "event_type"], ["ts", "event_id"], "n")
+    return counted.where("n = 1").select("event_id", "user_id", "event_type")
+
+
 @query("key_history", """
     SELECT event_id, user_id, row_number() OVER w AS depth, coalesce(lag(event_id) OVER w, -1) AS continues_event,
            lag(event_type) OVER w AS continues_type

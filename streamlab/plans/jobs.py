@@ -9,12 +9,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlab.operators import distinct, windows
+from streamlab.operators import alerts, distinct, durations, late, rolling, windows
 from streamlab.operators.topn import top_n
 from streamlab.operators.windows import Agg
+from streamlab.sinks.files import Write, fan_out
+from streamlab.sinks.keyed import KeyedTable
+from streamlab.streaming import alerts as stream_alerts
 from streamlab.streaming import windows as streaming
 from streamlab.streaming.run import run_to_end
 
@@ -74,6 +77,40 @@ def channel_report_stream(events: DataFrame, path: str, checkpoint: str) -> None
     run_to_end(counted, checkpoint, path)
 
 
+def hot_urls(hits: DataFrame, bound: timedelta, lateness: timedelta, n: int = TOP) -> DataFrame:
+    """Most requested URLs per window from hits (url, ts, seq, event_id) in order of arrival, late hits included."""
+    counts = late.hop_kept(hits, ["url"], ["seq", "event_id"], "ts", HOUR, FIVE_MINUTES, bound, lateness)
+    return top_n(counts, ["window_end"], [F.desc("cnt"), F.asc("url")], n)
+
+
+def hot_urls_stream(hits: DataFrame, bound: timedelta, lateness: timedelta, table: KeyedTable, checkpoint: str) -> None:
+    """Keep the latest count of each (window, URL); a late hit replaces it. Rank with ``hot_urls_now``."""
+    waiting = hits.withWatermark("ts", durations.text(bound + lateness))
+    counts = streaming.hop_rows(waiting, ["url"], "ts", HOUR, FIVE_MINUTES, {"cnt": Agg("count")})
+    run_to_end(counts, checkpoint, mode="update", each_batch=table.upsert)
+
+
+def hot_urls_now(spark: SparkSession, table: KeyedTable, n: int = TOP) -> DataFrame:
+    return top_n(table.latest(spark), ["window_end"], [F.desc("cnt"), F.asc("url")], n)
+
+
+def count_and_alarm(readings: DataFrame, keys: list[str], order: list[str], value: str, length: timedelta
+                    ) -> dict[str, DataFrame]:
+    """Running count of every reading (main output) and the no-decrease alarm (side output)."""
+    return {
+        "count": rolling.rolling_count(readings, keys, order, "cnt"),
+        "alarm": alerts.no_decrease_alarm(readings, keys, order, value, length),
+    }
+
+
+def count_and_alarm_stream(readings: DataFrame, keys: list[str], order: list[str], value: str, length: timedelta,
+                           writes: dict[str, Write], checkpoint: str) -> None:
+    """Both outputs from one pass over the stream, each to its own sink."""
+    machine = stream_alerts.CountAndNoDecrease(value, length)
+    both = stream_alerts.run_machine(readings, keys, order[0], machine, [value], order[1:])
+    run_to_end(stream_alerts.with_times(both), checkpoint, each_batch=fan_out(writes))
+
+
 BATCH: dict[str, Callable[[DataFrame], DataFrame]] = {
     "hot_items": hot_items,
     "page_views": page_views,

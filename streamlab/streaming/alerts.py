@@ -53,6 +53,21 @@ class NoDecrease(Machine):
         return (before, None), [(rise, at)], None
 
 
+class CountAndNoDecrease(NoDecrease):
+    """Running count of a key and the no-decrease alarm in one pass, told apart by ``tag`` for a fan-out sink."""
+
+    state_schema = _schema(previous=DOUBLE, rise_us=LONG, cnt=LONG)
+    output_schema = _schema(tag=STRING, at_us=LONG, cnt=LONG)
+
+    def on_row(self, state: tuple, at: int, row: Row):
+        alarm, _, deadline = super().on_row(state[:2], at, row)
+        count = (state[2] or 0) + 1
+        return (*alarm, count), [("count", at, count)], deadline
+
+    def on_deadline(self, state: tuple, at: int):
+        return (state[0], None, state[2]), [("alarm", at, state[2])], None
+
+
 class AdjacentFails(Machine):
     state_schema = _schema(fail_us=LONG)
     output_schema = _schema(first_us=LONG, second_us=LONG)
@@ -138,4 +153,4 @@ def with_times(df: DataFrame) -> DataFrame:
     ])
 
 
-__all__ = ["AdjacentFails", "Blacklist", "FailWindow", "Jump", "NoDecrease", "OrderTimeout", "run_machine", "with_times"]
+__all__ = ["AdjacentFails", "Blacklist", "CountAndNoDecrease", "FailWindow", "Jump", "NoDecrease", "OrderTimeout", "run_machine", "with_times"]

@@ -27,14 +27,20 @@ def hop(stream: DataFrame, keys: Sequence[str], ts: str, size: timedelta, slide:
         ) -> DataFrame:
     """Sliding windows in two chained aggregations: panes first, then the windows of each closed pane (append mode)."""
     if d.micros(size) % d.micros(slide):
-        grouped = stream.groupBy(*keys, window_of(ts, size, slide))
-        return _bounds(grouped.agg(*[a.over().alias(n) for n, a in aggs.items()]))
+        return hop_rows(stream, keys, ts, size, slide, aggs)
     partials = [column for n, a in aggs.items() for column in a.partial(n)]
     panes = stream.groupBy(*keys, window_of(ts, slide)).agg(*partials)
     merged = panes.groupBy(*keys, F.window("window", d.text(size), d.text(slide)).alias("window"))
     return _bounds(merged.agg(*[a.merge(n) for n, a in aggs.items()]))
 
 
+def hop_rows(stream: DataFrame, keys: Sequence[str], ts: str, size: timedelta, slide: timedelta, aggs: dict[str, Agg]
+             ) -> DataFrame:
+    """Sliding windows in one aggregation over row copies; needed for update mode, which allows no second aggregation."""
+    grouped = stream.groupBy(*keys, window_of(ts, size, slide))
+    return _bounds(grouped.agg(*[a.over().alias(n) for n, a in aggs.items()]))
+
+
 def session(stream: DataFrame, keys: Sequence[str], ts: str, gap: timedelta, aggs: dict[str, Agg]) -> DataFrame:
     grouped = stream.groupBy(*keys, F.session_window(ts, d.text(gap)).alias("window"))
     return _bounds(grouped.agg(*[a.over().alias(n) for n, a in aggs.items()]))

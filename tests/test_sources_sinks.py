@@ -212,6 +212,49 @@ def test_streaming_jobs_equal_batch_jobs(spark, events, name, tmp_path):
     assert rows_of(got.select(*expected.columns)) == rows_of(expected)
 
 
+def test_hot_urls_with_late_hits(spark, events, tmp_path):
+    """The stream's watermark moves per micro-batch, so with a wide lateness it keeps all rows and equals the batch job."""
+    hits = events.where("user_id < 8").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"), F.concat(F.lit("/p"), F.col("user_id")).alias("url"))
+    hits = hits.withColumn("seq", F.col("event_id") + (F.col("event_id") * 37) % 50)
+    day = timedelta(days=5)
+    source = replay(spark, hits, 3, ["seq"])
+    table = keyed.KeyedTable(str(tmp_path / "t"), ("url", "window_end"))
+    jobs.hot_urls_stream(source.stream(), HOUR, day, table, str(tmp_path / "check"))
+    columns = ["window_end", "rank", "url", "cnt"]
+    expected = jobs.hot_urls(hits, HOUR, day).select(*columns)
+    assert rows_of(jobs.hot_urls_now(spark, table).select(*columns)) == rows_of(expected)
+
+
+def test_count_and_alarm_to_two_sinks(spark, events, tmp_path):
+    rows = events.where("user_id < 6").select("user_id", "event_id", "value", F.col("ts").cast("timestamp").alias("ts"))
+    far = [{"ts": pd.Timestamp("2024-04-01") + pd.Timedelta(days=i), "user_id": -1} for i in range(2)]
+    source = replay(spark, rows, 3, ["event_id"], far)
+
+    def to(name):
+        return lambda df, batch_id: df.write.mode("overwrite").parquet(f"{tmp_path}/{name}/b={batch_id}")
+
+    args = (["user_id"], ["ts", "event_id"], "value", timedelta(hours=8))
+    jobs.count_and_alarm_stream(source.stream().withWatermark("ts", "5 days"), *args,
+                                {"count": to("count"), "alarm": to("alarm")}, str(tmp_path / "check"))
+    expected = jobs.count_and_alarm(rows, *args)
+    for name, columns, ours in (("count", ["user_id", "at_ts", "cnt"], ["user_id", "ts", "cnt"]),
+                                ("alarm", ["user_id", "at_ts"], ["user_id", "alarm_ts"])):
+        got = spark.read.parquet(f"{tmp_path}/{name}").where("user_id >= 0").select(*columns)
+        assert rows_of(got) == rows_of(expected[name].select(*ours))
+
+
+def test_processing_time_windows(spark, events, tmp_path):
+    rows = events.select("event_id", "event_type")
+    source = replay(spark, rows, 2, ["event_id"])
+    arrived = source.stream().withColumn("pt", tables.arrival_time()).withWatermark("pt", "0 seconds")
+    table = keyed.KeyedTable(str(tmp_path / "t"), ("event_type", "window_end"))
+    counted = sw.tumble(arrived, ["event_type"], "pt", timedelta(seconds=10), {"cnt": Agg("count")})
+    run_to_end(counted, str(tmp_path / "check"), mode="update", each_batch=table.upsert)
+    totals = table.latest(spark).groupBy("event_type").agg(F.sum("cnt"))
+    assert rows_of(totals) == rows_of(rows.groupBy("event_type").count())
+
+
 def test_entry_and_queries_have_matching_names():
     root = Path(__file__).resolve().parents[1]
     code = "import __spark_entry__ as e; assert set(e.oracle_sql()) <= set(e.queries()); print(len(e.queries()))"
