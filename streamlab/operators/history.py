@@ -15,13 +15,13 @@ table, so a ``History`` splits the rows of such *hot* keys into slices along the
 
 A table that is small by its size estimate has no key worth splitting and is not counted first.
 
-Every column is exact; slicing only changes how the work is spread. Rows with a NULL key count as one key that is never
-sliced.
+Every column is exact; slicing only changes how the work is spread. Rows with a NULL key count as one key.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +34,7 @@ SMALL_BYTES = 64 * 1024 * 1024
 SEGMENTS = 64
 
 SLICE = "_slice"
+KEY = "_key"
 
 
 @dataclass(frozen=True)
@@ -137,16 +138,16 @@ def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows:
     """Keys with more than ``hot_rows`` rows, the number of slices each needs and where its rows lie in order."""
     pos = position(df, order[0])
     counted = (
-        df.where(" and ".join(f"`{k}` is not null" for k in keys))
-        .groupBy(*keys)
+        df.groupBy(*keys)
         .agg(F.count("*").alias("_n"))
         .where(F.col("_n") > hot_rows)
-        .select(*keys, F.ceil(F.col("_n") / hot_rows).alias("_parts"))
+        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.ceil(F.col("_n") / hot_rows).alias("_parts"))
     )
+    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
     marks = [i / SEGMENTS for i in range(1, SEGMENTS)]
     return (
         df.select(*keys, pos.alias("_pos"))
-        .join(F.broadcast(counted), list(keys))
+        .join(F.broadcast(counted), same_key)
         .groupBy(*keys, "_parts")
         .agg(
             F.min("_pos").alias("_lo"),
@@ -193,13 +194,18 @@ class History:
         hot = checkpointed(hot_keys(df, keys, order, hot_rows))
         if hot.isEmpty():
             return History(df, tuple(keys), tuple(order), split=False)
+        if not hot.where(" or ".join(f"`{k}` is null" for k in keys)).isEmpty():
+            # a struct of NULLs equals another one, so the joins below also find a hot NULL key
+            df = df.withColumn(KEY, F.struct(*keys))
+            hot = hot.withColumn(KEY, F.struct(*keys)).drop(*keys)
+            keys = [KEY]
         number = F.when(F.col("_parts").isNotNull(), _slice_number(position(df, order[0])))
         sliced = df.join(F.broadcast(hot), list(keys), "left").withColumn(SLICE, number).select(*df.columns, SLICE)
         return History(sliced, tuple(keys), tuple(order))
 
     @property
     def rows(self) -> DataFrame:
-        return self.sliced.drop(SLICE)
+        return self.sliced.drop(SLICE, KEY)
 
     def with_columns(self, **columns: Column) -> History:
         return replace(self, sliced=self.sliced.withColumns(columns))

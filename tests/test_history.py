@@ -80,6 +80,15 @@ def test_one_key_with_a_third_of_the_rows(events):
     assert rows_of(scan(skewed, ["user_id"], ORDER, columns(), 50)) == rows_of(scan(skewed, ["user_id"], ORDER, columns()))
 
 
+def test_a_null_key_with_a_third_of_the_rows(events):
+    skewed = events.withColumn("user_id", F.when(F.col("event_id") % 3 != 0, F.col("user_id")))
+    sizes = History.of(skewed, ["user_id"], ORDER, 50).sliced.where("user_id is null").groupBy("_slice").count()
+    assert sizes.count() > 3
+    assert rows_of(scan(skewed, ["user_id"], ORDER, columns(), 50)) == rows_of(scan(skewed, ["user_id"], ORDER, columns()))
+    for name in ("session", "pattern"):
+        assert rows_of(CASES[name](skewed, 50)) == rows_of(CASES[name](skewed, NEVER))
+
+
 def test_a_burst_inside_a_hot_key_is_split_too(spark):
     # nine tenths of the rows within a second, the rest spread over ten days
     at = "if(id % 10 = 0, cast(id * 86 as double), 400000 + id / 10000.0)"
