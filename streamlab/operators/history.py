@@ -31,8 +31,9 @@ from streamlab.session import checkpointed
 
 HOT_ROWS = 1_000_000
 SMALL_BYTES = 64 * 1024 * 1024
-SEGMENTS = 64
+SEGMENTS = 16
 
+PARTS = "_parts"
 SLICE = "_slice"
 KEY = "_key"
 
@@ -157,17 +158,25 @@ def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows:
     )
 
 
-def _slice_number(pos: Column) -> Column:
-    """Slice of a row of a hot key: rows are cut at quantiles of the key and evenly in between.
+def _with_slice(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add the slice: rows of a hot key are cut at quantiles of the key and evenly in between.
 
-    The quantiles follow bursts, the even cuts give the number of slices. Rows that tie in ``pos`` share a slice.
+    The quantiles follow bursts, the even cuts give the number of slices. Rows that tie in the first order column share
+    a slice. Each step is its own projection, so Spark computes the segment once per row.
     """
-    segment = F.size(F.filter("_cuts", lambda cut: cut <= pos))
+    pos, parts = F.col("_pos"), F.ceil(F.col("_parts") / F.lit(SEGMENTS))
+    passed = [(pos >= F.get("_cuts", F.lit(i))).cast("int") for i in range(SEGMENTS - 1)]
     edges = F.concat(F.array("_lo"), F.col("_cuts"), F.array("_hi"))
-    low, high = F.get(edges, segment), F.get(edges, segment + 1)
-    per_segment = F.ceil(F.col("_parts") / F.lit(SEGMENTS))
-    share = F.coalesce((pos - low) / F.nullif(high - low, F.lit(0.0)), F.lit(0.0))
-    return segment * per_segment + F.least(F.floor(share * per_segment), per_segment - 1)
+    share = (pos - F.col("_low")) / F.nullif(F.get("_edges", F.col("_segment") + 1) - F.col("_low"), F.lit(0.0))
+    within = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * parts), parts - 1)
+    return (
+        df.withColumn("_pos", position(df, order[0]))
+        .join(F.broadcast(hot.withColumn("_edges", edges)), list(keys), "left")
+        .withColumn("_segment", reduce(lambda x, y: x + y, passed))
+        .withColumn("_low", F.get("_edges", F.col("_segment")))
+        .withColumn(SLICE, F.col("_segment") * parts + within)
+        .select(*df.columns, PARTS, SLICE)
+    )
 
 
 @dataclass(frozen=True)
@@ -199,13 +208,12 @@ class History:
             df = df.withColumn(KEY, F.struct(*keys))
             hot = hot.withColumn(KEY, F.struct(*keys)).drop(*keys)
             keys = [KEY]
-        number = F.when(F.col("_parts").isNotNull(), _slice_number(position(df, order[0])))
-        sliced = df.join(F.broadcast(hot), list(keys), "left").withColumn(SLICE, number).select(*df.columns, SLICE)
+        sliced = _with_slice(df, hot, keys, order)
         return History(sliced, tuple(keys), tuple(order))
 
     @property
     def rows(self) -> DataFrame:
-        return self.sliced.drop(SLICE, KEY)
+        return self.sliced.drop(PARTS, SLICE, KEY)
 
     def with_columns(self, **columns: Column) -> History:
         return replace(self, sliced=self.sliced.withColumns(columns))
@@ -218,7 +226,7 @@ class History:
 
     def scan(self, **columns: Scan) -> History:
         """Add the columns to every row."""
-        group = [*self.keys, SLICE] if self.split else list(self.keys)
+        group = [*self.keys, PARTS, SLICE] if self.split else list(self.keys)
         forward = Window.partitionBy(*group).orderBy(*self.order)
         backward = Window.partitionBy(*group).orderBy(*[F.desc(o) for o in self.order])
         local = []
@@ -240,10 +248,12 @@ class History:
 
     def _carried(self, columns: dict[str, Scan]) -> DataFrame:
         """Per slice of a hot key, each column's value over all slices before it (or after it)."""
-        # the slice is NULL for other keys, so this filter turns the join with the hot keys into an inner one
+        # PARTS is NULL for other keys: this filter passes through earlier scans, as PARTS is one of their partitioning
+        # columns, and turns the join with the hot keys into an inner one
+        group = [*self.keys, PARTS, SLICE]
         summary = (
-            self.sliced.where(F.col(SLICE).isNotNull())
-            .groupBy(*self.keys, SLICE)
+            self.sliced.where(F.col(PARTS).isNotNull())
+            .groupBy(*group)
             .agg(*[s.summary(s.value, self.order).alias(f"_carry_{n}") for n, s in columns.items()])
         )
         by_key = Window.partitionBy(*self.keys)
@@ -253,7 +263,7 @@ class History:
             s.over(F.col(f"_carry_{n}")).over(later if s.ahead else earlier).alias(f"_carry_{n}")
             for n, s in columns.items()
         ]
-        return summary.select(*self.keys, SLICE, *carries)
+        return summary.select(*group, *carries)
 
 
 def scan(
