@@ -31,14 +31,25 @@ def build_session(app: str = "streamlab", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the cluster's checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    For small results that several branches of a plan must see alike. The folder is the one the session names; only
-    where it names none (as in tests) a local one is set.
+    Where the session names none, a local run gets a folder of its own (kept in the session's setting, so that all
+    callers agree); on a cluster that is an error, since executors would write to their own disks.
     """
+    folder = spark.conf.get(CHECKPOINT_CONF, None)
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
+    folder = "file://" + tempfile.mkdtemp(prefix="streamlab-shared-")
+    spark.conf.set(CHECKPOINT_CONF, folder)
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and go on from there; the lineage ends."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get(CHECKPOINT_CONF, None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="streamlab-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
