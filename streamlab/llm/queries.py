@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlab.llm import exact_dedup, mixing, warc
+from streamlab.llm import exact_dedup, mixing, simhash, warc
 from streamlab.llm.common import checkpointed, crc_of_id, fresh_folder, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op2_simhash")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = simhash.mark(read_table(spark, sf_dir, "documents"), settings=simhash.CLOSE)
+    return marked.select(F.col("id").alias("doc_id"), F.lower(F.hex("print")).alias("fingerprint"), "component_id")
+
+
 @query("op7_exact_dedup", r"""
     WITH d AS (
         SELECT doc_id, length(coalesce(text, '')) AS chars,
