@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlab.llm import exact_dedup, mixing, simhash, warc
+from streamlab.llm import exact_dedup, mixing, quality, simhash, warc
 from streamlab.llm.common import checkpointed, crc_of_id, fresh_folder, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write_archive(read_table(spark, sf_dir, "pages"), fresh_folder(spark, "warc"))
     return warc.read_records(index).drop("url", "payload")
+
+
+@query("op1_quality")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the labels whose crc32(doc_id) mod 5 is not 0."""
+    labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    scored = quality.classify(read_table(spark, sf_dir, "documents"), labels.where(crc_of_id("id") % 5 != 0))
+    return scored.select(
+        F.col("id").alias("doc_id"), (crc_of_id("id") % 5 == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
