@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlab.llm import exact_dedup, mixing, quality, simhash, warc
+from streamlab.llm import ann, exact_dedup, mixing, quality, simhash, warc
 from streamlab.llm.common import checkpointed, crc_of_id, fresh_folder, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         F.col("id").alias("doc_id"), (crc_of_id("id") % 5 == 0).alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op5_ann")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: every vector whose id is divisible by 20."""
+    vectors = ann.valid_vectors(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return ann.search(vectors, vectors.where("id % 20 = 0"))
