@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlab.llm import ann, exact_dedup, mixing, quality, simhash, warc
+from streamlab.llm import ann, exact_dedup, mixing, quality, sentence_pieces, simhash, warc
 from streamlab.llm.common import checkpointed, crc_of_id, fresh_folder, read_table
 
+#: The public vocabulary file; read on the driver.
+PIECE_MODEL = os.environ.get("PIECE_MODEL") or public_tokenizers.path("piece_bpe_32k.model")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -87,3 +92,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queries: every vector whose id is divisible by 20."""
     vectors = ann.valid_vectors(read_table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     return ann.search(vectors, vectors.where("id % 20 = 0"))
+
+
+@query("op3_sentence_pieces")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every text and decodes the ids again; ``round_trip`` compares with the text, marks taken as blanks."""
+    model = sentence_pieces.read_model(PIECE_MODEL)
+    rows = sentence_pieces.decode(sentence_pieces.encode(read_table(spark, sf_dir, "documents"), model), model)
+    return rows.select(
+        F.col("id").alias("doc_id"), F.size("ids").alias("n_tokens"), "ids",
+        (F.col("decoded") == F.translate("text", sentence_pieces.MARK, " ")).alias("round_trip"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
