@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -99,16 +100,41 @@ class Transducer:
         self.weights = {p: -model.scores[i] for p, i in self.ids.items()}
         # a character without a piece costs more than any piece
         self.unknown_weight = max(self.weights.values(), default=0.0) + 10.0
-        self.starts = {p[:n] for p in self.ids for n in range(1, len(p) + 1)}
-        self.shorter = {p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in self.ids or n == 1), None) for p in self.ids}
+        self._build_trie()
         marks_inside = any(MARK in p.lstrip(MARK) for p in self.ids)
         lines = "" if any("\n" in p for p in self.ids) else "\n"
         cut = f"{lines}|" * bool(lines) + f" *[^ {lines}]+| +"
         self.part = re.compile(r"(?s).+" if marks_inside else cut)
         self._parts: dict[str, bytes] = {}
-        self._pairs: dict[tuple[str, str], bool] = {}
+        self._pairs: dict[int, bool] = {}
         self.texts = [self._decoded(i) for i in range(len(model.pieces))]
 
+    def _build_trie(self) -> None:
+        """``next_nodes[node]`` leads on by a character, ``ends[node]`` is the piece that ends there or -1.
+
+        A character without a piece has the number ``size`` plus its code point. ``shorter`` is the longest other piece that a
+        piece begins with, at last its first character.
+        """
+        self.size = len(self.model.pieces)
+        self.next_nodes: list[dict[str, int]] = [{}]
+        self.ends = [-1]
+        self.shorter, self.lengths = [-1] * self.size, [1] * self.size
+        for piece in sorted(self.ids, key=len):
+            node, last = 0, -1
+            for c in piece:
+                if node and self.ends[node] >= 0:
+                    last = self.ends[node]
+                if c not in self.next_nodes[node]:
+                    self.next_nodes[node][c] = len(self.ends)
+                    self.next_nodes.append({})
+                    self.ends.append(-1)
+                node = self.next_nodes[node][c]
+            i = self.ids[piece]
+            self.ends[node] = i
+            self.lengths[i] = len(piece)
+            if len(piece) > 1:
+                self.shorter[i] = last if last >= 0 else self.size + ord(piece[0])
+
     def _decoded(self, i: int) -> bytes:
         kind, piece = self.model.kinds[i], self.model.pieces[i]
         if kind == BYTE:
@@ -137,74 +163,89 @@ class Transducer:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def _allowed(self, before: str, piece: str) -> bool:
-        """Whether the arc's weight is finite; ``before`` is empty at the start."""
-        key = (before, piece)
-        found = self._pairs.get(key)
-        if found is None:
-            if len(self._pairs) >= KEPT_PAIRS:
-                self._pairs.clear()
-            found = self.merge(before + piece) == ([before, piece] if before else [piece])
-            self._pairs[key] = found
+    def _text(self, number: int) -> str:
+        return self.model.pieces[number] if number < self.size else chr(number - self.size)
+
+    def _allowed(self, before: int, piece: int) -> bool:
+        """Whether the arc's weight is finite; ``before`` is -1 at the start."""
+        left, right = self._text(before) if before >= 0 else "", self._text(piece)
+        found = self.merge(left + right) == ([left, right] if left else [right])
+        if len(self._pairs) >= KEPT_PAIRS:
+            self._pairs.clear()
+        self._pairs[before * 0x200000 + piece] = found
         return found
 
-    def _longest(self, text: str, at: int) -> str:
-        best, end = text[at], at + 2
-        while end <= len(text) and (start := text[at:end]) in self.starts:
-            if start in self.ids:
-                best = start
-            end += 1
-        return best
-
-    def _merge_path(self, text: str) -> list[str]:
-        path, at, dead = [], 0, set()
-        piece = self._longest(text, 0)
-        while True:
-            before = path[-1] if path else ""
-            while piece is not None and (at + len(piece) in dead or not self._allowed(before, piece)):
-                piece = self.shorter.get(piece)
-            if piece is not None:
-                path.append(piece)
-                at += len(piece)
-                if at == len(text):
-                    return path
-                piece = self._longest(text, at)
-            else:
+    def _merge_path(self, text: str) -> list[int]:
+        next_nodes, ends, lengths, shorter, known, size = self.next_nodes, self.ends, self.lengths, self.shorter, self._pairs, self.size
+        path: list[int] = []
+        before, at, n = -1, 0, len(text)
+        dead: set[int] = set()
+        while at < n:
+            # the longest arc from here
+            piece, node, end = size + ord(text[at]), 0, at
+            while end < n:
+                node = next_nodes[node].get(text[end], 0)
+                if not node:
+                    break
+                end += 1
+                if ends[node] >= 0:
+                    piece = ends[node]
+            while True:
+                while piece >= 0:
+                    allowed = known.get(before * 0x200000 + piece)
+                    if allowed is None:
+                        allowed = self._allowed(before, piece)
+                    length = lengths[piece] if piece < size else 1
+                    if allowed and not (dead and at + length in dead):
+                        break
+                    piece = shorter[piece] if piece < size else -1
+                if piece >= 0:
+                    break
+                # no arc leads on: go back over the last one
                 dead.add(at)
                 last = path.pop()
-                at -= len(last)
-                piece = self.shorter.get(last)
-
-    def _unigram_path(self, text: str) -> list[str]:
-        best: list[tuple[float, int]] = [(0.0, 0)] + [(float("inf"), 0)] * len(text)
+                before = path[-1] if path else -1
+                at -= lengths[last] if last < size else 1
+                piece = shorter[last] if last < size else -1
+            path.append(piece)
+            before = piece
+            at += length
+        return path
+
+    def _unigram_path(self, text: str) -> list[int]:
+        best: list[tuple[float, int, int]] = [(0.0, 0, 0)] + [(float("inf"), 0, 0)] * len(text)
         for at in range(len(text)):
-            so_far = best[at][0]
-            end = at + 1
-            while end <= len(text) and (piece := text[at:end]) in self.starts or end == at + 1:
-                piece = text[at:end]
-                weight = self.weights.get(piece, self.unknown_weight if end == at + 1 else float("inf"))
-                if so_far + weight < best[end][0]:
-                    best[end] = (so_far + weight, at)
+            so_far, node, end = best[at][0], 0, at
+            arcs = [(self.unknown_weight, self.size + ord(text[at]), at + 1)]
+            while end < len(text) and (node := self.next_nodes[node].get(text[end], 0)):
                 end += 1
+                if self.ends[node] >= 0:
+                    arcs.append((self.weights[self._text(self.ends[node])], self.ends[node], end))
+            for weight, piece, to in arcs:
+                if so_far + weight < best[to][0]:
+                    best[to] = (so_far + weight, at, piece)
         path, end = [], len(text)
         while end:
-            path.append(text[best[end][1]:end])
-            end = best[end][1]
+            _, end, piece = best[end]
+            path.append(piece)
         return path[::-1]
 
     def _encode_part(self, part: str) -> bytes:
         text = part.replace(" ", MARK)
-        ids: list[int] = []
-        for piece in self._merge_path(text) if self.model.kind == BPE else self._unigram_path(text):
-            if piece in self.ids:
-                ids.append(self.ids[piece])
-            elif self.byte_ids:
-                ids.extend(self.byte_ids[b] for b in piece.encode())
-            elif not ids or ids[-1] != self.unknown:
-                ids.append(self.unknown)
+        path = self._merge_path(text) if self.model.kind == BPE else self._unigram_path(text)
+        if path and max(path) >= self.size:
+            ids: list[int] = []
+            for piece in path:
+                if piece < self.size:
+                    ids.append(piece)
+                elif self.byte_ids:
+                    ids.extend(self.byte_ids[b] for b in chr(piece - self.size).encode())
+                elif not ids or ids[-1] != self.unknown:
+                    ids.append(self.unknown)
+            path = ids
         if len(self._parts) >= KEPT_PARTS:
             self._parts.clear()
-        found = np.array(ids, dtype="<i4").tobytes()
+        found = array("i", path).tobytes()
         if len(part) <= 64:
             self._parts[part] = found
         return found
