@@ -7,13 +7,13 @@ take the byte-fallback arc, one id for each UTF-8 byte. The composition with an
 path in the tropical semiring is the encoding.
 
 For a model of merges, two pieces may stand side by side if merging their joined text by the model's scores gives back just
-these two. Merging an input touches no pair of neighbours that would be merged alone, and the encoding of a text up to any
-of its cuts is the encoding of that part, so every position is reached by at most one path of finite weight. The search
-therefore goes depth first, longest arc first, and marks positions from which it had to turn back. For a unigram model all
-neighbours are allowed and an arc weighs minus the piece's score; the shortest path is found position by position.
+these two. The encoding of a text up to any of its cuts is the encoding of that part, so every position is reached by just one path of
+finite weight, and one last piece per position is all the state that a search from left to right needs. For a unigram model all
+neighbours are allowed and an arc weighs minus the piece's score; the shortest path is found position by position too.
 
-No piece holds a white-space mark after another character, so an input is cut before each run of marks, and at line ends
-if they have no piece; the paths of the parts are independent, and recent ones are kept.
+An input is cut where no piece reaches over: before each run of white-space marks, and between letters and other characters
+if the model has no such piece. The paths of the parts are independent. New parts of a batch are searched in sorted order,
+so that a part starts from the states of the prefix it shares with the one before; recent parts are kept.
 
 Defined cases: null and empty texts have no ids and decode to the empty text. A white-space mark in a text is the same as a
 blank, and so comes back as one. Ids of control pieces decode to nothing, the unknown id to " ⁇ ", bytes that are not UTF-8
@@ -39,7 +39,7 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Most encoded parts and neighbour pairs that a worker keeps.
-KEPT_PARTS, KEPT_PAIRS = 400_000, 1_000_000
+KEPT_PARTS, KEPT_PAIRS = 800_000, 1_000_000
 UNKNOWN_TEXT = " ⁇ ".encode()
 
 
@@ -101,39 +101,42 @@ class Transducer:
         # a character without a piece costs more than any piece
         self.unknown_weight = max(self.weights.values(), default=0.0) + 10.0
         self._build_trie()
-        marks_inside = any(MARK in p.lstrip(MARK) for p in self.ids)
-        lines = "" if any("\n" in p for p in self.ids) else "\n"
-        cut = f"{lines}|" * bool(lines) + f" *[^ {lines}]+| +"
-        self.part = re.compile(r"(?s).+" if marks_inside else cut)
+        self.part = re.compile(self._cuts())
         self._parts: dict[str, bytes] = {}
         self._pairs: dict[int, bool] = {}
         self.texts = [self._decoded(i) for i in range(len(model.pieces))]
 
+    def _cuts(self) -> str:
+        """A pattern of parts that no piece reaches over."""
+        pairs = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
+        if any(a != MARK and b == MARK for a, b in pairs):
+            return r"(?s).+"
+        # what the pattern takes for a letter, without the numerals among it that stand beside other characters
+        letter = re.compile(r"[^\W\d_]")
+        mixed = {p for p in pairs if p[0] != MARK and bool(letter.match(p[0])) != bool(letter.match(p[1]))}
+        others = {c for c in "".join(mixed) if letter.match(c) and not c.isalpha()}
+        if any(others.isdisjoint(p) for p in mixed) or any(not others.isdisjoint(p) for p in pairs - mixed if letter.match(p[0]) and letter.match(p[1])):
+            return r" *[^ ]+| +"
+        others = "".join(re.escape(c) for c in sorted(others))
+        return rf" *[^\W\d_{others}]+| *(?:[^ \w]|[\d_{others}])+| +"
+
     def _build_trie(self) -> None:
-        """``next_nodes[node]`` leads on by a character, ``ends[node]`` is the piece that ends there or -1.
+        """The pieces read backwards: ``next_nodes[node]`` leads on by a character, ``ends[node]`` is the piece that ends there or -1.
 
-        A character without a piece has the number ``size`` plus its code point. ``shorter`` is the longest other piece that a
-        piece begins with, at last its first character.
+        A character without a piece has the number ``size`` plus its code point.
         """
         self.size = len(self.model.pieces)
         self.next_nodes: list[dict[str, int]] = [{}]
         self.ends = [-1]
-        self.shorter, self.lengths = [-1] * self.size, [1] * self.size
-        for piece in sorted(self.ids, key=len):
-            node, last = 0, -1
-            for c in piece:
-                if node and self.ends[node] >= 0:
-                    last = self.ends[node]
+        for piece, i in self.ids.items():
+            node = 0
+            for c in reversed(piece):
                 if c not in self.next_nodes[node]:
                     self.next_nodes[node][c] = len(self.ends)
                     self.next_nodes.append({})
                     self.ends.append(-1)
                 node = self.next_nodes[node][c]
-            i = self.ids[piece]
             self.ends[node] = i
-            self.lengths[i] = len(piece)
-            if len(piece) > 1:
-                self.shorter[i] = last if last >= 0 else self.size + ord(piece[0])
 
     def _decoded(self, i: int) -> bytes:
         kind, piece = self.model.kinds[i], self.model.pieces[i]
@@ -175,84 +178,86 @@ class Transducer:
         self._pairs[before * 0x200000 + piece] = found
         return found
 
-    def _merge_path(self, text: str) -> list[int]:
-        next_nodes, ends, lengths, shorter, known, size = self.next_nodes, self.ends, self.lengths, self.shorter, self._pairs, self.size
-        path: list[int] = []
-        before, at, n = -1, 0, len(text)
-        dead: set[int] = set()
-        while at < n:
-            # the longest arc from here
-            piece, node, end = size + ord(text[at]), 0, at
-            while end < n:
-                node = next_nodes[node].get(text[end], 0)
-                if not node:
-                    break
-                end += 1
-                if ends[node] >= 0:
+    def _merge_paths(self, parts: list[str]) -> Iterator[list[int]]:
+        """The path of each of the sorted ``parts``; states of the prefix shared with the part before are taken over."""
+        next_nodes, ends, known, size = self.next_nodes, self.ends, self._pairs, self.size
+        last, start, before = [-1], [0], ""
+        for part in parts:
+            text = part.replace(" ", MARK)
+            shared, n = 0, min(len(text), len(before))
+            while shared < n and text[shared] == before[shared]:
+                shared += 1
+            del last[shared + 1:], start[shared + 1:]
+            for end in range(shared + 1, len(text) + 1):
+                # the pieces that end here, the shortest first
+                at, node = end - 1, next_nodes[0].get(text[end - 1], 0)
+                piece = ends[node] if node and ends[node] >= 0 else size + ord(text[at])
+                while True:
+                    if piece >= 0:
+                        allowed = known.get(last[at] * 0x200000 + piece)
+                        if allowed is None:
+                            allowed = self._allowed(last[at], piece)
+                        if allowed:
+                            break
+                    node = next_nodes[node].get(text[at - 1], 0) if at and node else 0
+                    if not node:
+                        raise ValueError("pieces of this model do not follow from merges")
+                    at -= 1
                     piece = ends[node]
-            while True:
-                while piece >= 0:
-                    allowed = known.get(before * 0x200000 + piece)
-                    if allowed is None:
-                        allowed = self._allowed(before, piece)
-                    length = lengths[piece] if piece < size else 1
-                    if allowed and not (dead and at + length in dead):
-                        break
-                    piece = shorter[piece] if piece < size else -1
-                if piece >= 0:
-                    break
-                # no arc leads on: go back over the last one
-                dead.add(at)
-                last = path.pop()
-                before = path[-1] if path else -1
-                at -= lengths[last] if last < size else 1
-                piece = shorter[last] if last < size else -1
-            path.append(piece)
-            before = piece
-            at += length
-        return path
-
-    def _unigram_path(self, text: str) -> list[int]:
-        best: list[tuple[float, int, int]] = [(0.0, 0, 0)] + [(float("inf"), 0, 0)] * len(text)
-        for at in range(len(text)):
-            so_far, node, end = best[at][0], 0, at
-            arcs = [(self.unknown_weight, self.size + ord(text[at]), at + 1)]
-            while end < len(text) and (node := self.next_nodes[node].get(text[end], 0)):
-                end += 1
+                last.append(piece)
+                start.append(at)
+            before, path, at = text, [], len(text)
+            while at:
+                path.append(last[at])
+                at = start[at]
+            path.reverse()
+            yield path
+
+    def _unigram_path(self, part: str) -> list[int]:
+        text = part.replace(" ", MARK)
+        best: list[tuple[float, int, int]] = [(0.0, 0, 0)]
+        for end in range(1, len(text) + 1):
+            arcs = [(best[end - 1][0] + self.unknown_weight, end - 1, self.size + ord(text[end - 1]))]
+            node, at = 0, end
+            while at and (node := self.next_nodes[node].get(text[at - 1], 0)):
+                at -= 1
                 if self.ends[node] >= 0:
-                    arcs.append((self.weights[self._text(self.ends[node])], self.ends[node], end))
-            for weight, piece, to in arcs:
-                if so_far + weight < best[to][0]:
-                    best[to] = (so_far + weight, at, piece)
+                    arcs.append((best[at][0] + self.weights[self._text(self.ends[node])], at, self.ends[node]))
+            best.append(min(arcs))
         path, end = [], len(text)
         while end:
             _, end, piece = best[end]
             path.append(piece)
         return path[::-1]
 
-    def _encode_part(self, part: str) -> bytes:
-        text = part.replace(" ", MARK)
-        path = self._merge_path(text) if self.model.kind == BPE else self._unigram_path(text)
-        if path and max(path) >= self.size:
-            ids: list[int] = []
-            for piece in path:
-                if piece < self.size:
-                    ids.append(piece)
-                elif self.byte_ids:
-                    ids.extend(self.byte_ids[b] for b in chr(piece - self.size).encode())
-                elif not ids or ids[-1] != self.unknown:
-                    ids.append(self.unknown)
-            path = ids
-        if len(self._parts) >= KEPT_PARTS:
+    def _ids(self, path: list[int]) -> list[int]:
+        if not path or max(path) < self.size:
+            return path
+        ids: list[int] = []
+        for piece in path:
+            if piece < self.size:
+                ids.append(piece)
+            elif self.byte_ids:
+                ids.extend(self.byte_ids[b] for b in chr(piece - self.size).encode())
+            elif not ids or ids[-1] != self.unknown:
+                ids.append(self.unknown)
+        return ids
+
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        cut = [self.part.findall(self.normalise(t)) for t in texts]
+        new = sorted({p for parts in cut for p in parts} - self._parts.keys())
+        if len(self._parts) + len(new) > KEPT_PARTS:
             self._parts.clear()
-        found = array("i", path).tobytes()
-        if len(part) <= 64:
-            self._parts[part] = found
-        return found
+            new = sorted({p for parts in cut for p in parts})
+        paths = self._merge_paths(new) if self.model.kind == BPE else map(self._unigram_path, new)
+        for part, path in zip(new, paths, strict=True):
+            self._parts[part] = array("i", self._ids(path)).tobytes()
+        known = self._parts.__getitem__
+        return [np.frombuffer(b"".join(map(known, parts)), dtype="<i4") for parts in cut]
 
     def encode(self, text: str) -> np.ndarray:
-        known, new = self._parts.get, self._encode_part
-        return np.frombuffer(b"".join([known(p) or new(p) for p in self.part.findall(self.normalise(text))]), dtype="<i4")
+        return self.encode_batch([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         data = b"".join(map(self.texts.__getitem__, ids))
@@ -277,7 +282,7 @@ def encode(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = compiled(model)
         for batch in batches:
-            found = [transducer.encode(t.as_py()) for t in batch["text"]]
+            found = transducer.encode_batch(batch["text"].to_pylist())
             ends = np.cumsum([0, *map(len, found)])
             flat = np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
             # Spark's array type has 32-bit offsets
