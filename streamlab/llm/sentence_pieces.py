@@ -22,6 +22,7 @@ to the replacement character. Rows with repeated ids are encoded each on its own
 
 from __future__ import annotations
 
+import gc
 import re
 import struct
 from array import array
@@ -38,8 +39,8 @@ from streamlab.llm.common import as_text
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Most encoded parts and neighbour pairs that a worker keeps.
-KEPT_PARTS, KEPT_PAIRS = 800_000, 1_000_000
+#: Encoded parts (and as many words) and neighbour pairs that a worker keeps; it begins anew when it has more.
+KEPT_PARTS, KEPT_PAIRS = 500_000, 1_000_000
 UNKNOWN_TEXT = " ⁇ ".encode()
 
 
@@ -103,6 +104,7 @@ class Transducer:
         self._build_trie()
         self.part = re.compile(self._cuts())
         self._parts: dict[str, bytes] = {}
+        self._words: dict[str, bytes] = {}
         self._pairs: dict[int, bool] = {}
         self.texts = [self._decoded(i) for i in range(len(model.pieces))]
 
@@ -243,18 +245,33 @@ class Transducer:
                 ids.append(self.unknown)
         return ids
 
-    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text."""
-        cut = [self.part.findall(self.normalise(t)) for t in texts]
-        new = sorted({p for parts in cut for p in parts} - self._parts.keys())
-        if len(self._parts) + len(new) > KEPT_PARTS:
-            self._parts.clear()
-            new = sorted({p for parts in cut for p in parts})
+    def _learn_parts(self, parts: set[str]) -> None:
+        new = sorted(parts - self._parts.keys())
         paths = self._merge_paths(new) if self.model.kind == BPE else map(self._unigram_path, new)
         for part, path in zip(new, paths, strict=True):
             self._parts[part] = array("i", self._ids(path)).tobytes()
+
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text. Words that one blank sets apart are looked up whole, and cut into parts if they are new."""
+        if len(self._parts) > KEPT_PARTS or len(self._words) > KEPT_PARTS:
+            self._parts.clear()
+            self._words.clear()
+        units: list[tuple[dict[str, bytes], list[str]]] = []
+        words: set[str] = set()
+        parts: set[str] = set()
+        for text in map(self.normalise, texts):
+            if text.startswith(" ") and "  " not in text and not text.endswith(" "):
+                units.append((self._words, text[1:].split(" ")))
+                words.update(units[-1][1])
+            else:
+                units.append((self._parts, self.part.findall(text)))
+                parts.update(units[-1][1])
+        cut = {w: self.part.findall(" " + w) for w in words - self._words.keys()}
+        self._learn_parts(parts.union(*cut.values()))
         known = self._parts.__getitem__
-        return [np.frombuffer(b"".join(map(known, parts)), dtype="<i4") for parts in cut]
+        for word, own in cut.items():
+            self._words[word] = b"".join(map(known, own))
+        return [np.frombuffer(b"".join(map(kept.__getitem__, own)), dtype="<i4") for kept, own in units]
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_batch([text])[0]
@@ -281,6 +298,7 @@ def encode(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str =
     """Per row: id, text and ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = compiled(model)
+        gc.disable()  # the kept paths are many and hold no cycles
         for batch in batches:
             found = transducer.encode_batch(batch["text"].to_pylist())
             ends = np.cumsum([0, *map(len, found)])
