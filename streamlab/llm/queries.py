@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlab.llm import ann, exact_dedup, mixing, quality, sentence_pieces, simhash, warc
+from streamlab.llm import ann, exact_dedup, language_model, mixing, quality, sentence_pieces, simhash, toxicity, warc
 from streamlab.llm.common import checkpointed, crc_of_id, fresh_folder, read_table
 
 #: The public vocabulary file; read on the driver.
@@ -103,3 +103,23 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.size("ids").alias("n_tokens"), "ids",
         (F.col("decoded") == F.translate("text", sentence_pieces.MARK, " ")).alias("round_trip"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the labels whose crc32(doc_id) mod 3 is not 1."""
+    documents = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"), F.col("toxic").alias("label"))
+    machine = toxicity.fit(documents, labels.where(crc_of_id("id") % 3 != 1))
+    scored = toxicity.score(documents, machine)
+    return scored.select(
+        F.col("id").alias("doc_id"), (crc_of_id("id") % 3 == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op6_language_model")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the documents whose crc32(doc_id) mod 5 is not 1."""
+    scored = language_model.score(read_table(spark, sf_dir, "documents"), crc_of_id("doc_id") % 5 != 1)
+    return scored.select(
+        F.col("id").alias("doc_id"), (crc_of_id("id") % 5 == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
