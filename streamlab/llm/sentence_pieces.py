@@ -246,7 +246,7 @@ class Transducer:
         return ids
 
     def _learn_parts(self, parts: set[str]) -> None:
-        new = sorted(parts - self._parts.keys())
+        new = sorted(parts.difference(self._parts))
         paths = self._merge_paths(new) if self.model.kind == BPE else map(self._unigram_path, new)
         for part, path in zip(new, paths, strict=True):
             self._parts[part] = array("i", self._ids(path)).tobytes()
@@ -266,7 +266,7 @@ class Transducer:
             else:
                 units.append((self._parts, self.part.findall(text)))
                 parts.update(units[-1][1])
-        cut = {w: self.part.findall(" " + w) for w in words - self._words.keys()}
+        cut = {w: self.part.findall(" " + w) for w in words.difference(self._words)}
         self._learn_parts(parts.union(*cut.values()))
         known = self._parts.__getitem__
         for word, own in cut.items():

@@ -294,7 +294,7 @@ class Scorer:
         if len(self.kept) > KEPT_WORDS:
             self.kept.clear()
         found = [tokens(t) for t in texts]
-        new = list(set().union(*found) - self.kept.keys())
+        new = list(set().union(*found).difference(self.kept))
         parts, ends = [], []
         for t in new:
             parts.extend(stretches(t))
