@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlab.llm import ann, exact_dedup, language_model, mixing, quality, sentence_pieces, simhash, toxicity, warc
+from streamlab.llm import ann, exact_dedup, language_model, mixing, passages, quality, sentence_pieces, simhash, toxicity, warc
 from streamlab.llm.common import checkpointed, crc_of_id, fresh_folder, read_table
 
 #: The public vocabulary file; read on the driver.
@@ -123,3 +123,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = language_model.score(read_table(spark, sf_dir, "documents"), crc_of_id("doc_id") % 5 != 1)
     return scored.select(
         F.col("id").alias("doc_id"), (crc_of_id("id") % 5 == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op9_passages")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeats(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
