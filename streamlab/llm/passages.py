@@ -15,8 +15,8 @@ completes ``LENGTH`` bytes gives the classes of equal windows, and all but the f
 whole unaligned documents would take as many rounds over all data as the longest document has bytes; aligned passages need
 2 * ``SIDE``, whatever the documents' lengths, and each task reads its passages once, in sorted order, from Spark's shuffle files.
 
-An anchor with over ``CROWD`` occurrences is not brought together at all: its windows are hashed (128 bits), and the earliest
-start of each is a grouping with partial aggregation. Documents are kept in a table bucketed by id, so that candidates and spans
+An anchor with over ``CROWD`` occurrences is not brought together at all: equal passages are reduced to the earliest, by a
+grouping with partial aggregation; the windows of these are hashed (128 bits) and grouped in the same way. Documents are kept in a table bucketed by id, so that candidates and spans
 come to the texts without the texts being shuffled again.
 
 Defined cases: a null text is empty; a null id comes after all others; texts shorter than ``LENGTH`` lose nothing; rows that repeat
@@ -224,8 +224,15 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     few = passages(found.where("not crowd")).repartition("hash").sortWithinPartitions("hash", "id", "start")
     spans = few.mapInArrow(_spans, "id bigint, start bigint, stop bigint")
-    windows = passages(found.where("crowd")).mapInArrow(_window_rows, "name binary, id bigint, start bigint").distinct()
-    windows = checkpointed(windows)
+    # of equal passages the earliest stands for all; the others repeat it in every window they hold
+    crowd = checkpointed(passages(found.where("crowd")).withColumn("name", F.md5("passage")))
+    alike = ["name", "left", "right"]
+    firsts_alike = checkpointed(crowd.groupBy(*alike).agg(F.min(F.struct("id", "start", "passage")).alias("first")))
+    again = crowd.select("id", "start", *alike).join(firsts_alike.select(*alike, F.struct("first.id", "first.start").alias("first")), alike)
+    again = again.where(f"left + right >= {SIDE} and struct(id, start) > first")
+    spans = spans.unionByName(again.select("id", (F.col("start") - F.col("left")).alias("start"), (F.col("start") + F.col("right") + GRAM).alias("stop")))
+    windows = firsts_alike.select("first.id", "first.start", "first.passage", "left", "right")
+    windows = checkpointed(windows.mapInArrow(_window_rows, "name binary, id bigint, start bigint").distinct())
     earliest = windows.groupBy("name").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
     again = windows.join(earliest, "name").where("struct(id, start) > first")
     spans = spans.unionByName(again.select("id", "start", (F.col("start") + LENGTH).alias("stop")))
