@@ -93,22 +93,29 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _passage_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The aligned passages of a text; ``left`` and ``right`` tell how much of the sides lies in the text."""
+    """The aligned passages of a text; ``left`` and ``right`` tell how much of the sides lies in the text.
+
+    ``here`` marks passages that an earlier place of the same text holds with the same sides.
+    """
     for batch in batches:
         for row in range(batch.num_rows):
             data, base = batch["text"][row].as_py().encode(), batch["base"][row].as_py()
             places, hashes = (np.array(batch[c][row].as_py(), dtype=np.int64) for c in ("starts", "hashes"))
-            own = (places >= base) & (places < base + len(data))
-            places, hashes = places[own], hashes[own]
+            order = np.argsort(places, kind="stable")
+            order = order[(places[order] >= base) & (places[order] < base + len(data))]
+            places, hashes = places[order], hashes[order]
             if not len(places):
                 continue
             padded = bytes(SIDE) + data + bytes(SIDE)
             local = (places - base).tolist()
+            found = [padded[p:p + SIDE + LENGTH] for p in local]
+            left, right = [min(SIDE, p) for p in local], [min(SIDE, len(data) - p - GRAM) for p in local]
+            seen: set[tuple[bytes, int, int]] = set()
+            here = [key in seen or seen.add(key) is not None for key in zip(found, left, right, strict=True)]
             yield pa.RecordBatch.from_arrays([
                 pa.array(hashes), pa.array(np.full(len(places), batch["id"][row].as_py())), pa.array(places),
-                pa.array([padded[p:p + SIDE + LENGTH] for p in local], pa.binary()),
-                pa.array([min(SIDE, p) for p in local], pa.int32()), pa.array([min(SIDE, len(data) - p - GRAM) for p in local], pa.int32()),
-            ], ["hash", "id", "start", "passage", "left", "right"])
+                pa.array(found, pa.binary()), pa.array(left, pa.int32()), pa.array(right, pa.int32()), pa.array(here),
+            ], ["hash", "id", "start", "passage", "left", "right", "here"])
 
 
 def _ranks(key: np.ndarray) -> np.ndarray:
@@ -220,17 +227,20 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def passages(rows: DataFrame) -> DataFrame:
         places = rows.groupBy("id").agg(F.collect_list("start").alias("starts"), F.collect_list("hash").alias("hashes"))
         with_text = texts.select("id", "base", "text").join(places.hint("merge"), "id")
-        return with_text.mapInArrow(_passage_rows, "hash bigint, id bigint, start bigint, passage binary, left int, right int")
+        return with_text.mapInArrow(_passage_rows, "hash bigint, id bigint, start bigint, passage binary, left int, right int, here boolean")
 
-    few = passages(found.where("not crowd")).repartition("hash").sortWithinPartitions("hash", "id", "start")
+    few = passages(found.where("not crowd")).drop("here").repartition("hash").sortWithinPartitions("hash", "id", "start")
     spans = few.mapInArrow(_spans, "id bigint, start bigint, stop bigint")
     # of equal passages the earliest stands for all; the others repeat it in every window they hold
     crowd = checkpointed(passages(found.where("crowd")).withColumn("name", F.md5("passage")))
     alike = ["name", "left", "right"]
+    whole = (F.col("start") - F.col("left")).alias("start"), (F.col("start") + F.col("right") + GRAM).alias("stop")
+    inside = crowd.where(f"here and left + right >= {SIDE}").select("id", *whole)
+    crowd = crowd.where("not here")
     firsts_alike = checkpointed(crowd.groupBy(*alike).agg(F.min(F.struct("id", "start", "passage")).alias("first")))
     again = crowd.select("id", "start", *alike).join(firsts_alike.select(*alike, F.struct("first.id", "first.start").alias("first")), alike)
     again = again.where(f"left + right >= {SIDE} and struct(id, start) > first")
-    spans = spans.unionByName(again.select("id", (F.col("start") - F.col("left")).alias("start"), (F.col("start") + F.col("right") + GRAM).alias("stop")))
+    spans = spans.unionByName(inside).unionByName(again.select("id", *whole))
     windows = firsts_alike.select("first.id", "first.start", "first.passage", "left", "right")
     windows = checkpointed(windows.mapInArrow(_window_rows, "name binary, id bigint, start bigint").distinct())
     earliest = windows.groupBy("name").agg(F.min(F.struct("id", "start")).alias("first"), F.count("*").alias("n")).where("n > 1")
