@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from streamlab.session import checkpointed, shared_folder
 
-__all__ = ["WORD", "as_text", "checkpointed", "crc_of_id", "fresh_folder", "read_table", "run_starts", "sorted_runs", "task_count", "unused_name"]
+__all__ = ["WORD", "as_text", "checkpointed", "crc_of_id", "fresh_folder", "read_table", "run_starts", "slices", "sorted_runs", "task_count", "unused_name"]
 
 #: A word, wherever documents are measured in words.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -61,6 +61,13 @@ def run_starts(*keys: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(new), n)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, for work that holds every word of a batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def sorted_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of whole runs from batches sorted by the integer columns ``keys``; the last, perhaps open, run waits for the next batch."""
     rest: pa.Table | None = None

@@ -34,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlab.llm.common import as_text
+from streamlab.llm.common import as_text, slices
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Encoded parts (and as many words) and neighbour pairs that a worker keeps; it begins anew when it has more.
-KEPT_PARTS, KEPT_PAIRS = 500_000, 1_000_000
+KEPT_PARTS, KEPT_PAIRS = 300_000, 1_000_000
 UNKNOWN_TEXT = " ⁇ ".encode()
 
 
@@ -299,7 +299,7 @@ def encode(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = compiled(model)
         gc.disable()  # the kept paths are many and hold no cycles
-        for batch in batches:
+        for batch in slices(batches):
             found = transducer.encode_batch(batch["text"].to_pylist())
             ends = np.cumsum([0, *map(len, found)])
             flat = np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
@@ -316,7 +316,7 @@ def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     """``encoded`` (id, text, ids) with the column decoded."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = compiled(model)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [transducer.decode(ids.values.to_numpy().tolist()) for ids in batch["ids"]]
             columns = [batch["id"], batch["text"], batch["ids"], pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "text", "ids", "decoded"])

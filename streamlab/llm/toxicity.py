@@ -34,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlab.llm.common import as_text
+from streamlab.llm.common import as_text, slices
 
 SAMPLE, SAMPLE_CHARS = 3000, 1 << 16
 DECAY, SPAN, BUCKETS = 0.6, 6, 1 << 20
 #: Longest stretch of a word that is compared at once; longer words are compared in overlapping stretches.
 LONGEST = 24
-KEPT_WORDS = 600_000
+KEPT_WORDS = 400_000
 #: z value from which a word counts as telling.
 SURE = 4.0
 
@@ -332,7 +332,7 @@ def score(df: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(machine)
         gc.disable()  # the kept words are many and hold no cycles
-        for batch in batches:
+        for batch in slices(batches):
             values = scorer.values(batch["text"].to_pylist())
             yield pa.RecordBatch.from_arrays([batch["id"], pa.array(values), pa.array(machine.chance(values))], ["id", "value", "score"])
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), as_text(text_col).alias("text"))
