@@ -88,8 +88,16 @@ def reduce_by_key(
     return reduced.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(final, schema)
 
 
+def _keys_as_text(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Whole-number keys as text, NULL as the empty text: a pandas column of numbers with a NULL would be floating point."""
+    whole = [k for k in keys if isinstance(df.schema[k].dataType, T.IntegralType)]
+    return df.withColumns({k: F.coalesce(F.col(k).cast("string"), F.lit("")) for k in whole})
+
+
 def average_with_state(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     """Average from a (sum, count) accumulator."""
+    restored = [F.col(k).try_cast(df.schema[k].dataType).alias(k) for k in keys]
+    df = _keys_as_text(df, keys)
     key_fields = [df.schema[k] for k in keys]
     state = T.StructType([*key_fields, T.StructField("total", T.DoubleType()), T.StructField("n", T.LongType())])
 
@@ -101,11 +109,13 @@ def average_with_state(df: DataFrame, keys: Sequence[str], value: str, name: str
         return states.groupby(list(keys), dropna=False, sort=False)[["total", "n"]].sum().reset_index()
 
     sums = reduce_by_key(df.select(*keys, value), keys, state, add, merge)
-    return sums.select(*keys, F.try_divide("total", "n").alias(name))
+    return sums.select(*restored, F.try_divide("total", "n").alias(name))
 
 
 def top_with_state(df: DataFrame, keys: Sequence[str], value: str, n: int) -> DataFrame:
     """The ``n`` largest values of each key with their rank, as a table aggregate: ``n`` state rows per key."""
+    restored = [F.col(k).try_cast(df.schema[k].dataType).alias(k) for k in keys]
+    df = _keys_as_text(df, keys)
     state = T.StructType([*[df.schema[k] for k in keys], df.schema[value]])
 
     def best(rows: pd.DataFrame) -> pd.DataFrame:
@@ -116,4 +126,4 @@ def top_with_state(df: DataFrame, keys: Sequence[str], value: str, n: int) -> Da
     top = reduce_by_key(rows, keys, state, best, best)
     # at most n rows per key are left
     place = Window.partitionBy(*keys).orderBy(F.desc(value))
-    return top.withColumn("rank", F.row_number().over(place))
+    return top.withColumn("rank", F.row_number().over(place)).select(*restored, value, "rank")

@@ -5,8 +5,9 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator, Sequence
 from datetime import timedelta
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,14 +51,23 @@ def _anchor_windows(rows: DataFrame, keys: Sequence[str], ts: str, length: timed
     )
     span = d.micros(length)
     group = [*keys, "_chain"]
+    names = [*keys, "first_us", "last_us", "cnt", "stop_us"]
 
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Python values of Arrow columns: a NULL key leaves the other keys of its column as they are
         current: list | None = None  # chain, first, last, count, stop of the open window
+        kinds: list[pa.DataType] = []
+
+        def window_rows(done: list[list]) -> pa.RecordBatch:
+            columns = zip(*[(*chain[:-1], *rest) for chain, *rest in done], strict=True) if done else [[] for _ in names]
+            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
+
         for batch in batches:
+            kinds = kinds or [*[batch.schema.field(k).type for k in keys], *[pa.int64()] * 4]
             done: list[list] = []
-            at, stops = batch["_us"].tolist(), batch["_stop_us"].astype("Int64").tolist()
-            total = [0, *batch["_n"].cumsum().tolist()]
-            chains = list(zip(*[batch[g].tolist() for g in group], strict=True))
+            at, stops = batch["_us"].to_pylist(), batch["_stop_us"].to_pylist()
+            total = list(accumulate(batch["_n"].to_pylist(), initial=0))
+            chains = list(zip(*[batch[g].to_pylist() for g in group], strict=True))
             i, size = 0, len(chains)
             while i < size:
                 chain = chains[i]
@@ -74,20 +84,12 @@ def _anchor_windows(rows: DataFrame, keys: Sequence[str], ts: str, length: timed
                         if current is not None:
                             done.append(current)
                         current = [chain, start, at[j - 1], total[j] - total[i], None]
-                    if stops[j - 1] is not pd.NA:
+                    if stops[j - 1] is not None:
                         current[4] = stops[j - 1]
                     i = j
-            yield _window_rows(done)
+            yield window_rows(done)
         if current is not None:
-            yield _window_rows([current])
-
-    names = [*keys, "first_us", "last_us", "cnt", "stop_us"]
-
-    def _window_rows(done: list[list]) -> pd.DataFrame:
-        rows = [(*chain[:-1], first, last, count, stop) for chain, first, last, count, stop in done]
-        frame = pd.DataFrame(rows, columns=names)
-        frame["stop_us"] = frame["stop_us"].astype("Int64")
-        return frame
+            yield window_rows([current])
 
     def as_us(c: str) -> Column:
         return F.unix_micros(F.col(c).cast("timestamp"))
@@ -98,7 +100,7 @@ def _anchor_windows(rows: DataFrame, keys: Sequence[str], ts: str, length: timed
         .repartition(*group)
         .sortWithinPartitions(*group, "_us")
     )
-    walked = merged.mapInPandas(walk, schema)
+    walked = merged.mapInArrow(walk, schema)
     kind = rows.schema[ts].dataType.simpleString()
     return walked.select(
         *keys,
@@ -115,10 +117,11 @@ def no_decrease_alarm(
 ) -> DataFrame:
     """Alarm when ``length`` passes after a rise without a fall. A first reading counts as a rise.
 
-    A rise starts the clock unless it runs; a fall stops it; after an alarm the next rise starts it again.
+    A rise starts the clock unless it runs; a fall stops it; after an alarm the next rise starts it again. NULL readings
+    are left out.
     """
     ts = order[0]
-    seen = History.of(df, keys, order, hot_rows).scan(_p=previous(value, ts))
+    seen = History.of(df.where(F.col(value).isNotNull()), keys, order, hot_rows).scan(_p=previous(value, ts))
     before, gap = F.col(f"_p.{value}"), F.col(ts) - F.col(f"_p.{ts}")
     seen = seen.with_columns(
         _fall=F.coalesce(F.col(value) < before, F.lit(False)),

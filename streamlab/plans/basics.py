@@ -281,7 +281,7 @@ def csv_payload(spark, d):
     SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""")
 def json_payload(spark, d):
     e = events(spark, d)
-    message = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(", "), F.substring("props", 2, 99))
+    message = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(", "), F.expr("substring(props, 2)"))
     return parse.json_payload(e.select(message.alias("value")), "value", "event_id bigint, k bigint")
 
 

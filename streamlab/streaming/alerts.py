@@ -28,7 +28,8 @@ class Jump(Machine):
 
     def on_row(self, state: tuple, at: int, row: Row):
         (before,), now = state, row[self.value]
-        change = 0.0 if before is None else now - before
+        # NULL readings make no change, as in the batch form
+        change = 0.0 if before is None or now is None else now - before
         hit = (change if self.upward_only else abs(change)) > self.threshold
         return (now,), [(at, now, before)] if hit else [], None
 
@@ -42,6 +43,8 @@ class NoDecrease(Machine):
 
     def on_row(self, state: tuple, at: int, row: Row):
         (before, rise), now = state, row[self.value]
+        if now is None:
+            return state, [], None if rise is None else rise + self.length
         if rise is None and (before is None or now > before):
             rise = at
         elif rise is not None and now < before:

@@ -2,20 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamlab.session import CHECKPOINT_CONF
+from streamlab.session import shared_folder
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """Folder below the cluster's shared checkpoint folder; without one (as in tests) a new local folder."""
-    shared = spark.conf.get(CHECKPOINT_CONF, None)
-    if shared:
-        return f"{shared.rstrip('/')}/{name}"
-    return f"{tempfile.mkdtemp(prefix='streamlab-')}/{name}"
+    """Folder below the shared folder."""
+    return f"{shared_folder(spark)}/{name}"
 
 
 def run_to_end(
