@@ -16,7 +16,9 @@ whole unaligned documents would take as many rounds over all data as the longest
 2 * ``SIDE``, whatever the documents' lengths, and each task reads its passages once, in sorted order, from Spark's shuffle files.
 
 An anchor with over ``CROWD`` occurrences is not brought together at all: equal passages are reduced to the earliest, by a
-grouping with partial aggregation; the windows of these are hashed (128 bits) and grouped in the same way. Documents are kept in a table bucketed by id, so that candidates and spans
+grouping with partial aggregation; the windows of these are hashed (128 bits) and grouped in the same way. The busiest anchors
+are not even counted in one place: a first pass over the texts names those that make up over 1 / ``SHARE`` of some stretch of
+anchors, and these are dealt out by place. Which way an anchor takes changes the work, not the result. Documents are kept in a table bucketed by id, so that candidates and spans
 come to the texts without the texts being shuffled again.
 
 Defined cases: a null text is empty; a null id comes after all others; texts shorter than ``LENGTH`` lose nothing; rows that repeat
@@ -41,6 +43,8 @@ from streamlab.llm.common import as_text, checkpointed, fresh_folder, run_starts
 LENGTH, GRAM = 100, 32
 SIDE = LENGTH - GRAM
 CROWD = 5000
+#: Anchors of a stretch; a hash is busy with over 1 / ``SHARE`` of a stretch, if that is over ``LEAST_BUSY``.
+STRETCH, SHARE, LEAST_BUSY = 1 << 18, 1024, 64
 #: Bytes of a text whose anchors are looked for at once.
 PIECE = 1 << 22
 NO_ID = 2**63 - 1
@@ -92,6 +96,24 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     [pa.array(hashes), pa.array(np.full(len(places), ids[row])), pa.array(places + bases[row])], ["hash", "id", "start"])
 
 
+def _busy_hashes(least: int):
+    def busy(stretch: list[np.ndarray]) -> pa.RecordBatch:
+        hashes, counts = np.unique(np.concatenate(stretch), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(hashes[counts > max(least, counts.sum() // SHARE)], pa.int64())], ["hash"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stretch, n = [np.zeros(0, dtype=np.int64)], 0
+        for batch in batches:
+            for text in batch["text"]:
+                stretch.append(anchors(text.as_py().encode())[1])
+                n += len(stretch[-1])
+                if n >= STRETCH:
+                    yield busy(stretch)
+                    stretch, n = stretch[:1], 0
+        yield busy(stretch)
+    return run
+
+
 def _passage_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The aligned passages of a text; ``left`` and ``right`` tell how much of the sides lies in the text.
 
@@ -221,8 +243,13 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     texts = spark.table(table)
 
     found = texts.select("id", "base", "text").mapInArrow(_anchor_rows, "hash bigint, id bigint, start bigint")
-    found = found.withColumn("n", F.count("*").over(Window.partitionBy("hash"))).where("n > 1")
-    found = checkpointed(found.select("id", "start", "hash", (F.col("n") > CROWD).alias("crowd")))
+    # as files, so that Spark sees their size when it plans the join
+    busy = fresh_folder(spark, "passages-busy")
+    texts.select("text").mapInArrow(_busy_hashes(LEAST_BUSY), "hash bigint").distinct().write.parquet(busy)
+    found = found.join(spark.read.parquet(busy).withColumn("busy", F.lit(True)), "hash", "left")
+    found = found.withColumn("part", F.when(F.col("busy"), F.pmod(F.xxhash64("id", "start"), F.lit(buckets))))
+    found = found.withColumn("n", F.count("*").over(Window.partitionBy("hash", "part"))).where("busy or n > 1")
+    found = checkpointed(found.select("id", "start", "hash", (F.col("busy").isNotNull() | (F.col("n") > CROWD)).alias("crowd")))
 
     def passages(rows: DataFrame) -> DataFrame:
         places = rows.groupBy("id").agg(F.collect_list("start").alias("starts"), F.collect_list("hash").alias("hashes"))

@@ -43,9 +43,10 @@ def sample():
     return rows
 
 
-@pytest.mark.parametrize("crowd", [5000, 5])
-def test_made_texts(spark, monkeypatch, crowd):
+@pytest.mark.parametrize(("crowd", "busy"), [(5000, 64), (5, 64), (5000, 3), (5, 1)])
+def test_made_texts(spark, monkeypatch, crowd, busy):
     monkeypatch.setattr(passages, "CROWD", crowd)
+    monkeypatch.setattr(passages, "LEAST_BUSY", busy)
     rows = sample()
     df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id bigint, text string, id int")
     assert collected(passages.remove_repeats(df)) == brute(rows)
