@@ -4,8 +4,8 @@ A plain window function sends all rows of a key to one task. That is fine until
 table, so a ``History`` splits the rows of such *hot* keys into slices along the order column:
 
 1. ``hot_keys`` counts rows per key (partial aggregation, only the key and the order column are read) and keeps the
-   keys above ``hot_rows``, with quantiles of their order column. There can be at most ``rows / hot_rows`` of them,
-   which bounds the broadcast. The result is checkpointed; without hot keys nothing more is done.
+   keys above ``hot_rows``, with quantiles of their order column. There can be at most ``rows / hot_rows`` of them; they
+   are broadcast only up to ``MOST_SENT``. The result is checkpointed; without hot keys nothing more is done.
 2. Rows are grouped by (key, slice); keys that are not hot have the single slice NULL. This is the only shuffle of whole
    rows, also when several scans follow each other.
 3. Each slice of a hot key is reduced to one summary row, and what a slice needs to know about its neighbours (running
@@ -13,9 +13,9 @@ table, so a ``History`` splits the rows of such *hot* keys into slices along the
 4. The usual window functions run per (key, slice) and the carried value is joined on and combined with theirs. The rows
    are already partitioned and sorted for this join; a small carry table is turned into a broadcast at run time.
 
-A table that is small by its size estimate has no key worth splitting and is not counted first.
-
-Every column is exact; slicing only changes how the work is spread. Rows with a NULL key count as one key.
+This is done at every size. Every column is exact but for sums of doubles, which may be added in another order; slicing
+only changes how the work is spread. Rows with a NULL key count as one key; rows with NULL in the first order column come
+before all others of their key and share a slice.
 """
 from __future__ import annotations
 
@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 from streamlab.session import checkpointed
 
 HOT_ROWS = 1_000_000
-SMALL_BYTES = 64 * 1024 * 1024
+#: Hot keys that are broadcast (under 20 MB); more are joined by key.
+MOST_SENT = 50_000
 SEGMENTS = 16
 
 PARTS = "_parts"
@@ -130,31 +131,21 @@ def position(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def is_small(df: DataFrame) -> bool:
-    """Whether the optimizer's size estimate (file sizes for a plain scan) is small enough for one task per key."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SMALL_BYTES
-
-
 def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Keys with more than ``hot_rows`` rows, the number of slices each needs and where its rows lie in order."""
-    pos = position(df, order[0])
-    counted = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.ceil(F.col("_n") / hot_rows).alias("_parts"))
-    )
-    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
     marks = [i / SEGMENTS for i in range(1, SEGMENTS)]
     return (
-        df.select(*keys, pos.alias("_pos"))
-        .join(F.broadcast(counted), same_key)
-        .groupBy(*keys, "_parts")
+        df.select(*keys, position(df, order[0]).alias("_pos"))
+        .groupBy(*keys)
         .agg(
+            F.count("*").alias("_n"),
             F.min("_pos").alias("_lo"),
             F.percentile_approx("_pos", marks, 20 * SEGMENTS).alias("_cuts"),
             F.max("_pos").alias("_hi"),
         )
+        .where(F.col("_n") > hot_rows)
+        .withColumn("_parts", F.ceil(F.col("_n") / hot_rows))
+        .drop("_n")
     )
 
 
@@ -162,7 +153,7 @@ def _with_slice(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: Seque
     """Add the slice: rows of a hot key are cut at quantiles of the key and evenly in between.
 
     The quantiles follow bursts, the even cuts give the number of slices. Rows that tie in the first order column share
-    a slice. Each step is its own projection, so Spark computes the segment once per row.
+    a slice; those with NULL there come first and have slice -1. Each step is its own projection, so Spark computes the segment once per row.
     """
     pos, parts = F.col("_pos"), F.ceil(F.col("_parts") / F.lit(SEGMENTS))
     passed = [(pos >= F.get("_cuts", F.lit(i))).cast("int") for i in range(SEGMENTS - 1)]
@@ -171,10 +162,10 @@ def _with_slice(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: Seque
     within = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * parts), parts - 1)
     return (
         df.withColumn("_pos", position(df, order[0]))
-        .join(F.broadcast(hot.withColumn("_edges", edges)), list(keys), "left")
+        .join(hot.withColumn("_edges", edges), list(keys), "left")
         .withColumn("_segment", reduce(lambda x, y: x + y, passed))
         .withColumn("_low", F.get("_edges", F.col("_segment")))
-        .withColumn(SLICE, F.col("_segment") * parts + within)
+        .withColumn(SLICE, F.when(F.col(PARTS).isNotNull(), F.coalesce(F.col("_segment") * parts + within, F.lit(-1))))
         .select(*df.columns, PARTS, SLICE)
     )
 
@@ -194,20 +185,19 @@ class History:
 
     @staticmethod
     def of(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None) -> History:
-        """``hot_rows`` sets when a key is split; by default it is ``HOT_ROWS``, and small tables are left whole."""
-        if hot_rows is None:
-            if is_small(df):
-                return History(df, tuple(keys), tuple(order), split=False)
-            hot_rows = HOT_ROWS
+        """``hot_rows`` sets when a key is split; by default it is ``HOT_ROWS``."""
         # approximate quantiles may differ between two runs, so all branches of the plan read one stored result
-        hot = checkpointed(hot_keys(df, keys, order, hot_rows))
-        if hot.isEmpty():
+        hot = checkpointed(hot_keys(df, keys, order, HOT_ROWS if hot_rows is None else hot_rows))
+        n_hot = hot.count()
+        if not n_hot:
             return History(df, tuple(keys), tuple(order), split=False)
         if not hot.where(" or ".join(f"`{k}` is null" for k in keys)).isEmpty():
             # a struct of NULLs equals another one, so the joins below also find a hot NULL key
             df = df.withColumn(KEY, F.struct(*keys))
             hot = hot.withColumn(KEY, F.struct(*keys)).drop(*keys)
             keys = [KEY]
+        if n_hot <= MOST_SENT:
+            hot = F.broadcast(hot)
         sliced = _with_slice(df, hot, keys, order)
         return History(sliced, tuple(keys), tuple(order))
 

@@ -6,7 +6,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from streamlab.operators import alerts, distinct, late, patterns, rolling, windows
+from streamlab.operators import alerts, distinct, history, late, patterns, rolling, windows
 from streamlab.operators.history import (
     History,
     first_so_far,
@@ -100,9 +100,24 @@ def test_a_burst_inside_a_hot_key_is_split_too(spark):
     assert rows_of(scan(df, ["k"], ["at", "id"], columns, 100)) == rows_of(scan(df, ["k"], ["at", "id"], columns))
 
 
-def test_small_tables_stay_whole_and_large_ones_do_not(spark, events):
+def test_only_keys_over_the_threshold_are_split(events):
     assert not History.of(events, ["user_id"], ORDER).split
-    assert History.of(spark.range(10**8).withColumn("k", F.lit(1)), ["k"], ["id"]).split
+    assert History.of(events, ["event_type"], ORDER, 50).split
+
+
+def test_many_hot_keys_are_joined_by_key(events, monkeypatch):
+    plain = rows_of(scan(events, ["user_id"], ORDER, columns()))
+    monkeypatch.setattr(history, "MOST_SENT", 0)
+    assert rows_of(scan(events, ["user_id"], ORDER, columns(), 5)) == plain
+
+
+def test_a_null_order_value_in_a_hot_key(events):
+    holed = events.withColumn("ts", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
+    plain = rows_of(scan(holed, ["user_id"], ORDER, columns()))
+    assert rows_of(scan(holed, ["user_id"], ORDER, columns(), 5)) == plain
+    for key in ("user_id", "event_type"):
+        one = {"f": following("event_id"), "p": previous("event_id"), "m": next_match(F.col("event_id") % 5 == 0, "event_id")}
+        assert rows_of(scan(holed, [key], ORDER, one, 2)) == rows_of(scan(holed, [key], ORDER, one))
 
 
 def test_null_keys_and_equal_times(spark):
@@ -115,8 +130,8 @@ def test_null_keys_and_equal_times(spark):
 
 
 def test_chained_scans_shuffle_whole_rows_once(events):
-    history = History.of(events, ["user_id"], ORDER, 1000).scan(p=previous("value"))
-    plan = history.scan(n=running_sum(F.col("p.value"))).rows._jdf.queryExecution().executedPlan().toString()
+    chained = History.of(events, ["user_id"], ORDER, 1000).scan(p=previous("value"))
+    plan = chained.scan(n=running_sum(F.col("p.value"))).rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(user_id") and "Python" not in plan
     wide = [line for line in plan.split("\n") if "FileScan" in line and "props" in line]
     assert len(wide) == 1
