@@ -7,16 +7,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlab.session import checkpointed, shared_folder
 
-__all__ = ["WORD", "as_text", "checkpointed", "crc_of_id", "fresh_folder", "read_table", "run_starts", "slices", "sorted_runs", "task_count", "unused_name"]
+__all__ = ["WORD", "as_text", "checkpointed", "crc_of_id", "fresh_folder", "read_table", "run_starts", "shingle_hashes", "slices", "sorted_runs", "task_count", "unused_name"]
 
 #: A word, wherever documents are measured in words.
 WORD = r"[^\x20\x09-\x0D]+"
 
+#: Of the hashes of shingles.
+SEED = 42
+
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -49,6 +53,19 @@ def unused_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def shingle_hashes(text: str, k: int) -> list[int]:
+    words = text.encode().lower().split()
+    if len(words) <= k:
+        return [xxhash.xxh64_intdigest(b" ".join(words), SEED)] if words else []
+    joined, ends, at = b" ".join(words), [], -1
+    for w in words:
+        at += len(w) + 1
+        ends.append(at)
+    starts = [0, *(e + 1 for e in ends[:len(words) - k])]
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[a:b], SEED) for a, b in zip(starts, ends[k - 1:], strict=True)]
+
+
 def run_starts(*keys: np.ndarray) -> np.ndarray:
     """First index of each run of equal keys, and the length at the end."""
     n = len(keys[0])

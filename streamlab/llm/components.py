@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlab.llm.common import checkpointed
+from streamlab.llm.common import checkpointed, fresh_folder
 
 
 def _star(links: DataFrame, larger_only: bool) -> DataFrame:
@@ -36,3 +36,20 @@ def components(links: DataFrame) -> DataFrame:
             break
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+def labelled(prints: DataFrame, links: DataFrame) -> DataFrame:
+    """``prints`` (id, text_key, print) with component_id and component_key: smallest id of the component of ``links`` over prints, and its text's key."""
+    # nulls last: a struct with a flag in front
+    least = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")).alias("least")
+    distinct = checkpointed(prints.groupBy("print").agg(least))
+    group = components(links)
+    group = distinct.join(group, distinct["print"] == group["node"], "left").select(
+        "print", F.coalesce("root", "print").alias("root"), "least")
+    best = group.groupBy("root").agg(F.min("least").alias("best"))
+    labels = group.join(best, "root").select(
+        "print", F.col("best.id").alias("component_id"), F.col("best.text_key").alias("component_key"))
+    # as a table, so that both sides of the last join are shuffled and a hot fingerprint can be split
+    folder = fresh_folder(prints.sparkSession, "components")
+    labels.write.parquet(folder)
+    return prints.join(prints.sparkSession.read.parquet(folder), "print", "left")

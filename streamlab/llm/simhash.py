@@ -24,14 +24,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlab.llm.common import as_text, checkpointed, fresh_folder, run_starts, sorted_runs, unused_name
-from streamlab.llm.components import components
-
-SEED = 42
+from streamlab.llm import similar
+from streamlab.llm.common import as_text, checkpointed, run_starts, shingle_hashes, sorted_runs, unused_name
+from streamlab.llm.components import labelled
 
 
 @dataclass(frozen=True)
@@ -48,23 +46,6 @@ class Settings:
 
 #: Three-word shingles, 64 bits, at most 2 of them different: every link is found.
 CLOSE = Settings()
-#: Five-word shingles and a similarity of about 0.8: 512 bits of which up to 80 differ (the angle of two shingle sets of that
-#: similarity is 0.15 of a half turn). Pairs of up to 31 differing bits (similarity 0.94 and more) surely share one of the 32
-#: blocks; at 0.8 some 9 in 10 pairs do.
-SIMILAR = Settings(shingle=5, words=8, max_bits=80, blocks=32, agree=1, bucket_rows=16384)
-
-
-def shingle_hashes(text: str, k: int) -> list[int]:
-    words = text.encode().lower().split()
-    if len(words) <= k:
-        return [xxhash.xxh64_intdigest(b" ".join(words), SEED)] if words else []
-    joined, ends, at = b" ".join(words), [], -1
-    for w in words:
-        at += len(w) + 1
-        ends.append(at)
-    starts = [0, *(e + 1 for e in ends[:len(words) - k])]
-    digest = xxhash.xxh64_intdigest
-    return [digest(joined[a:b], SEED) for a, b in zip(starts, ends[k - 1:], strict=True)]
 
 
 def _mixed(h: np.ndarray, word: int) -> np.ndarray:
@@ -261,24 +242,12 @@ def mark(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), as_text(text_col).alias("text"))
     rows = rows.withColumn("text_key", F.xxhash64("text"))
     prints = checkpointed(rows.mapInArrow(_fingerprint(settings), "id bigint, text_key bigint, print binary"))
-    # nulls last: a struct with a flag in front
-    least = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")).alias("least")
-    distinct = checkpointed(prints.groupBy("print").agg(least))
-    group = components(links(distinct.select("print"), settings))
-    group = distinct.join(group, distinct["print"] == group["node"], "left").select(
-        "print", F.coalesce("root", "print").alias("root"), "least")
-    best = group.groupBy("root").agg(F.min("least").alias("best"))
-    labels = group.join(best, "root").select(
-        "print", F.col("best.id").alias("component_id"), F.col("best.text_key").alias("component_key"))
-    # as a table, so that both sides of the last join are shuffled and a hot fingerprint can be split
-    folder = fresh_folder(df.sparkSession, "simhash")
-    labels.write.parquet(folder)
-    return prints.join(df.sparkSession.read.parquet(folder), "print", "left")
-
-
-def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = SIMILAR) -> DataFrame:
-    """One row of ``df`` for each component: the one with the smallest id; all columns as they were."""
-    kept = mark(df, id_col, text_col, settings).where("id <=> component_id and text_key = component_key")
+    return labelled(prints, links(prints.select("print").distinct(), settings))
+
+
+def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``df`` for each component of ``similar``: the one with the smallest id; all columns as they were."""
+    kept = similar.mark(df, id_col, text_col).where("id <=> component_id and text_key = component_key")
     names = {c: unused_name(df, f"kept_{c}") for c in ("id", "text_key")}
     kept = kept.select(*[F.col(c).alias("k_" + n) for c, n in names.items()]).distinct()
     keyed = df.withColumns({names["id"]: F.col(id_col).cast("bigint"), names["text_key"]: F.xxhash64(as_text(text_col))})

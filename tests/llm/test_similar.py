@@ -1,0 +1,74 @@
+"""Links of shingle similarity 0.8 against a comparison of all pairs."""
+
+import numpy as np
+
+from streamlab.llm import similar, simhash
+
+
+def grams(text, k=5):
+    words = (text or "").lower().split()
+    return {tuple(words[i:i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def linked(a, b):
+    return a == b or 5 * len(a & b) >= 4 * len(a | b)
+
+
+def brute_groups(texts):
+    """id -> smallest id reachable."""
+    ids, sets = sorted(texts), {i: grams(t) for i, t in texts.items()}
+    root = {i: i for i in ids}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    for n, a in enumerate(ids):
+        for b in ids[n + 1:]:
+            if linked(sets[a], sets[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in ids}
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+
+
+def groups(marked):
+    return {r.id: r.component_id for r in marked.collect()}
+
+
+def at_the_border(rng):
+    """Pairs (2i, 2i + 1): a text and one with its first words changed, at similarity 0.80 to 0.82 or 0.75 to 0.79."""
+    texts = {}
+    for i in range(300):
+        n = int(rng.integers(40, 200))
+        words = [f"w{x}" for x in rng.integers(0, 100_000, n + 4)]
+        other, above = list(words), i % 2 == 0
+        # n shingles, the first d of them changed: (n - d) / (n + d)
+        d = n // 9 if above else n // 9 + max(1, n // 50)
+        other[:d] = [f"x{x}" for x in rng.integers(0, 100_000, d)]
+        texts[2 * i], texts[2 * i + 1] = " ".join(words), " ".join(other)
+    return texts
+
+
+def test_pairs_at_the_border(spark):
+    texts = at_the_border(np.random.default_rng(3))
+    want = brute_groups(texts)
+    assert 140 <= sum(want[2 * i + 1] == 2 * i for i in range(300)) <= 160
+    assert groups(similar.mark(frame(spark, texts))) == want
+    assert {r.doc_id for r in simhash.drop_near_copies(frame(spark, texts)).collect()} == set(want.values())
+
+
+def test_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(700)
+    assert groups(similar.mark(docs)) == brute_groups({r.doc_id: r.text for r in docs.collect()})
+
+
+def test_odd_texts(spark):
+    rows = [(1, None), (2, " \t"), (3, "one two"), (4, "One  two"), (5, "one three"), (None, "one two"), (3, "one two"), (6, "a b c d e f g h"), (7, "a b c d e f g h i")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.id, r.component_id) for r in similar.mark(df).collect()}
+    assert got == {(1, 1), (2, 1), (3, 3), (4, 3), (5, 5), (None, 3), (6, 6), (7, 6)}
+    assert similar.mark(df.limit(0)).count() == 0
