@@ -161,8 +161,7 @@ def _deal_again(settings: Settings):
             for number in np.unique(old):
                 own, (chosen, mask) = prints[old == number], tables[number]
                 free = sorted(set(range(64 * settings.words)) - set(chosen))
-                # blocks of the size of the first round's where the agreement asks for one; as many blocks as then otherwise
-                finer = _masks(free, settings, settings.blocks - settings.agree if settings.agree == 1 else settings.blocks)
+                finer = _masks(free, settings, settings.blocks)
                 for sub, (_, more) in enumerate(finer):
                     label = len(tables) + int(number) * len(finer) + sub
                     yield _bucket_batch(np.full(len(own), label, dtype=np.int32), _keys(own, mask | more), own)

@@ -1,6 +1,7 @@
 """Links of shingle similarity 0.8 against a comparison of all pairs."""
 
 import numpy as np
+import pytest
 
 from streamlab.llm import similar, simhash
 
@@ -66,6 +67,28 @@ def test_documents(spark):
     assert groups(similar.mark(docs)) == brute_groups({r.doc_id: r.text for r in docs.collect()})
 
 
+def cloud(rng):
+    """A chain of texts of which only neighbours link, many near copies of one text, and near misses."""
+    words = [f"w{x}" for x in range(600)]
+    texts = {i: " ".join(words[10 * i:10 * i + 104]) for i in range(48)}
+    base = [f"v{x}" for x in range(120)]
+    for i in range(100, 250):
+        own = list(base)
+        for at in rng.integers(0, 120, int(rng.integers(1, 7))):
+            own[at] = f"u{i}x{at}"
+        texts[i] = " ".join(own)
+    return texts
+
+
+@pytest.mark.parametrize("cell_rows", [8, 4096])
+def test_families_of_many_cells(spark, cell_rows):
+    """With cells of 8 rows the families are compared cell against cell."""
+    texts = cloud(np.random.default_rng(4))
+    want = brute_groups(texts)
+    assert len(set(want[i] for i in range(48))) == 1 and len(set(want.values())) > 10
+    assert groups(similar.mark(frame(spark, texts), settings=similar.Settings(cell_rows=cell_rows))) == want
+
+
 def test_odd_texts(spark):
     rows = [(1, None), (2, " \t"), (3, "one two"), (4, "One  two"), (5, "one three"), (None, "one two"), (3, "one two"), (6, "a b c d e f g h"), (7, "a b c d e f g h i")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
