@@ -7,9 +7,10 @@ every fingerprint is dealt out once for each choice of ``agree`` blocks and only
 bits meet. Fingerprints that meet are verified by their Hamming distance in numpy; what is passed on is a spanning tree of
 the links inside a bucket, never all pairs of a group.
 
-A bucket of more than ``bucket_rows`` fingerprints (many near copies of one text) is split again: its members differ in
-the remaining bits only, and the same argument holds for these. In the second round buckets are verified whatever their size;
-with 64 bits in 5 blocks, 3 of them shared, at most 2^11 different fingerprints can be left in one.
+Buckets are counted before any rows are brought together, by a grouping with partial sums. One of more than ``bucket_rows``
+fingerprints (many near copies of one text) is split again from where its rows lie: its members differ in the remaining
+bits only, and the same argument holds for these. So a task holds at most ``bucket_rows`` rows of a bucket of the first
+round; with 64 bits in 5 blocks, 3 of them shared, at most 2^11 different fingerprints can be left in one of the second.
 
 Defined cases: a null or blank text has fingerprint zero, which is linked like any other; a text of fewer words than a shingle
 is hashed whole; a null id never becomes a component's id unless all ids of the component are null. Repeated rows have the
@@ -187,14 +188,8 @@ def spanning_links(prints: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     return links
 
 
-def _verify(settings: Settings, limit: int | None):
-    """Links (a, b) of each bucket; buckets over ``limit`` rows come out as rows (bucket, key, print) instead."""
-    def emit(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        n = len(a)
-        return pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), _binary(a.astype(">u8")), _binary(b.astype(">u8"))],
-            ["bucket", "key", "print", "a", "b"])
-
+def _verify(settings: Settings):
+    """Links (a, b) of each bucket."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_runs(batches, ["bucket", "key"]):
             starts = run_starts(table["bucket"].to_numpy(), table["key"].to_numpy())
@@ -202,35 +197,38 @@ def _verify(settings: Settings, limit: int | None):
             prints = _numbers(table["print"], settings.words)
             left, right = [], []
             for at, size in zip(starts[:-1][sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
-                if limit is not None and size > limit:
-                    over = table.slice(at, size)
-                    n = len(over)
-                    yield pa.RecordBatch.from_arrays(
-                        [over[c].combine_chunks() for c in ("bucket", "key", "print")] + [pa.nulls(n, pa.binary())] * 2,
-                        ["bucket", "key", "print", "a", "b"])
-                    continue
                 for i, j in spanning_links(prints[at:at + size], settings.max_bits):
                     left.append(at + i)
                     right.append(at + j)
             if left:
-                yield emit(prints[left], prints[right])
+                yield pa.RecordBatch.from_arrays([_binary(prints[side].astype(">u8")) for side in (left, right)], ["a", "b"])
     return run
 
 
 _BUCKET = "bucket int, key bigint, print binary"
+#: Broadcast is asked for up to so many crowded buckets.
+_BROADCAST_ROWS = 50_000
 
 
-def _meet(rows: DataFrame, settings: Settings, limit: int | None) -> DataFrame:
-    rows = rows.repartition("bucket", "key").sortWithinPartitions("bucket", "key", "print")
-    return rows.mapInArrow(_verify(settings, limit), _BUCKET + ", a binary, b binary")
+def dealt(prints: DataFrame, settings: Settings) -> DataFrame:
+    """(bucket, key, print) of both rounds: no bucket of the first has over ``bucket_rows`` rows, crowded ones are in the second."""
+    prints = checkpointed(prints)
+    rows = prints.mapInArrow(_deal(settings), _BUCKET)
+    crowded = checkpointed(rows.groupBy("bucket", "key").agg(F.count("*").alias("n")).where(F.col("n") > settings.bucket_rows).select("bucket", "key"))
+    found = crowded.count()
+    if not found:
+        return rows
+    if found <= _BROADCAST_ROWS:
+        crowded = F.broadcast(crowded)
+    again = rows.join(crowded, ["bucket", "key"], "left_semi").select("bucket", "key", "print")
+    rest = rows.join(crowded, ["bucket", "key"], "left_anti").select("bucket", "key", "print")
+    return rest.unionByName(again.mapInArrow(_deal_again(settings), _BUCKET))
 
 
 def links(prints: DataFrame, settings: Settings) -> DataFrame:
     """Links (a, b) that connect the distinct fingerprints of ``prints`` (print) as all links together do."""
-    met = checkpointed(_meet(prints.mapInArrow(_deal(settings), _BUCKET), settings, settings.bucket_rows))
-    again = met.where("bucket is not null").select("bucket", "key", "print").mapInArrow(_deal_again(settings), _BUCKET)
-    again = _meet(again, settings, None)
-    return met.where("a is not null").select("a", "b").unionByName(again.select("a", "b")).distinct()
+    rows = dealt(prints, settings).repartition("bucket", "key").sortWithinPartitions("bucket", "key", "print")
+    return rows.mapInArrow(_verify(settings), "a binary, b binary").distinct()
 
 
 def mark(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = CLOSE) -> DataFrame:

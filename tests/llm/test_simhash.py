@@ -87,6 +87,20 @@ def test_overfull_buckets(spark):
         assert sorted(map(sorted, same.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_crowded_buckets_are_split_before_rows_meet(spark):
+    rng = np.random.default_rng(6)
+    centre, prints = int(rng.integers(0, 2**63)), set()
+    for _ in range(3000):
+        p = centre
+        for b in rng.choice(64, size=4, replace=False):
+            p ^= 1 << int(b)
+        prints.add(p)
+    df = spark.createDataFrame([(bytes.fromhex(f"{p:016x}"),) for p in prints], "print binary")
+    sizes = simhash.dealt(df, simhash.Settings(bucket_rows=20)).groupBy("bucket", "key").count()
+    first, second = (sizes.where(which).agg(F.max("count")).first()[0] for which in ("bucket < 10", "bucket >= 10"))
+    assert first <= 20 and 1 < second <= 2**11
+
+
 def test_components_of_a_chain_and_a_star(spark):
     pairs = [(i, i + 1) for i in range(1, 60)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(pairs, "a bigint, b bigint")).collect()}
