@@ -3,6 +3,7 @@
 import numpy as np
 
 from streamlab.llm import ann
+from streamlab.llm.queries import QUERIES
 
 
 def brute(ids, x, queries, k):
@@ -72,3 +73,12 @@ def test_odd_rows(spark):
     assert got == {20: [(21, 1.0), (22, 1.0), (40, 0.5)], 40: [(20, 0.5), (21, 0.5), (22, 0.5)]}
     empty = ann.valid_vectors(df.limit(0), "vec_id", "embedding")
     assert ann.search(empty, empty).count() == 0
+
+
+def test_recall_of_the_registered_query(spark):
+    folder = "/root/testdata/sf0.1"
+    vectors = ann.valid_vectors(spark.read.parquet(f"{folder}/embeddings.parquet"), "vec_id", "embedding")
+    data = {r.id: np.array(r.v) for r in vectors.collect()}
+    ids = sorted(data)
+    want = brute(ids, np.stack([data[i] for i in ids]), [i for i in ids if i % 20 == 0], 20)
+    assert recall(collected(QUERIES["op5_ann"](spark, folder)), want) >= 0.95
