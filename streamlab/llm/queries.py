@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlab.llm import ann, exact_dedup, language_model, mixing, passages, quality, sentence_pieces, simhash, toxicity, warc
+from streamlab.llm import ann, decontaminate, exact_dedup, language_model, mixing, passages, quality, sentence_pieces, simhash, toxicity, warc
 from streamlab.llm.common import checkpointed, crc_of_id, fresh_folder, read_table
 
 #: The public vocabulary file; read on the driver.
@@ -128,3 +128,35 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_passages")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_repeats(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query("op13_decontaminate", f"""
+    WITH d AS (SELECT row_number() OVER () AS n, doc_id, {_WORDS} AS w FROM documents),
+    i AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_WORDS} AS w FROM benchmark),
+    windows AS (
+        SELECT DISTINCT item, least(len(w), 10) AS size, array_to_string(w[k:k + 9], ' ') AS gram
+        FROM (SELECT item, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS k FROM i WHERE len(w) > 0)
+    ), found AS (
+        SELECT n, k, size, gram FROM (
+            SELECT n, k, size, array_to_string(w[k:k + size - 1], ' ') AS gram
+            FROM (SELECT n, w, unnest(generate_series(1, len(w))) AS k FROM d), (SELECT DISTINCT size FROM windows)
+            WHERE k + size - 1 <= len(w))
+        WHERE gram IN (SELECT gram FROM windows)
+    ), hit AS (
+        SELECT n, count(DISTINCT p) AS n_hit FROM (SELECT n, unnest(generate_series(k, k + size - 1)) AS p FROM found) GROUP BY n
+    ), items AS (
+        SELECT n, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS names
+        FROM found JOIN windows USING (gram) GROUP BY n
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit USING (n) LEFT JOIN items USING (n)
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = decontaminate.mark(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return marked.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
