@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlab.llm import ann, decontaminate, exact_dedup, language_model, mixing, passages, quality, sentence_pieces, simhash, toxicity, warc
+from streamlab.llm import ann, decontaminate, divergence, exact_dedup, language_model, mixing, passages, quality, sentence_pieces, simhash, toxicity, warc
 from streamlab.llm.common import checkpointed, crc_of_id, fresh_folder, read_table
 
 #: The public vocabulary file; read on the driver.
@@ -160,3 +160,39 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select(
         F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("item_ids").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op12_divergence", r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS n, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM documents
+    ), t AS (SELECT n, lang, source, unnest(terms) AS term FROM d),
+    kept AS (SELECT lang, term, count(*) AS lang_cnt FROM t GROUP BY ALL HAVING count(DISTINCT n) >= 3),
+    c AS (SELECT lang, source, term, count(*) AS cnt FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    v AS (SELECT lang, count(*) AS v, sum(lang_cnt) AS lang_n FROM kept GROUP BY lang),
+    g AS (
+        SELECT lang, source, coalesce(sum(cnt), 0) AS n
+        FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY ALL
+    ), p AS (
+        SELECT g.lang, g.source, kept.term, coalesce(cnt, 0) AS cnt,
+            1 + (1000000000::HUGEINT * (coalesce(cnt, 0) + 1)) // (n + v)::HUGEINT AS p,
+            1 + (1000000000::HUGEINT * (lang_cnt + 1)) // (lang_n + v)::HUGEINT AS q
+        FROM g JOIN v USING (lang) JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+    ), pair_sums AS (
+        SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ), parts AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+        FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+        LEFT JOIN pair_sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM p WHERE cnt > 0 AND p > q
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM parts
+    )
+    SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read_table(spark, sf_dir, "documents"))
