@@ -9,11 +9,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlab.llm import ann, decontaminate, divergence, exact_dedup, language_model, mixing, passages, quality, sentence_pieces, simhash, toxicity, warc
+from streamlab.llm import alignment, ann, decontaminate, divergence, exact_dedup, language_model, mixing, passages, quality, sentence_pieces, simhash, toxicity, warc
 from streamlab.llm.common import checkpointed, crc_of_id, fresh_folder, read_table
 
-#: The public vocabulary file; read on the driver.
+#: The public vocabulary files; read on the driver.
 PIECE_MODEL = os.environ.get("PIECE_MODEL") or public_tokenizers.path("piece_bpe_32k.model")
+BYTE_MODEL = os.environ.get("BYTE_MODEL") or public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -196,3 +197,9 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(read_table(spark, sf_dir, "documents"))
+
+
+@query("op11_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = alignment.read_tokenizers(BYTE_MODEL, public_tokenizers.PATTERN, PIECE_MODEL)
+    return alignment.align(read_table(spark, sf_dir, "documents"), files).withColumnRenamed("id", "doc_id")
