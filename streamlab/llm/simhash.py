@@ -28,7 +28,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamlab.llm import similar
 from streamlab.llm.common import as_text, checkpointed, run_starts, shingle_hashes, sorted_runs, unused_name
 from streamlab.llm.components import labelled
 
@@ -242,9 +241,9 @@ def mark(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings
     return labelled(prints, links(prints.select("print").distinct(), settings))
 
 
-def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``df`` for each component of ``similar``: the one with the smallest id; all columns as they were."""
-    kept = similar.mark(df, id_col, text_col).where("id <=> component_id and text_key = component_key")
+def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", settings: Settings = CLOSE) -> DataFrame:
+    """One row of ``df`` for each component: the one with the smallest id; all columns as they were."""
+    kept = mark(df, id_col, text_col, settings).where("id <=> component_id and text_key = component_key")
     names = {c: unused_name(df, f"kept_{c}") for c in ("id", "text_key")}
     kept = kept.select(*[F.col(c).alias("k_" + n) for c, n in names.items()]).distinct()
     keyed = df.withColumns({names["id"]: F.col(id_col).cast("bigint"), names["text_key"]: F.xxhash64(as_text(text_col))})

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -15,6 +16,7 @@ import corpus_pipeline
 from streamlab.llm import exact_dedup, language_model, mixing, quality, toxicity, warc
 from streamlab.llm.common import fresh_folder
 from streamlab.llm.queries import PIECE_MODEL
+from tests.llm.test_simhash import brute_components, brute_print
 
 LONG = "word " * 50_000
 ODD = [(1, None, "a"), (2, "", "a"), (3, " \t\n", None), (4, "One two", "a"), (5, "One  two ", "b"), (6, "Onetwo", "b"),
@@ -212,18 +214,58 @@ def test_class_chances_sum_to_one():
 
 
 def test_pipeline(spark):
-    folder = "/root/testdata/sf0.01"
-    got = corpus_pipeline.run(spark, folder).collect()
-    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    """Each stage, on what its predecessor kept, against a plain version of it."""
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
     library = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
-    for r in got[:200]:
-        assert r.ids == library.encode(texts[r.doc_id]) and r.round_trip and r.n_tokens == len(r.ids)
-    assert max(Counter(r.doc_id for r in got).values()) <= 3
-    plain = ["".join(texts[i].split()) for i in {r.doc_id for r in got}]
-    assert len(set(plain)) == len(plain)
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
-    kept = [labels[r.doc_id] for r in got if r.doc_id in labels]
-    assert np.mean(kept) > 0.97
+    for name, stage in corpus_pipeline.STAGES:
+        before, docs = docs.collect(), spark.read.parquet(_written(spark, stage(spark, docs, folder)))
+        after = docs.collect()
+        if name == "quality":
+            known = spark.read.parquet(f"{folder}/labels.parquet").selectExpr("doc_id AS id", "quality AS label")
+            scores = {r.id: r.score for r in quality.classify(spark.createDataFrame(before), known).collect()}
+            assert sorted(r.doc_id for r in after) == sorted(i for i, s in scores.items() if s >= 0.3)
+            kept = {r.doc_id for r in after}
+            assert np.mean([(i in kept) == bool(y) for i, y in labels.items()]) > 0.95
+        elif name == "exact_dedup":
+            best = {}
+            for r in before:
+                text = "".join(re.split("[\x20\x09-\x0D]", r.text))
+                own = (-len(r.text), r.doc_id, r)
+                best[text] = min(best.get(text, own), own, key=lambda x: x[:2])
+            assert sorted(after) == sorted(x[2] for x in best.values()) and len(after) < len(before)
+        elif name == "near_dedup":
+            root = brute_components({r.doc_id: brute_print(r.text) for r in before})
+            assert sorted(after) == sorted(r for r in before if root[r.doc_id] == r.doc_id)
+        elif name == "mixing":
+            copies = Counter(after)
+            assert set(copies) <= set(before) and max(copies.values()) <= 3
+            size, taken = Counter(), Counter()
+            for r in before:
+                size[r.source] += len(r.text.split())
+            for r, n in copies.items():
+                taken[r.source] += n * len(r.text.split())
+            target, free, left = {}, {s: k % 3 + 1 for k, s in enumerate(sorted(size))}, sum(size.values())
+            while free:
+                share = {s: left * w / sum(free.values()) for s, w in free.items()}
+                over = [s for s in free if share[s] > 3 * size[s]]
+                target |= {s: 3 * size[s] for s in over} or share
+                left -= sum(3 * size[s] for s in over)
+                free = {s: w for s, w in free.items() if s not in over} if over else {}
+            longest = max(len(r.text.split()) for r in before)
+            assert all(abs(taken[s] - target[s]) <= max(0.02 * target[s], longest) for s in size)
+        else:
+            texts = {r.doc_id: r.text for r in before}
+            assert Counter(r.doc_id for r in after) == Counter(r.doc_id for r in before)
+            assert all(r.ids == library.encode(texts[r.doc_id]) and r.round_trip and r.n_tokens == len(r.ids) for r in after)
+
+
+def test_pipeline_without_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = spark.read.parquet(_written(spark, stage(spark, docs, "/root/testdata/sf0.001")))
+        assert docs.count() == 0
 
 
 def test_pipeline_odd(spark, odd):
