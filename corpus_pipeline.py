@@ -28,7 +28,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.drop_near_copies(docs)
+    """Near copies by the shingle length and bit distance of ``op2_simhash``."""
+    return simhash.drop_near_copies(docs, settings=simhash.CLOSE)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +51,7 @@ STAGES = [
     ("sentence_pieces", encode),
 ]
 
-#: The stages learn weights and draw samples; tests compare them with brute force instead.
+#: The stages learn weights and draw samples; a test holds each stage against a plain version of it.
 ORACLE_SQL = None
 
 

@@ -193,11 +193,16 @@ def test_kept_and_late_rows_are_all_rows(events):
 
 
 def test_work_folder_uses_the_shared_folder():
-    def session(folder):
-        return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: folder))
-
-    assert work_folder(session("/shared/folder/"), "x") == "/shared/folder/x"
-    assert work_folder(session(None), "x").endswith("/x")
+    def session(folder, master):
+        settings = {} if folder is None else {"spark.checkpoint.dir": folder}
+        conf = SimpleNamespace(get=settings.get, set=settings.__setitem__)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert work_folder(session("/shared/folder/", "spark://host:7077"), "x") == "/shared/folder/x"
+    alone = session(None, "local[2]")
+    assert work_folder(alone, "x").endswith("/x") and work_folder(alone, "y") == work_folder(alone, "x")[:-1] + "y"
+    with pytest.raises(ValueError):
+        work_folder(session(None, "spark://host:7077"), "x")
 
 
 @pytest.mark.parametrize("name", ["hot_items", "page_views", "unique_visitors", "channel_report"])
