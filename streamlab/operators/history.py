@@ -3,9 +3,10 @@
 A plain window function sends all rows of a key to one task. That is fine until one key holds a large share of the
 table, so a ``History`` splits the rows of such *hot* keys into slices along the order column:
 
-1. ``hot_keys`` counts rows per key (partial aggregation, only the key and the order column are read) and keeps the
-   keys above ``hot_rows``, with quantiles of their order column. There can be at most ``rows / hot_rows`` of them; they
-   are broadcast only up to ``MOST_SENT``. The result is checkpointed; without hot keys nothing more is done.
+1. Rows are counted per key (partial aggregation, only the key is read). Without a key above ``hot_rows`` nothing more is
+   done. Else ``hot_keys`` reads the rows of such keys once more for quantiles of their order column, and more of
+   them the more slices a key needs. There can be at most ``rows / hot_rows`` hot keys; they are broadcast only up to
+   ``MOST_SENT`` cuts in all. The result is checkpointed.
 2. Rows are grouped by (key, slice); keys that are not hot have the single slice NULL. This is the only shuffle of whole
    rows, also when several scans follow each other.
 3. Each slice of a hot key is reduced to one summary row, and what a slice needs to know about its neighbours (running
@@ -30,9 +31,10 @@ from pyspark.sql import types as T
 from streamlab.session import checkpointed
 
 HOT_ROWS = 1_000_000
-#: Hot keys that are broadcast (under 20 MB); more are joined by key.
-MOST_SENT = 50_000
-SEGMENTS = 16
+#: Cuts of hot keys that are broadcast (under 20 MB); with more, hot keys are joined by key.
+MOST_SENT = 1_000_000
+#: Quantile cuts come in levels: SEGMENTS parts, each of SEGMENTS parts, and so on, up to LEVELS times.
+SEGMENTS, LEVELS = 16, 3
 
 PARTS = "_parts"
 SLICE = "_slice"
@@ -131,40 +133,47 @@ def position(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, the number of slices each needs and where its rows lie in order."""
-    marks = [i / SEGMENTS for i in range(1, SEGMENTS)]
-    return (
-        df.select(*keys, position(df, order[0]).alias("_pos"))
-        .groupBy(*keys)
-        .agg(
-            F.count("*").alias("_n"),
-            F.min("_pos").alias("_lo"),
-            F.percentile_approx("_pos", marks, 20 * SEGMENTS).alias("_cuts"),
-            F.max("_pos").alias("_hi"),
-        )
-        .where(F.col("_n") > hot_rows)
-        .withColumn("_parts", F.ceil(F.col("_n") / hot_rows))
-        .drop("_n")
-    )
+def hot_counts(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows and the number of slices each needs."""
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
+    return counted.select(*keys, F.ceil(F.col("_n") / hot_rows).alias(PARTS))
+
+
+def _levels(parts: int) -> int:
+    return next((n for n in range(1, LEVELS) if SEGMENTS**n >= parts), LEVELS)
 
 
-def _with_slice(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame, levels: int) -> DataFrame:
+    """The ``hot`` keys with the places of their rows in order: ``SEGMENTS ** levels`` quantiles, and both ends."""
+    n = SEGMENTS**levels
+    same = [F.col(f"_h{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)]
+    own = hot.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], PARTS)
+    rows = df.select(*keys, position(df, order[0]).alias("_pos")).join(own, same)
+    return rows.groupBy(*keys, PARTS).agg(
+        F.min("_pos").alias("_lo"), F.percentile_approx("_pos", [i / n for i in range(1, n)], 20 * n).alias("_cuts"),
+        F.max("_pos").alias("_hi"))
+
+
+def _with_slice(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str], levels: int) -> DataFrame:
     """Add the slice: rows of a hot key are cut at quantiles of the key and evenly in between.
 
     The quantiles follow bursts, the even cuts give the number of slices. Rows that tie in the first order column share
-    a slice; those with NULL there come first and have slice -1. Each step is its own projection, so Spark computes the segment once per row.
+    a slice; those with NULL there come first and have slice -1. Each step is its own projection, so Spark computes it once
+    per row; a level compares with ``SEGMENTS - 1`` cuts, so a row never walks all cuts.
     """
-    pos, parts = F.col("_pos"), F.ceil(F.col("_parts") / F.lit(SEGMENTS))
-    passed = [(pos >= F.get("_cuts", F.lit(i))).cast("int") for i in range(SEGMENTS - 1)]
+    pos, n = F.col("_pos"), SEGMENTS**levels
+    parts = F.ceil(F.col(PARTS) / F.lit(n))
     edges = F.concat(F.array("_lo"), F.col("_cuts"), F.array("_hi"))
+    rows = df.withColumn("_pos", position(df, order[0])).join(hot.withColumn("_edges", edges), list(keys), "left")
+    rows = rows.withColumn("_segment", F.lit(0))
+    for level in range(levels):
+        step = SEGMENTS ** (levels - 1 - level)
+        passed = [(pos >= F.get("_cuts", F.col("_segment") + (i * step - 1))).cast("int") for i in range(1, SEGMENTS)]
+        rows = rows.withColumn("_segment", F.col("_segment") + reduce(lambda x, y: x + y, passed) * step)
     share = (pos - F.col("_low")) / F.nullif(F.get("_edges", F.col("_segment") + 1) - F.col("_low"), F.lit(0.0))
     within = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * parts), parts - 1)
     return (
-        df.withColumn("_pos", position(df, order[0]))
-        .join(hot.withColumn("_edges", edges), list(keys), "left")
-        .withColumn("_segment", reduce(lambda x, y: x + y, passed))
-        .withColumn("_low", F.get("_edges", F.col("_segment")))
+        rows.withColumn("_low", F.get("_edges", F.col("_segment")))
         .withColumn(SLICE, F.when(F.col(PARTS).isNotNull(), F.coalesce(F.col("_segment") * parts + within, F.lit(-1))))
         .select(*df.columns, PARTS, SLICE)
     )
@@ -186,19 +195,21 @@ class History:
     @staticmethod
     def of(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None) -> History:
         """``hot_rows`` sets when a key is split; by default it is ``HOT_ROWS``."""
-        # approximate quantiles may differ between two runs, so all branches of the plan read one stored result
-        hot = checkpointed(hot_keys(df, keys, order, HOT_ROWS if hot_rows is None else hot_rows))
-        n_hot = hot.count()
+        counted = hot_counts(df, keys, HOT_ROWS if hot_rows is None else hot_rows)
+        n_hot, most = counted.agg(F.count("*"), F.max(PARTS)).first()
         if not n_hot:
             return History(df, tuple(keys), tuple(order), split=False)
+        levels = _levels(most)
+        # approximate quantiles may differ between two runs, so all branches of the plan read one stored result
+        hot = checkpointed(hot_keys(df, keys, order, counted, levels))
         if not hot.where(" or ".join(f"`{k}` is null" for k in keys)).isEmpty():
             # a struct of NULLs equals another one, so the joins below also find a hot NULL key
             df = df.withColumn(KEY, F.struct(*keys))
             hot = hot.withColumn(KEY, F.struct(*keys)).drop(*keys)
             keys = [KEY]
-        if n_hot <= MOST_SENT:
+        if n_hot * SEGMENTS**levels <= MOST_SENT:
             hot = F.broadcast(hot)
-        sliced = _with_slice(df, hot, keys, order)
+        sliced = _with_slice(df, hot, keys, order, levels)
         return History(sliced, tuple(keys), tuple(order))
 
     @property
