@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from streamlab.operators.arrow_runs import Batches, pieces
 from streamlab.operators.history import (
+    KEY,
+    PARTS,
+    SLICE,
+    History,
     first_so_far,
     previous,
     running_count,
@@ -87,3 +95,119 @@ def changelog(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: st
         lambda e: e[name] > 0,
     )
     return counted.select(*df.columns, F.inline(entries))
+
+
+@dataclass(frozen=True)
+class Reducer:
+    """A user's reduction: ``add`` takes a state (None at a key's first row) and the row's ``columns`` and gives the new state.
+
+    States are tuples with the fields of ``schema`` (``"top double, n bigint"``). ``merge`` joins the states of two neighbouring
+    stretches of rows, the earlier first, and must agree with ``add``: folding a whole stretch is merging the folds of its parts.
+    """
+
+    columns: tuple[str, ...]
+    schema: str
+    add: Callable[[tuple | None, tuple], tuple]
+    merge: Callable[[tuple, tuple], tuple]
+
+
+_CARRIES, _STATE = "_carries", "_state"
+
+
+def rolling_reduce(df: DataFrame, keys: Sequence[str], order: Sequence[str], reducer: Reducer, hot_rows: int | None = None
+                   ) -> DataFrame:
+    """After every row, the user's reduction of its key's rows so far: ``df`` with the fields of ``reducer.schema``.
+
+    Keys that are not hot are folded in one pass over rows sorted by key. Each slice of a hot key (see ``history``) is first
+    reduced to one state; these few states are merged in order, and what came before a slice enters the final pass as
+    one row at the slice's start. So a key with a third of the rows is folded in as many tasks as it has slices.
+    """
+    spark = df.sparkSession
+    fields = spark.createDataFrame([], reducer.schema).schema
+    output = T.StructType([*df.schema.fields, *fields.fields])
+    history = History.of(df, keys, order, hot_rows)
+    if not history.split:
+        sliced = df.repartition(*keys).sortWithinPartitions(*keys, *order)
+        return sliced.mapInArrow(_fold(reducer, list(keys), df.columns, to_arrow_schema(fields), False), output)
+    keys = list(history.keys)
+    parts = [*keys, PARTS, SLICE]
+    hot = history.sliced.where(F.col(PARTS).isNotNull()).select(*parts, *[c for c in _unique([*order, *reducer.columns]) if c not in keys])
+    state = T.StructField(_STATE, fields)
+    slot = T.StructType([*[history.sliced.schema[k] for k in parts], state])
+    sums = hot.repartition(*parts).sortWithinPartitions(*parts, *order).mapInArrow(_sum_slices(reducer, parts, to_arrow_schema(fields)), slot)
+    carries = sums.repartition(*keys).sortWithinPartitions(*keys, SLICE).mapInArrow(_carry(reducer, keys, parts, to_arrow_schema(fields)), slot)
+    # the carry of a slice comes as its first row, so rows are moved once and no join can split a slice
+    rows = history.sliced.withColumns({_STATE: F.lit(None).cast(fields), _CARRIES: F.lit(False)})
+    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in history.sliced.schema.fields if f.name not in parts]
+    first = carries.select(*parts, *blank, _STATE, F.lit(True).alias(_CARRIES))
+    both = rows.select(*first.columns).unionByName(first).repartition(*parts).sortWithinPartitions(*parts, F.desc(_CARRIES), *order)
+    return both.mapInArrow(_fold(reducer, parts, df.columns, to_arrow_schema(fields), True), output)
+
+
+def _unique(names: Sequence[str]) -> list[str]:
+    return list(dict.fromkeys(names))
+
+
+def _with_state(rows: pa.RecordBatch, parts: Sequence[str], state: tuple, kinds: pa.Schema) -> pa.RecordBatch:
+    """The slice of the first of ``rows`` with a state."""
+    value = pa.array([dict(zip(kinds.names, state, strict=True))], pa.struct(list(kinds)))
+    return pa.RecordBatch.from_arrays([*[rows[p].slice(0, 1) for p in parts], value], [*parts, _STATE])
+
+
+def _state(rows: pa.RecordBatch, row: int, kinds: pa.Schema) -> tuple:
+    value = rows[_STATE][row].as_py()
+    return tuple(value[n] for n in kinds.names)
+
+
+def _rows(batch: pa.RecordBatch, columns: Sequence[str]):
+    return zip(*[batch[c].to_pylist() for c in columns], strict=True)
+
+
+def _fold(reducer: Reducer, keys: Sequence[str], columns: Sequence[str], kinds: pa.Schema, carried: bool):
+    """Rows sorted by key with the running state behind them; a row that carries a state gives none."""
+    def run(batches: Batches) -> Batches:
+        current, state = None, None
+        for key, rows in pieces(batches, keys):
+            if key != current:
+                current, state = key, None
+            if carried and rows[_CARRIES][0].as_py():
+                state = _state(rows, 0, kinds)
+                rows = rows.slice(1)
+            found = []
+            for row in _rows(rows, reducer.columns):
+                state = reducer.add(state, row)
+                found.append(state)
+            if found:
+                added = [pa.array(list(v), f.type) for v, f in zip(zip(*found, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*[rows[c] for c in columns], *added], [*columns, *kinds.names])
+    return run
+
+
+def _sum_slices(reducer: Reducer, parts: Sequence[str], kinds: pa.Schema):
+    def run(batches: Batches) -> Batches:
+        current, state, head = None, None, None
+        for key, rows in pieces(batches, parts):
+            if key != current:
+                if head is not None:
+                    yield _with_state(head, parts, state, kinds)
+                current, state, head = key, None, rows.slice(0, 1)
+            for row in _rows(rows, reducer.columns):
+                state = reducer.add(state, row)
+        if head is not None:
+            yield _with_state(head, parts, state, kinds)
+    return run
+
+
+def _carry(reducer: Reducer, keys: Sequence[str], parts: Sequence[str], kinds: pa.Schema):
+    """Per slice, what all earlier slices of the key come to; the first has none."""
+    def run(batches: Batches) -> Batches:
+        current, before = None, None
+        for key, rows in pieces(batches, keys):
+            if key != current:
+                current, before = key, None
+            for i in range(rows.num_rows):
+                own = _state(rows, i, kinds)
+                if before is not None:
+                    yield _with_state(rows.slice(i, 1), parts, before, kinds)
+                before = own if before is None else reducer.merge(before, own)
+    return run

@@ -6,15 +6,19 @@ Aggregates are given as ``{name: Agg}`` so that every window kind can combine pa
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import timedelta
 from math import gcd
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from streamlab.operators import durations as d
+from streamlab.operators.arrow_runs import Batches, by_key
 from streamlab.operators.history import (
     History,
     Scan,
@@ -270,3 +274,54 @@ def fold_text(
             F.concat(F.when(F.col("piece") == 0, F.lit(start)).otherwise(F.lit("")), "_text").alias("folded"),
         )
     )
+
+
+WindowFunction = Callable[[dict, Batches], Iterator[tuple]]
+#: Result rows of a window function that are passed on together.
+_OUT_ROWS = 10_000
+
+
+def apply_rows(
+    df: DataFrame, keys: Sequence[str], ts: str, size: timedelta, order: Sequence[str], fn: WindowFunction, schema: str,
+    slide: timedelta | None = None, offset: timedelta | None = None,
+) -> DataFrame:
+    """A user's function over all rows of each window: keys, ``window_start``, ``window_end`` and the fields of ``schema``.
+
+    ``fn`` gets the key and bounds of a window (a dict) and an iterator over its rows, sorted by ``order``, as Arrow batches;
+    it yields result rows as tuples and need not read to the end. Rows are sorted by Spark, which spills, and a task
+    holds one batch, so a window may have any number of rows; what ``fn`` itself keeps is up to it.
+    """
+    spark = df.sparkSession
+    fields = spark.createDataFrame([], schema).schema
+    bounds = ["window_start", "window_end"]
+    rows = df.select("*", window_of(ts, size, slide, offset))
+    rows = rows.select(*df.columns, *[F.col(f"window.{b[7:]}").alias(b) for b in bounds])
+    group = [*keys, *bounds]
+    output = T.StructType([*[rows.schema[c] for c in group], *fields.fields])
+    kinds = to_arrow_schema(fields)
+
+    def run(batches: Batches) -> Batches:
+        def window(key: tuple, own: Batches) -> Batches:
+            head = next(own)
+
+            def all_rows() -> Batches:
+                yield head
+                yield from own
+
+            def batch(found: list[tuple]) -> pa.RecordBatch:
+                names = [pa.array([k] * len(found), head[g].type) for k, g in zip(key, group, strict=True)]
+                values = [pa.array(list(v), f.type) for v, f in zip(zip(*found, strict=True), kinds, strict=True)]
+                return pa.RecordBatch.from_arrays([*names, *values], [*group, *kinds.names])
+
+            found = []
+            for row in fn(dict(zip(group, key, strict=True)), all_rows()):
+                found.append(row)
+                if len(found) == _OUT_ROWS:
+                    yield batch(found)
+                    found = []
+            if found:
+                yield batch(found)
+
+        return by_key(batches, group, window)
+
+    return rows.repartition(*group).sortWithinPartitions(*group, *order).mapInArrow(run, output)

@@ -155,16 +155,22 @@ def rolling_max_by(spark, d):
                        F.col("best.value").alias("best_value"))
 
 
+def _seen(state, row):
+    value, ts = row
+    return (value, ts, 1) if state is None else (max(state[0], value), ts, state[2] + 1)
+
+
 @query("rolling_reduce", """
     SELECT event_id, user_id, max(value) OVER w AS top, ts AS latest,
            count(*) OVER w AS seen
     FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
 def rolling_reduce(spark, d):
-    from streamlab.operators.history import running_count, running_max, scan
-
+    """A user's fold: the largest value so far, the time of the latest row and the number of rows."""
+    reducer = rolling.Reducer(
+        ("value", "ts"), "top double, latest timestamp_ntz, seen bigint", _seen,
+        lambda a, b: (max(a[0], b[0]), b[1], a[2] + b[2]))
     e = events(spark, d).select("event_id", "user_id", "ts", "value")
-    reduced = scan(e, ["user_id"], ["ts", "event_id"], {"top": running_max(F.col("value")), "seen": running_count()})
-    return reduced.select("event_id", "user_id", "top", F.col("ts").alias("latest"), "seen")
+    return rolling.rolling_reduce(e, ["user_id"], ["ts", "event_id"], reducer).select("event_id", "user_id", "top", "latest", "seen")
 
 
 @query("first_per_key", """

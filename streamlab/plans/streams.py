@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 from datetime import timedelta
 
+import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamlab.operators import alerts, patterns, windows
+from streamlab.operators import alerts, patterns, rolling, windows
 from streamlab.operators.history import previous, running_count, running_sum, scan
 from streamlab.operators.windows import Agg
 from streamlab.plans.registry import events, query
@@ -121,3 +122,53 @@ def skewed_pattern(spark, d):
 def skewed_jump_alarm(spark, d):
     rows = _skewed(spark, d).select("k", "event_id", "ts", "value")
     return alerts.jump_alarm(rows, ["k"], ["ts", "event_id"], "value", 100.0, hot_rows=_SPLIT_ABOVE).drop("ts")
+
+
+def _first_and_sum(state, row):
+    event, = row
+    return (event, event, 1) if state is None else (state[0], state[1] + event, state[2] + 1)
+
+
+@query("skewed_reduce", f"""
+    SELECT event_id, k, first_value(event_id) OVER w AS first_event, sum(event_id) OVER w ::BIGINT AS total,
+           row_number() OVER w AS n
+    FROM {_SKEWED} WINDOW w AS (PARTITION BY k ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
+def skewed_reduce(spark, d):
+    """A user's fold over a key with a third of the rows, which is cut into slices."""
+    reducer = rolling.Reducer(
+        ("event_id",), "first_event bigint, total bigint, n bigint", _first_and_sum, lambda a, b: (a[0], a[1] + b[1], a[2] + b[2]))
+    rows = _skewed(spark, d).select("event_id", "k", "ts")
+    return rolling.rolling_reduce(rows, ["k"], ["ts", "event_id"], reducer, _SPLIT_ABOVE).drop("ts")
+
+
+@query("skewed_fail_window", f"""
+    WITH RECURSIVE e AS (SELECT k, ts, event_id, event_type <> 'purchase' AS fail FROM {_SKEWED}),
+    g AS (SELECT *, sum(CASE WHEN fail THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY ts, event_id) AS run FROM e),
+    stops AS (SELECT k, run, min(ts) AS stop FROM g WHERE NOT fail GROUP BY 1, 2),
+    f AS (SELECT g.k, g.run, g.ts, s.stop FROM g LEFT JOIN stops s ON s.k = g.k AND s.run = g.run + 1 WHERE g.fail),
+    a AS (SELECT k, run, min(ts) AS first_ts, any_value(stop) AS stop FROM f GROUP BY 1, 2
+          UNION ALL
+          SELECT a.k, a.run, min(f.ts), any_value(a.stop)
+          FROM a JOIN f ON f.k = a.k AND f.run = a.run AND f.ts > a.first_ts + INTERVAL 2 HOURS GROUP BY a.k, a.run)
+    SELECT a.k, a.first_ts, max(f.ts) AS last_ts, count(*) AS cnt
+    FROM a JOIN f ON f.k = a.k AND f.run = a.run AND f.ts BETWEEN a.first_ts AND a.first_ts + INTERVAL 2 HOURS
+    WHERE a.stop IS NULL OR a.stop > a.first_ts + INTERVAL 2 HOURS
+    GROUP BY 1, 2 HAVING count(*) >= 2""")
+def skewed_fail_window(spark, d):
+    rows = _skewed(spark, d).select("k", "event_id", "ts", "event_type")
+    return alerts.fail_windows(rows, ["k"], ["ts", "event_id"], F.col("event_type") != "purchase", 2 * HOUR, hot_rows=_SPLIT_ABOVE)
+
+
+@query("window_user_fn", f"""
+    SELECT k, date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL 1 DAY AS window_end,
+           quantile_disc(value, 0.5) AS middle, count(*) AS cnt
+    FROM {_SKEWED} GROUP BY ALL""")
+def window_user_fn(spark, d):
+    """A user's function over all rows of a window, sorted: the lower median. One key has a third of the rows."""
+    rows = _skewed(spark, d).select("k", "ts", "event_id", "value")
+    return windows.apply_rows(rows, ["k"], "ts", DAY, ["value", "event_id"], _middle, "middle double, cnt bigint")
+
+
+def _middle(window, batches):
+    values = np.concatenate([b["value"].to_numpy() for b in batches])
+    yield values[(len(values) - 1) // 2], len(values)
