@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from datetime import timedelta
-from itertools import accumulate
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,12 +13,14 @@ from streamlab.operators.history import (
     History,
     Scan,
     following,
+    last_so_far,
     next_match,
     previous,
     running_count,
     running_sum,
     scan,
 )
+from streamlab.session import checkpointed
 
 
 def jump_alarm(
@@ -35,75 +34,45 @@ def jump_alarm(
     return seen.where(big).withColumn(f"previous_{value}", F.col(f"_p.{value}")).drop("_p")
 
 
-def _anchor_windows(rows: DataFrame, keys: Sequence[str], ts: str, length: timedelta) -> DataFrame:
+def _anchor_windows(rows: DataFrame, keys: Sequence[str], ts: str, length: timedelta, hot_rows: int | None = None) -> DataFrame:
     """Windows anchored at the first row not covered by the window before: [t0, t0 + length].
 
     Input columns: keys, ``_chain`` (rows of two chains never share a window), ``ts`` and ``_stop`` (time of the event
     that ends the chain, if any). Output: keys, ``first_ts``, ``last_ts``, ``cnt``, ``stop_ts``.
 
-    Where an anchor lies depends on the anchor before, so a chain is walked in order. Rows of a chain that share a time
-    are first reduced to one, then each task walks its sorted chains batch by batch, jumping from window to window, and
-    keeps a single open window.
+    Rows of a chain that share a time are reduced to one. A chain no longer than a window is one window. In the others
+    every row links to the first row after its own window, and an anchor is a row that links reach from the chain's first
+    row. Links are doubled: after round k the rows up to 2^k links away are known and links lead 2^k rows further, so
+    the number of rounds is the logarithm of the windows in a chain, and each is a join of links by chain and time. Rows
+    then take the last anchor before them.
     """
-    schema = ", ".join(
-        [f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys]
-        + ["first_us bigint, last_us bigint, cnt bigint, stop_us bigint"]
-    )
     span = d.micros(length)
     group = [*keys, "_chain"]
-    names = [*keys, "first_us", "last_us", "cnt", "stop_us"]
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Python values of Arrow columns: a NULL key leaves the other keys of its column as they are
-        current: list | None = None  # chain, first, last, count, stop of the open window
-        kinds: list[pa.DataType] = []
-
-        def window_rows(done: list[list]) -> pa.RecordBatch:
-            columns = zip(*[(*chain[:-1], *rest) for chain, *rest in done], strict=True) if done else [[] for _ in names]
-            return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)], names)
-
-        for batch in batches:
-            kinds = kinds or [*[batch.schema.field(k).type for k in keys], *[pa.int64()] * 4]
-            done: list[list] = []
-            at, stops = batch["_us"].to_pylist(), batch["_stop_us"].to_pylist()
-            total = list(accumulate(batch["_n"].to_pylist(), initial=0))
-            chains = list(zip(*[batch[g].to_pylist() for g in group], strict=True))
-            i, size = 0, len(chains)
-            while i < size:
-                chain = chains[i]
-                end = i + 1
-                while end < size and chains[end] == chain:
-                    end += 1
-                while i < end:
-                    extends = current is not None and current[0] == chain and at[i] - current[1] <= span
-                    start = current[1] if extends else at[i]
-                    j = bisect_right(at, start + span, i, end)
-                    if extends:
-                        current[2], current[3] = at[j - 1], current[3] + total[j] - total[i]
-                    else:
-                        if current is not None:
-                            done.append(current)
-                        current = [chain, start, at[j - 1], total[j] - total[i], None]
-                    if stops[j - 1] is not None:
-                        current[4] = stops[j - 1]
-                    i = j
-            yield window_rows(done)
-        if current is not None:
-            yield window_rows([current])
 
     def as_us(c: str) -> Column:
         return F.unix_micros(F.col(c).cast("timestamp"))
 
+    # one key for the chain, in which NULL keys are equal in joins too
     merged = (
-        rows.groupBy(*group, as_us(ts).alias("_us"))
+        rows.groupBy(F.struct(*group).alias("_c"), as_us(ts).alias("_us"))
         .agg(F.count("*").alias("_n"), F.max(as_us("_stop")).alias("_stop_us"))
-        .repartition(*group)
-        .sortWithinPartitions(*group, "_us")
     )
-    walked = merged.mapInArrow(walk, schema)
+    chain = merged.groupBy("_c").agg(
+        F.min("_us").alias("first_us"), F.max("_us").alias("last_us"), F.sum("_n").alias("cnt"), F.max("_stop_us").alias("stop_us"))
+    long = F.col("last_us") - F.col("first_us") > span
+    chain = checkpointed(chain.withColumn("_long", long))
+    found = chain.where("not _long").drop("_long")
+    heads = chain.where("_long").select("_c", F.col("first_us").alias("_us"))
+    if not heads.isEmpty():
+        walked = checkpointed(merged.join(heads.select("_c"), "_c", "left_semi"))
+        anchors = _reached(_window_links(walked, span, hot_rows), heads)
+        marked = walked.join(anchors.withColumn("_anchor", F.col("_us")), ["_c", "_us"], "left")
+        own = scan(marked, ["_c"], ["_us"], {"_anchor": last_so_far(F.col("_anchor"))}, hot_rows)
+        found = found.unionByName(own.groupBy("_c", F.col("_anchor").alias("first_us")).agg(
+            F.max("_us").alias("last_us"), F.sum("_n").alias("cnt"), F.max("_stop_us").alias("stop_us")))
     kind = rows.schema[ts].dataType.simpleString()
-    return walked.select(
-        *keys,
+    return found.select(
+        *[F.col(f"_c.{k}").alias(k) for k in keys],
         F.timestamp_micros("first_us").cast(kind).alias("first_ts"),
         F.timestamp_micros("last_us").cast(kind).alias("last_ts"),
         "cnt",
@@ -111,6 +80,28 @@ def _anchor_windows(rows: DataFrame, keys: Sequence[str], ts: str, length: timed
     )
 
 
+def _window_links(rows: DataFrame, span: int, hot_rows: int | None) -> DataFrame:
+    """(_c, _us, _to): the first row of the chain later than ``span`` after each row."""
+    # a mark at the end of each row's window, behind rows of the same time, sees the next row as its following one
+    at_row = rows.select("_c", F.col("_us").alias("_at"), F.lit(0).alias("_mark"), "_us")
+    marks = rows.select("_c", (F.col("_us") + span).alias("_at"), F.lit(1).alias("_mark"), "_us")
+    seen = scan(at_row.unionByName(marks), ["_c"], ["_at", "_mark"], {"_to": next_match(F.col("_mark") == 0, F.col("_us"))}, hot_rows)
+    return seen.where("_mark = 1 and _to is not null").select("_c", "_us", F.col("_to._us").alias("_to"))
+
+
+def _reached(links: DataFrame, heads: DataFrame) -> DataFrame:
+    """(_c, _us) of all rows that ``links`` reach from ``heads``, these included."""
+    links, reached, new = checkpointed(links), heads, heads
+    while True:
+        new = checkpointed(reached.join(links, ["_c", "_us"]).select("_c", F.col("_to").alias("_us")))
+        if new.isEmpty():
+            return reached
+        # rows reached so far are fewer links away than the new ones, so none comes twice
+        reached = reached.unionByName(new)
+        further = links.select("_c", F.col("_us").alias("_to"), F.col("_to").alias("_then"))
+        links = checkpointed(links.join(further, ["_c", "_to"]).select("_c", "_us", F.col("_then").alias("_to")))
+
+
 def no_decrease_alarm(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, length: timedelta,
     hot_rows: int | None = None,
@@ -132,7 +123,7 @@ def no_decrease_alarm(
     cut = (F.col("_fall") | F.col("_far")).cast("long")
     chained = seen.scan(_chain=running_sum(cut), _f=next_match(F.col("_fall"), ts))
     rises = chained.rows.where("_rise").select(*keys, ts, "_chain", F.col(f"_f.{ts}").alias("_stop"))
-    clocks = _anchor_windows(rises, keys, ts, length)
+    clocks = _anchor_windows(rises, keys, ts, length, hot_rows)
     due = F.col("first_ts") + F.lit(length)
     return clocks.where(F.col("stop_ts").isNull() | (F.col("stop_ts") > due)).select(
         *keys, F.col("first_ts").alias("rise_ts"), due.alias("alarm_ts")
@@ -166,7 +157,7 @@ def fail_windows(
     cut = (F.col("_fail") & ~F.coalesce(adjacent, F.lit(False))).cast("long")
     fails = seen.scan(_chain=running_sum(cut)).rows.where("_fail")
     fails = fails.select(*keys, ts, "_chain", F.when(~F.col("_f._fail"), F.col(f"_f.{ts}")).alias("_stop"))
-    opened = _anchor_windows(fails, keys, ts, length)
+    opened = _anchor_windows(fails, keys, ts, length, hot_rows)
     cancelled = F.coalesce(F.col("stop_ts") <= F.col("first_ts") + F.lit(length), F.lit(False))
     return opened.where(~cancelled & (F.col("cnt") >= at_least)).drop("stop_ts")
 

@@ -43,6 +43,9 @@ FUNNEL = (
     patterns.Pattern.begin("a", "event_type = 'view'").followed_by("b", "event_type = 'click'")
     .followed_by("c", "event_type = 'purchase'").within(3 * DAY)
 )
+REDUCER = rolling.Reducer(
+    ("event_type", "event_id"), "path string, top bigint", lambda s, r: (r[0][:1], r[1]) if s is None else ((s[0] + r[0][:1])[-9:], max(s[1], r[1])),
+    lambda a, b: ((a[0] + b[0])[-9:], max(a[1], b[1])))
 CASES = {
     "scan": lambda e, hot: scan(e, ["user_id"], ORDER, columns(), hot),
     "over": lambda e, hot: rolling.over_range(e.withColumn("day", F.to_date("ts")), ["user_id"], ["day"], "value", hot),
@@ -59,6 +62,7 @@ CASES = {
                                                        hot_rows=hot),
     "order_timeout": lambda e, hot: alerts.order_timeout(e, ["user_id"], ORDER, F.col("event_type") == "signup",
                                                          F.col("event_type") == "purchase", 2 * DAY, hot),
+    "reduce": lambda e, hot: rolling.rolling_reduce(e, ["user_id"], ORDER, REDUCER, hot),
     "blacklist": lambda e, hot: alerts.blacklist_pass(e, ["user_id"], ORDER, "ts", 3, hot_rows=hot),
     "pattern": lambda e, hot: patterns.match_pattern(e, ["user_id"], ORDER, FUNNEL, ["event_id"], hot),
 }

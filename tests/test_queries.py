@@ -45,8 +45,7 @@ def test_flagship_query(spark):
 
 
 def test_no_python_in_built_in_plans(spark):
-    python = {"rich_map", "udf_length", "udtf_split", "udaf_avg", "top2_table_aggregate", "no_decrease_alarm",
-              "login_fail_window"}
+    python = {"rich_map", "udf_length", "udtf_split", "udaf_avg", "top2_table_aggregate", "rolling_reduce", "window_user_fn"}
     for name, query in entry.queries().items():
         if name in python or name.startswith(("stream_", "skewed_")):
             continue

@@ -1,9 +1,10 @@
-from datetime import timedelta
+import random
+from datetime import datetime, timedelta
 
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from streamlab.operators import distinct, windows
+from streamlab.operators import alerts, distinct, windows
 from streamlab.operators.topn import top_n
 from streamlab.operators.windows import Agg
 
@@ -80,3 +81,56 @@ def test_top_n_limits_groups_before_the_shuffle(events):
     ranked = top_n(events.select("event_type", "event_id", "value"), ["event_type"], [F.desc("value"), F.asc("event_id")], 3)
     assert "WindowGroupLimit" in ranked._jdf.queryExecution().executedPlan().toString()
     assert ranked.count() == 15
+
+
+def test_long_chains_of_anchored_windows(spark):
+    """Chains of many windows, with equal times, NULL keys and a hot key, against a walk from row to row."""
+    rng = random.Random(3)
+    rows = []
+    for k in ("a", "b", None):
+        at = 0
+        for i in range(400 if k == "a" else 60):
+            at += rng.choice([0, 1, 2, 5])
+            rows.append((k, i, datetime(2024, 1, 1) + timedelta(seconds=at), rng.random() < 0.97))
+    df = spark.createDataFrame(rows, "k string, id int, ts timestamp_ntz, fail boolean")
+    want, length = [], timedelta(seconds=7)
+    for k in ("a", "b", None):
+        window = None
+        for _, _, ts, fail in [r for r in rows if r[0] == k] + [(k, 0, datetime(2025, 1, 1), True)]:
+            if window and ts - window[0] > length:
+                want += [(k, *window)] if window[2] >= 2 else []
+                window = None
+            if not fail:
+                window = None
+            else:
+                window = (ts, ts, 1) if window is None else (window[0], ts, window[2] + 1)
+    for hot in (None, 20):
+        got = alerts.fail_windows(df, ["k"], ["ts", "id"], F.col("fail"), length, hot_rows=hot)
+        assert rows_of(got.select("k", "first_ts", "last_ts", "cnt")) == sorted(want, key=repr)
+
+
+def test_window_function_reads_as_much_as_it_wants(spark):
+    """A window of a third of the rows comes in batches; unread rows are skipped; results may be many or none."""
+    df = spark.range(30_000).selectExpr(
+        "if(id % 3 = 0, null, cast(id % 50 as string)) AS k", "timestamp_seconds(id % 7) AS ts", "id")
+
+    def first_two(window, batches):
+        for batch in batches:
+            if window["k"] == "1":
+                return
+            for v in batch["id"].to_pylist()[:2]:
+                yield v, None if window["k"] else "none"
+            return
+
+    got = windows.apply_rows(df, ["k"], "ts", timedelta(seconds=10), ["id"], first_two, "id bigint, mark string").collect()
+    best = {}
+    for i in range(30_000):
+        best.setdefault(None if i % 3 == 0 else str(i % 50), []).append(i)
+    assert sorted((str(r.k), r.id, r.mark) for r in got) == sorted(
+        (str(k), i, None if k else "none") for k, v in best.items() if k != "1" for i in v[:2])
+
+    def count(window, batches):
+        yield sum(b.num_rows for b in batches), 0
+
+    sizes = windows.apply_rows(df, ["k"], "ts", timedelta(seconds=10), ["id"], count, "n bigint, zero int")
+    assert {r.k: r.n for r in sizes.collect()} == {k: len(v) for k, v in best.items()}
