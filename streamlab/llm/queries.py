@@ -99,11 +99,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every text and decodes the ids again; ``round_trip`` compares with the text, marks taken as blanks."""
     model = sentence_pieces.read_model(PIECE_MODEL)
-    rows = sentence_pieces.decode(sentence_pieces.encode(read_table(spark, sf_dir, "documents"), model), model)
-    return rows.select(
-        F.col("id").alias("doc_id"), F.size("ids").alias("n_tokens"), "ids",
-        (F.col("decoded") == F.translate("text", sentence_pieces.MARK, " ")).alias("round_trip"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    rows = sentence_pieces.round_trip(read_table(spark, sf_dir, "documents"), model)
+    return rows.select(F.col("id").alias("doc_id"), F.size("ids").alias("n_tokens"), "ids", "round_trip", "decoded_sha256")
 
 
 @query("op4_toxicity")

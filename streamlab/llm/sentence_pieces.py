@@ -23,6 +23,7 @@ to the replacement character. Rows with repeated ids are encoded each on its own
 from __future__ import annotations
 
 import gc
+import hashlib
 import re
 import struct
 from array import array
@@ -39,8 +40,12 @@ from streamlab.llm.common import as_text, slices
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Encoded parts (and as many words) and neighbour pairs that a worker keeps; it begins anew when it has more.
-KEPT_PARTS, KEPT_PAIRS = 300_000, 1_000_000
+#: Bytes of encoded parts and words, and neighbour pairs, that a worker keeps; it begins anew when it has more.
+KEPT_BYTES, KEPT_PAIRS = 48 << 20, 300_000
+#: Of an entry beside its text and ids, about.
+ENTRY_BYTES = 200
+#: Texts that are encoded together.
+ROWS = 256
 UNKNOWN_TEXT = " ⁇ ".encode()
 
 
@@ -106,6 +111,7 @@ class Transducer:
         self._parts: dict[str, bytes] = {}
         self._words: dict[str, bytes] = {}
         self._pairs: dict[int, bool] = {}
+        self._kept = 0
         self.texts = [self._decoded(i) for i in range(len(model.pieces))]
 
     def _cuts(self) -> str:
@@ -250,12 +256,14 @@ class Transducer:
         paths = self._merge_paths(new) if self.model.kind == BPE else map(self._unigram_path, new)
         for part, path in zip(new, paths, strict=True):
             self._parts[part] = array("i", self._ids(path)).tobytes()
+            self._kept += ENTRY_BYTES + len(part) + len(self._parts[part])
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text. Words that one blank sets apart are looked up whole, and cut into parts if they are new."""
-        if len(self._parts) > KEPT_PARTS or len(self._words) > KEPT_PARTS:
+        if self._kept > KEPT_BYTES:
             self._parts.clear()
             self._words.clear()
+            self._kept = 0
         units: list[tuple[dict[str, bytes], list[str]]] = []
         words: set[str] = set()
         parts: set[str] = set()
@@ -271,6 +279,7 @@ class Transducer:
         known = self._parts.__getitem__
         for word, own in cut.items():
             self._words[word] = b"".join(map(known, own))
+            self._kept += ENTRY_BYTES + len(word) + len(self._words[word])
         return [np.frombuffer(b"".join(map(kept.__getitem__, own)), dtype="<i4") for kept, own in units]
 
     def encode(self, text: str) -> np.ndarray:
@@ -294,30 +303,65 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], transducer: Transducer) -> Iterator[tuple[pa.RecordBatch, list[str], list[np.ndarray]]]:
+    """Small slices of rows with their texts and ids."""
+    collects = gc.isenabled()
+    gc.disable()  # the kept paths are many and hold no cycles
+    try:
+        for batch in slices(batches, ROWS):
+            texts = batch["text"].to_pylist()
+            yield batch, texts, transducer.encode_batch(texts)
+    finally:
+        if collects:
+            gc.enable()
+
+
+def _id_lists(found: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, found)])
+    # Spark's array type has 32-bit offsets
+    if ends[-1] >= 2**31:
+        raise ValueError(f"{len(found)} texts have over 2^31 ids")
+    flat = np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
+
+
+def _texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("bigint").alias("id"), as_text(text_col).alias("text"))
+
+
 def encode(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, text and ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        transducer = compiled(model)
-        gc.disable()  # the kept paths are many and hold no cycles
-        for batch in slices(batches):
-            found = transducer.encode_batch(batch["text"].to_pylist())
-            ends = np.cumsum([0, *map(len, found)])
-            flat = np.concatenate(found) if found else np.zeros(0, dtype=np.int32)
-            # Spark's array type has 32-bit offsets
-            if ends[-1] >= 2**31:
-                raise ValueError("a batch has over 2^31 ids; set spark.sql.execution.arrow.maxRecordsPerBatch lower")
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch["id"], batch["text"], ids], ["id", "text", "ids"])
-    rows = df.select(F.col(id_col).cast("bigint").alias("id"), as_text(text_col).alias("text"))
-    return rows.mapInArrow(run, "id bigint, text string, ids array<int>")
+        for batch, _, found in _encoded(batches, compiled(model)):
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["text"], _id_lists(found)], ["id", "text", "ids"])
+    return _texts(df, id_col, text_col).mapInArrow(run, "id bigint, text string, ids array<int>")
 
 
 def decode(encoded: DataFrame, model: bytes) -> DataFrame:
     """``encoded`` (id, text, ids) with the column decoded."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         transducer = compiled(model)
-        for batch in slices(batches):
+        for batch in slices(batches, ROWS):
             texts = [transducer.decode(ids.values.to_numpy().tolist()) for ids in batch["ids"]]
             columns = [batch["id"], batch["text"], batch["ids"], pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["id", "text", "ids", "decoded"])
     return encoded.select("id", "text", "ids").mapInArrow(run, "id bigint, text string, ids array<int>, decoded string")
+
+
+def round_trip(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, ids, decoded_sha256 (hex) and round_trip, whether decoding gives the text with marks taken as blanks.
+
+    Encoding and decoding in one worker: no text leaves it, and a task holds the ids of ``ROWS`` texts.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        transducer = compiled(model)
+        for batch, texts, found in _encoded(batches, transducer):
+            digests, same = [], []
+            for text, ids in zip(texts, found, strict=True):
+                decoded = transducer.decode(ids.tolist())
+                digests.append(hashlib.sha256(decoded.encode()).hexdigest())
+                same.append(decoded == text.replace(MARK, " "))
+            yield pa.RecordBatch.from_arrays(
+                [batch["id"], _id_lists(found), pa.array(digests, pa.string()), pa.array(same, pa.bool_())],
+                ["id", "ids", "decoded_sha256", "round_trip"])
+    return _texts(df, id_col, text_col).mapInArrow(run, "id bigint, ids array<int>, decoded_sha256 string, round_trip boolean")

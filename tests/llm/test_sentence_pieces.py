@@ -1,5 +1,6 @@
 """The transducer against the public library and against brute force."""
 
+import hashlib
 import random
 import struct
 
@@ -76,3 +77,17 @@ def test_frames(spark):
     assert got.where("decoded <> text").count() == 0
     assert got.where(F.size("ids") == 0).count() == 2
     assert sp.decode(sp.encode(df.limit(0), model), model).count() == 0
+    both = sorted((tuple(r) for r in sp.round_trip(df, model).collect()), key=repr)
+    assert both == sorted(((r.id, r.ids, hashlib.sha256(r.decoded.encode()).hexdigest(), True) for r in got.collect()), key=repr)
+    assert sp.round_trip(df.limit(0), model).count() == 0
+
+
+def test_small_caches_change_no_id(monkeypatch):
+    texts = [f"word{i} and another{i % 7}  x{i * 31}" for i in range(300)]
+    with open(PATH, "rb") as f:
+        data = f.read()
+    want = [ids.tolist() for ids in sp.Transducer(sp.PieceModel(data)).encode_batch(texts)]
+    monkeypatch.setattr(sp, "KEPT_BYTES", 2000)
+    monkeypatch.setattr(sp, "KEPT_PAIRS", 10)
+    small = sp.Transducer(sp.PieceModel(data))
+    assert [small.encode(t).tolist() for t in texts] == want
