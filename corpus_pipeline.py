@@ -40,10 +40,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, round_trip) per row."""
     model = sentence_pieces.read_model(PIECE_MODEL)
-    rows = sentence_pieces.decode(sentence_pieces.encode(docs, model), model)
-    return rows.select(
-        F.col("id").alias("doc_id"), F.size("ids").alias("n_tokens"), "ids",
-        (F.col("decoded") == F.translate("text", sentence_pieces.MARK, " ")).alias("round_trip"))
+    rows = sentence_pieces.round_trip(docs, model)
+    return rows.select(F.col("id").alias("doc_id"), F.size("ids").alias("n_tokens"), "ids", "round_trip")
 
 
 STAGES = [
