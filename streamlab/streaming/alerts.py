@@ -105,27 +105,36 @@ class FailWindow(Machine):
 
 
 class OrderTimeout(Machine):
-    """The last create is open until ``within`` after it; any pay up to then is a payment of it."""
+    """Every create is open until ``within`` after it; the first pay up to then pays all creates that are open.
 
-    state_schema = _schema(create_us=LONG, paid=T.BooleanType())
+    At equal times creates come before pays: give the row that says so first in the machine's order.
+    """
+
+    state_schema = _schema(open_us=T.ArrayType(LONG), create_us=LONG)
     output_schema = _schema(status=STRING, create_us=LONG, pay_us=LONG)
 
     def __init__(self, created: str, paid: str, within: timedelta) -> None:
         self.created, self.paid, self.within = created, paid, micros(within)
 
+    def _next(self, unpaid: list[int], last: int | None) -> int | None:
+        return unpaid[0] + self.within if unpaid else None if last is None else last + self.within
+
     def on_row(self, state: tuple, at: int, row: Row):
-        create, done = state
+        unpaid, last, out = list(state[0] or []), state[1], []
         if row[self.created]:
-            # one open create per key, as order ids are not reused
-            return (at, False), [], at + self.within
-        if create is None:
-            return state, [("pay_without_create", None, at)], None
-        out = [] if done else [("paid", create, at)]
-        return (create, True), out, create + self.within
+            unpaid, last = [*unpaid, at], at
+        elif row[self.paid] and last is None:
+            out = [("pay_without_create", None, at)]
+        elif row[self.paid]:
+            out, unpaid = [("paid", create, at) for create in unpaid], []
+        return (unpaid, last), out, self._next(unpaid, last)
 
     def on_deadline(self, state: tuple, at: int):
-        create, done = state
-        return self.start(), [] if done else [("no_pay", create, None)], None
+        unpaid, last = list(state[0] or []), state[1]
+        over = [create for create in unpaid if create + self.within <= at]
+        unpaid = unpaid[len(over):]
+        last = None if last is None or last + self.within <= at else last
+        return (unpaid, last), [("no_pay", create, None) for create in over], self._next(unpaid, last)
 
 
 class Blacklist(Machine):

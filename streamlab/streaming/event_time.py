@@ -3,29 +3,45 @@
 A ``Machine`` sees the rows of one key in order and may ask to be called at a deadline. The processor around it keeps
 rows in state until the watermark has passed them, so the result does not depend on the order of arrival within the
 watermark delay and equals the batch form in ``streamlab.operators``.
+
+Waiting rows lie in a map by time slot. A timer reads the slots that the watermark has passed, each once, and drops them; only
+the slot in which the watermark stands is written back. So the work of a key grows with its rows, not with rows times timers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from streamlab.operators.durations import micros
+from streamlab.streaming.map_state import MapView
+
 _US = "_us"
+SLOT = timedelta(hours=1)
 
 
 class Machine:
-    """State of one key. ``state`` is a tuple with the fields of ``state_schema``; times are epoch microseconds."""
+    """State of one key. ``state`` is a tuple with the fields of ``state_schema``; times are epoch microseconds.
+
+    ``map_schemas`` names further map states by key and value fields; a machine finds them in ``self.maps``.
+    """
 
     state_schema: T.StructType
     output_schema: T.StructType
+    map_schemas: dict[str, tuple[str, str]] = {}
+    maps: dict[str, MapView]
 
     def start(self) -> tuple:
         return tuple(None for _ in self.state_schema.fields)
 
+    def begin(self) -> None:
+        """Called before the rows of a key, once its map states can be read."""
+
     def on_row(self, state: tuple, at: int, row: Row) -> tuple[tuple, list[tuple], int | None]:
         """New state, output rows (without the key) and the deadline to wait for, if any."""
         raise NotImplementedError
@@ -36,35 +52,61 @@ class Machine:
 
 class _InOrder(StatefulProcessor):
     def __init__(
-        self, machine: Machine, order: Sequence[str], row_schema: T.StructType, output_names: Sequence[str]
+        self, machine: Machine, order: Sequence[str], row_schema: T.StructType, output_names: Sequence[str], slot: timedelta
     ) -> None:
-        self.machine, self.order, self.row_schema = machine, list(order), row_schema
-        self.result = Row(*output_names)
+        self.machine, self.order, self.row_schema, self.slot = machine, list(order), row_schema, micros(slot)
+        self.result, self.row = Row(*output_names), Row(*row_schema.names)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", self.row_schema)
+        rows = T.StructType([T.StructField("rows", T.ArrayType(self.row_schema))])
+        self.waiting = handle.getMapState("waiting", "slot long", rows)
         fields = [*self.machine.state_schema.fields, T.StructField("deadline_us", T.LongType())]
         self.state = handle.getValueState("state", T.StructType(fields))
         self.timer = handle.getValueState("timer", "at_ms long")
+        self.machine.maps = {n: MapView(handle.getMapState(n, k, v)) for n, (k, v) in self.machine.map_schemas.items()}
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        slots: dict[int, list[tuple]] = {}
         first = None
         for row in rows:
-            self.waiting.appendValue(tuple(row))
             at = row[_US]
+            slots.setdefault(at // self.slot, []).append(tuple(row[c] for c in self.row_schema.names))
             first = at if first is None else min(first, at)
+        for slot, new in slots.items():
+            self.waiting.updateValue((slot,), ([*self._in(slot), *new],))
         self._wake_at(first)
         return iter(())
 
+    def _in(self, slot: int) -> list[tuple]:
+        stored = self.waiting.getValue((slot,))
+        return [] if stored is None else [tuple(r) for r in stored[0]]
+
+    def _due(self, until: int) -> tuple[list[Row], int | None]:
+        """Rows up to ``until`` in order, taken out of state, and the time of the first that stays."""
+        due: list[Row] = []
+        slots = sorted(k[0] for k in list(self.waiting.keys()))
+        for slot in slots:
+            if slot * self.slot > until:
+                return due, slot * self.slot
+            rows = [self.row(*r) for r in self._in(slot)]
+            due += sorted((r for r in rows if r[_US] <= until), key=lambda r: tuple(r[c] for c in [_US, *self.order]))
+            later = [tuple(r) for r in rows if r[_US] > until]
+            if later:
+                self.waiting.updateValue((slot,), (later,))
+                return due, min(r[self.row_schema.names.index(_US)] for r in later)
+            self.waiting.removeKey((slot,))
+        return due, None
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.timer.clear()
         until = timerValues.getCurrentWatermarkInMs() * 1000
-        rows = [Row(**dict(zip(self.row_schema.names, r, strict=True))) for r in self.waiting.get()]
-        due = sorted((r for r in rows if r[_US] <= until), key=lambda r: tuple(r[c] for c in [_US, *self.order]))
-        later = [tuple(r) for r in rows if r[_US] > until]
+        due, later = self._due(until)
         stored = self.state.get()
         state, deadline = (self.machine.start(), None) if stored is None else (tuple(stored[:-1]), stored[-1])
+        for view in self.machine.maps.values():
+            view.begin()
+        self.machine.begin()
         out: list[tuple] = []
         for row in due:
             while deadline is not None and deadline < row[_US]:
@@ -76,11 +118,9 @@ class _InOrder(StatefulProcessor):
             state, rows_out, deadline = self.machine.on_deadline(state, deadline)
             out += rows_out
         self.state.update((*state, deadline))
-        if later:
-            self.waiting.put(later)
-        else:
-            self.waiting.clear()
-        pending = [r[self.row_schema.names.index(_US)] for r in later] + ([deadline] if deadline is not None else [])
+        for view in self.machine.maps.values():
+            view.write()
+        pending = [t for t in (later, deadline) if t is not None]
         if pending:
             self._wake_at(min(pending))
         for values in out:
@@ -101,16 +141,18 @@ class _InOrder(StatefulProcessor):
 
 
 def run_machine(
-    stream: DataFrame, keys: Sequence[str], ts: str, machine: Machine, columns: Sequence[str], order: Sequence[str] = ()
+    stream: DataFrame, keys: Sequence[str], ts: str, machine: Machine, columns: Sequence[str], order: Sequence[str] = (),
+    slot: timedelta = SLOT,
 ) -> DataFrame:
     """Apply ``machine`` per key to a stream with a watermark on ``ts``. Output: keys and ``machine.output_schema``.
 
-    ``order`` breaks ties in time. Only ``columns`` (and what order and time need) are kept in state.
+    ``order`` breaks ties in time. Only ``columns`` (and what order and time need) are kept in state, by ``slot``.
     """
-    needed = list(dict.fromkeys([*columns, *order]))
-    with_us = stream.select(*keys, ts, *[c for c in needed if c not in (*keys, ts)], F.unix_micros(ts).alias(_US))
+    needed = [c for c in dict.fromkeys([*columns, *order]) if c != ts]
+    with_us = stream.select(*keys, ts, *[c for c in needed if c not in keys], F.unix_micros(ts).alias(_US))
+    kept = T.StructType([with_us.schema[c] for c in [*needed, _US]])
     output = T.StructType([*[stream.schema[k] for k in keys], *machine.output_schema.fields])
-    processor = _InOrder(machine, order, with_us.schema, output.names)
+    processor = _InOrder(machine, order, kept, output.names, slot)
     return with_us.groupBy(*keys).transformWithState(
         statefulProcessor=processor, outputStructType=output, outputMode="append", timeMode="eventTime"
     )
