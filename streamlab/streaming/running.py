@@ -1,4 +1,4 @@
-"""Per-record running results on a stream, in arrival order: fold, count windows, changelog, late rows, reminders.
+"""Per-record running results on a stream, in arrival order: fold, count windows, changelog, reminders.
 
 The rows of a key within one micro-batch are put in ``order`` first, as a shuffle does not keep their order.
 """
@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from streamlab.operators import durations as d
-from streamlab.operators.windows import window_of
 
 Fold = Callable[[tuple | None, Row], tuple]
 
@@ -126,40 +125,6 @@ def changelog_count(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
     return stream.select(*keys).groupBy(*keys).transformWithState(_Changelog(output.names), output, "append", "none")
 
 
-class _LateSplit(StatefulProcessor):
-    """Tags rows against the watermark of this operator; the bound was taken off the closing time beforehand."""
-
-    def __init__(self, keep: Sequence[str], output_names: Sequence[str]) -> None:
-        self.keep, self.result = list(keep), Row(*output_names)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        for row in rows:
-            yield self.result(*key, *[row[c] for c in self.keep], row["_closes_ms"] <= watermark)
-
-    def close(self) -> None:
-        pass
-
-
-def late_split(
-    stream: DataFrame, keys: Sequence[str], ts: str, keep: Sequence[str], size: timedelta, bound: timedelta,
-    allow: timedelta, slide: timedelta | None = None, lateness: timedelta = timedelta(0),
-) -> DataFrame:
-    """Keep late rows instead of dropping them: adds ``is_late`` (all windows of the row were closed on arrival).
-
-    Spark drops rows behind its watermark before any operator sees them, so the stream's watermark is delayed by
-    ``allow`` (longer than any row is late) and rows are compared with that watermark plus ``allow - bound``.
-    """
-    last_end = window_of(ts, slide or size)["start"] + F.lit(size)
-    closes = F.unix_millis(last_end) - 1 + (d.micros(lateness) - d.micros(allow) + d.micros(bound)) // 1000
-    rows = stream.withWatermark(ts, d.text(allow)).select(*keys, *keep, ts, closes.alias("_closes_ms"))
-    output = T.StructType([*[stream.schema[c] for c in [*keys, *keep]], T.StructField("is_late", T.BooleanType())])
-    return rows.groupBy(*keys).transformWithState(_LateSplit(keep, output.names), output, "append", "eventTime")
-
-
 class _Reminder(StatefulProcessor):
     def __init__(self, delay_ms: int, output_names: Sequence[str]) -> None:
         self.delay, self.result = delay_ms, Row(*output_names)

@@ -15,6 +15,7 @@ from streamlab.operators.windows import Agg
 from streamlab.streaming import alerts, running
 from streamlab.streaming import windows as sw
 from streamlab.streaming.event_time import run_machine
+from streamlab.streaming.late import split_late, window_closes
 from streamlab.streaming.patterns import match_stream
 from streamlab.streaming.running import running_fold
 
@@ -201,9 +202,9 @@ def test_late_rows_are_dropped_by_windows_and_kept_by_late_split(spark):
     five = timedelta(seconds=5)
     counted = source.run(lambda s: sw.tumble(s.withWatermark("ts", "2 seconds"), ["k"], "ts", five, CNT), name="w")
     assert sorted(rows_of(counted.select(F.unix_seconds("window_end") - START, "cnt"))) == [(5, 3), (25, 1)]
-    split = source.run(lambda s: running.late_split(
-        s, ["k"], "ts", ["id"], five, bound=timedelta(seconds=2), allow=timedelta(hours=1)), name="l")
-    assert rows_of(split.select("id", "is_late")) == [(0, False), (1, False), (2, False), (3, True), (4, False), (5, True)]
+    split = source.run(lambda s: split_late(
+        s, F.lit(0), ["id"], "ts", window_closes("ts", five), timedelta(seconds=2), ["id"]), name="l")
+    assert rows_of(split) == [(0, False), (1, False), (2, False), (3, True), (4, False), (5, True)]
 
 
 def test_restart_continues_from_the_checkpoint(spark, rows):
