@@ -49,8 +49,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = exact_dedup.DigestIndex(spark, fresh_folder(spark, "digests"))
-    marked = exact_dedup.mark(read_table(spark, sf_dir, "documents"), index)
-    return marked.select(
+    marking = exact_dedup.mark(read_table(spark, sf_dir, "documents"), index)
+    marking.commit()
+    return marking.rows.select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 

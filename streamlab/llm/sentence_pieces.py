@@ -41,11 +41,11 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Bytes of encoded parts and words, and neighbour pairs, that a worker keeps; it begins anew when it has more.
-KEPT_BYTES, KEPT_PAIRS = 48 << 20, 300_000
+KEPT_BYTES, KEPT_PAIRS = 112 << 20, 600_000
 #: Of an entry beside its text and ids, about.
 ENTRY_BYTES = 200
 #: Texts that are encoded together.
-ROWS = 256
+ROWS = 512
 UNKNOWN_TEXT = " ⁇ ".encode()
 
 

@@ -31,21 +31,53 @@ def odd(spark):
 
 def test_exact_dedup(spark, odd):
     index = exact_dedup.DigestIndex(spark, fresh_folder(spark, "digests"), 3)
-    got = {(r.id, r.chars): r for r in exact_dedup.mark(odd, index).collect()}
+    first = exact_dedup.mark(odd, index)
+    got = {(r.id, r.chars): r for r in first.rows.collect()}
     assert {k: r.keep_id for k, r in got.items()} == {
         (1, 0): 3, (2, 0): 3, (3, 3): 3, (4, 7): 5, (5, 9): 5, (6, 6): 5, (None, 3): 7, (7, 3): 7, (8, 250_000): 8, (9, 7): 9}
     assert all(r.kept == (r.id == r.keep_id) for r in got.values() if r.id is not None)
+    first.commit()
+    assert {(r.id, r.chars): r for r in first.rows.collect()} == got
     # a second batch meets the first one's digests, also through a newly opened index
     index.forget()
-    index = exact_dedup.DigestIndex(spark, index.path, 3)
+    index = exact_dedup.DigestIndex(spark, index.path)
     more = spark.createDataFrame([(20, "o n e"), (21, "fresh"), (22, "fresh")], "doc_id bigint, text string")
-    got = {r.id: (r.keep_id, r.kept) for r in exact_dedup.mark(more, index).collect()}
-    assert got == {20: (7, False), 21: (21, True), 22: (21, False)}
-    assert exact_dedup.drop_copies(more, index).count() == 0
-    kept = exact_dedup.drop_copies(odd, exact_dedup.DigestIndex(spark, fresh_folder(spark, "digests")))
+    second = exact_dedup.mark(more, index)
+    assert {r.id: (r.keep_id, r.kept) for r in second.rows.collect()} == {20: (7, False), 21: (21, True), 22: (21, False)}
+    second.commit()
+    assert exact_dedup.drop_copies(more, exact_dedup.mark(more, index)).count() == 0
+    other = exact_dedup.DigestIndex(spark, fresh_folder(spark, "digests"))
+    kept = exact_dedup.drop_copies(odd, exact_dedup.mark(odd, other))
     assert kept.columns == odd.columns
     assert sorted(r.doc_id for r in kept.collect()) == [3, 5, 7, 8, 9]
-    assert exact_dedup.mark(odd.limit(0), exact_dedup.DigestIndex(spark, fresh_folder(spark, "digests"))).count() == 0
+    assert exact_dedup.mark(odd.limit(0), other).rows.count() == 0
+
+
+def test_a_lost_answer_changes_nothing(spark):
+    index = exact_dedup.DigestIndex(spark, fresh_folder(spark, "digests"), 2)
+    batch = spark.range(200).selectExpr("id AS doc_id", "concat('text ', id % 150) AS text")
+    lost = exact_dedup.mark(batch, index)
+    again = exact_dedup.mark(batch, index)
+    assert again.rows.where("kept").count() == lost.rows.where("kept").count() == 150
+    again.commit()
+    lost.commit()
+    assert index.rows().count() == 150 and exact_dedup.mark(batch, index).rows.where("kept").count() == 0
+
+
+def test_index_with_another_number_of_buckets(spark):
+    index = exact_dedup.DigestIndex(spark, fresh_folder(spark, "digests"), 2)
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex(spark, index.path, 5)
+    assert exact_dedup.DigestIndex(spark, index.path).buckets == 2
+
+
+def test_extreme_ids(spark):
+    rows = [(-2**63, "a"), (2**63 - 1, "a"), (None, "a"), (2**63 - 1, "b"), (None, "b"), (None, "c"), (0, "d ")]
+    index = exact_dedup.DigestIndex(spark, fresh_folder(spark, "digests"), 2)
+    got = exact_dedup.mark(spark.createDataFrame(rows, "doc_id bigint, text string"), index).rows.collect()
+    assert sorted((str(r.id), str(r.keep_id), r.group_size, r.kept) for r in got) == sorted([
+        (str(-2**63), str(-2**63), 3, True), (str(2**63 - 1), str(-2**63), 3, False), ("None", str(-2**63), 3, False),
+        (str(2**63 - 1), str(2**63 - 1), 2, True), ("None", str(2**63 - 1), 2, False), ("None", "None", 1, True), ("0", "0", 1, True)])
 
 
 def filled(sizes):
