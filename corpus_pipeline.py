@@ -24,7 +24,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return exact_dedup.drop_copies(docs, exact_dedup.DigestIndex(spark, fresh_folder(spark, "digests")))
+    marking = exact_dedup.mark(docs, exact_dedup.DigestIndex(spark, fresh_folder(spark, "digests")))
+    marking.commit()
+    return exact_dedup.drop_copies(docs, marking)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
