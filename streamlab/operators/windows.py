@@ -142,22 +142,40 @@ def hop_count(
     return counted.select(*keys, start, "window_end", name)
 
 
+#: Slides in a stretch of time that one task counts.
+STRETCH = 1000
+
+
 def count_levels(spans: DataFrame, keys: Sequence[str], slide: timedelta, name: str) -> DataFrame:
-    """For every window end, the number of spans (rows with ``_rise <= end < _fall``) of the key that cover it."""
+    """For every window end, the number of spans (rows with ``_rise <= end < _fall``) of the key that cover it.
+
+    Time is cut into stretches of ``STRETCH`` slides. A span is cut where stretches meet, so each stretch of a key is counted
+    by itself, without anything carried in, and a busy key is spread over as many groups as it has stretches.
+    """
+    step = d.micros(slide)
+    length = STRETCH * step
+    kind = spans.schema["_rise"].dataType.simpleString()
     grouped = spans.groupBy(*keys, "_rise", "_fall").agg(F.count("*").alias("_c"))
-    rise = F.struct(F.col("_rise").alias("_at"), F.col("_c").alias("_by"))
-    fall = F.struct(F.col("_fall").alias("_at"), (-F.col("_c")).alias("_by"))
-    changes = grouped.select(*keys, F.inline(F.array(rise, fall)))
-    in_time = Window.partitionBy(*keys).orderBy("_at")
-    # changes at the same time are peers and share the level; only the last of them has a later successor
+    cut = grouped.select(*keys, *[F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in ("_rise", "_fall")], "_c")
+
+    def stretch_of(at: str) -> Column:
+        return F.expr(f"(({at}) - pmod({at}, {length})) div {length}")
+
+    cut = cut.withColumn("_stretch", F.explode(F.sequence(stretch_of("_rise"), stretch_of("_fall - 1"))))
+    rise = F.struct(F.greatest("_rise", F.col("_stretch") * length).alias("_at"), F.col("_c").alias("_by"))
+    fall = F.struct(F.least("_fall", (F.col("_stretch") + 1) * length).alias("_at"), (-F.col("_c")).alias("_by"))
+    changes = cut.select(*keys, "_stretch", F.inline(F.array(rise, fall)))
+    changes = changes.groupBy(*keys, "_stretch", "_at").agg(F.sum("_by").alias("_by"))
+    in_time = Window.partitionBy(*keys, "_stretch").orderBy("_at")
     levels = changes.select(
         *keys,
         "_at",
-        F.sum("_by").over(in_time.rangeBetween(Window.unboundedPreceding, Window.currentRow)).alias(name),
+        F.sum("_by").over(in_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias(name),
         F.lead("_at").over(in_time).alias("_until"),
-    ).where((F.col(name) > 0) & (F.col("_until") > F.col("_at")))
-    ends = F.sequence("_at", F.col("_until") - F.lit(slide), F.lit(slide))
-    return levels.select(*keys, F.explode(ends).alias("window_end"), name)
+    ).where((F.col(name) > 0) & F.col("_until").isNotNull())
+    ends = F.sequence("_at", F.col("_until") - step, F.lit(step))
+    return levels.select(*keys, F.explode(ends).alias("window_end"), name).withColumn(
+        "window_end", F.timestamp_micros("window_end").cast(kind))
 
 
 def with_session(

@@ -291,6 +291,37 @@ def json_payload(spark, d):
     return parse.json_payload(e.select(message.alias("value")), "value", "event_id bigint, k bigint")
 
 
+_MESSAGE = """'{"event_id": ' || event_id || ', "value": ' || CASE WHEN event_type = 'error' THEN 'oops' ELSE '1' END ||
+    CASE WHEN event_type = 'click' THEN '' ELSE '}' END"""
+
+
+def _messages(spark, d):
+    kind = F.col("event_type")
+    message = F.concat(
+        F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "value": '), F.when(kind == "error", "oops").otherwise("1"),
+        F.when(kind == "click", "").otherwise("}"))
+    return events(spark, d).select(message.alias("value"))
+
+
+@query("payload_rejects", f"SELECT {_MESSAGE} AS line FROM events WHERE event_type IN ('error', 'click')")
+def payload_rejects(spark, d):
+    """Messages that are no JSON, or no JSON of the schema."""
+    return parse.rejects(parse.checked_payload(_messages(spark, d), "value", "event_id bigint, value double", required=["event_id"]))
+
+
+@query("payload_records", "SELECT event_id, 1.0::DOUBLE AS value FROM events WHERE event_type NOT IN ('error', 'click')")
+def payload_records(spark, d):
+    return parse.records(parse.checked_payload(_messages(spark, d), "value", "event_id bigint, value double", required=["event_id"]))
+
+
+@query("csv_payload_rejects", "SELECT event_id || ',' || event_type AS line FROM events WHERE event_id % 3 = 0")
+def csv_payload_rejects(spark, d):
+    short = F.col("event_id") % 3 == 0
+    lines = events(spark, d).select(F.concat_ws(
+        ",", "event_id", "event_type", F.when(~short, F.col("user_id").cast("string"))).alias("value"))
+    return parse.rejects(parse.checked_payload(lines, "value", "event_id bigint, event_type string, user_id bigint", "csv"))
+
+
 @query("json_documents", """
     SELECT event_type || '|' || user_id AS doc_key,
            '{"event_type":"' || event_type || '","user_id":' || user_id || ',"cnt":' || count(*) || '}' AS body

@@ -12,8 +12,11 @@ from pyspark.sql import types as T
 from streamlab.operators import alerts, patterns, rolling, windows
 from streamlab.operators.history import previous, running_count, running_sum, scan
 from streamlab.operators.windows import Agg
+from streamlab.plans import jobs, keyed
 from streamlab.plans.registry import events, query
 from streamlab.session import DEFAULTS
+from streamlab.sinks.documents import upsert_documents
+from streamlab.sinks.files import append_files
 from streamlab.sinks.keyed import KeyedTable
 from streamlab.streaming import alerts as machines
 from streamlab.streaming import late as stream_late
@@ -276,6 +279,48 @@ def stream_hot_urls(spark, d):
     return _plain_times(topn.current(_written(spark, "stream_hot_urls", changes))).withColumnRenamed("item", "url")
 
 
+@query("stream_documents", """
+    SELECT event_type || '|' || user_id AS doc_key,
+           '{"event_type":"' || event_type || '","user_id":' || user_id || ',"cnt":' || count(*) || '}' AS body
+    FROM events GROUP BY event_type, user_id""")
+def stream_documents(spark, d):
+    """Running counts as documents; the latest one of a key stays."""
+    folder = _folder(spark, "stream_documents")
+    table, write = upsert_documents(f"{folder}/table", ["event_type", "user_id"])
+    counts = event_stream(spark, d).groupBy("event_type", "user_id").agg(F.count("*").alias("cnt"))
+    run_to_end(counts, f"{folder}/checkpoint", mode="update", each_batch=write)
+    return table.latest(spark)
+
+
+@query("stream_csv_files", "SELECT event_id, user_id, value FROM events WHERE event_type = 'purchase'")
+def stream_csv_files(spark, d):
+    folder = _folder(spark, "stream_csv_files")
+    rows = event_stream(spark, d).where("event_type = 'purchase'").select("event_id", "user_id", "value")
+    append_files(rows, f"{folder}/out", f"{folder}/checkpoint", header="true").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("event_id bigint, user_id bigint, value double").option("header", "true").csv(f"{folder}/out")
+
+
+@query("stream_count_and_alarm", f"""{keyed._FALLS}
+    a AS (SELECT user_id, island, min(ts) AS rise_ts, any_value(stop) AS stop FROM rises GROUP BY 1, 2
+          UNION ALL
+          SELECT a.user_id, a.island, min(r.ts), any_value(a.stop)
+          FROM a JOIN rises r ON r.user_id = a.user_id AND r.island = a.island AND r.ts > a.rise_ts + INTERVAL 8 HOURS
+          GROUP BY a.user_id, a.island)
+    SELECT user_id, 'alarm' AS output, rise_ts + INTERVAL 8 HOURS AS at_ts FROM a
+    WHERE (stop IS NULL OR stop > rise_ts + INTERVAL 8 HOURS) AND rise_ts + INTERVAL 8 HOURS <= {_SEEN}
+    UNION ALL SELECT user_id, 'count', ts FROM events WHERE ts <= {_SEEN}""")
+def stream_count_and_alarm(spark, d):
+    """One pass over the stream, two sinks."""
+    spark.conf.set(_PROVIDER, DEFAULTS[_PROVIDER])
+    folder = _folder(spark, "stream_count_and_alarm")
+    tables = {tag: KeyedTable(f"{folder}/{tag}", ("user_id", "at_ts")) for tag in ("count", "alarm")}
+    rows = event_stream(spark, d).select("user_id", "event_id", "ts", "value")
+    writes = {tag: table.upsert for tag, table in tables.items()}
+    jobs.count_and_alarm_stream(rows, ["user_id"], ["ts", "event_id"], "value", 8 * HOUR, writes, f"{folder}/checkpoint")
+    found = [t.changes(spark).select("user_id", F.lit(tag).alias("output"), "at_ts") for tag, t in tables.items()]
+    return _plain_times(found[0].unionByName(found[1]))
+
+
 # A third of the rows on one key, and a threshold that splits it (and every other busy key) into slices.
 _SKEWED = "(SELECT *, CASE WHEN event_id % 3 = 0 THEN -1 ELSE user_id END AS k FROM events)"
 _SPLIT_ABOVE = 50
@@ -343,6 +388,17 @@ def skewed_reduce(spark, d):
     return rolling.rolling_reduce(rows, ["k"], ["ts", "event_id"], reducer, _SPLIT_ABOVE).drop("ts")
 
 
+@query("skewed_hop_count", f"""
+    SELECT k, e AS window_end, e - INTERVAL 6 HOURS AS window_start, count(*) AS cnt FROM (
+      SELECT k, time_bucket(INTERVAL 10 SECONDS, ts) + i * INTERVAL 10 SECONDS AS e
+      FROM (SELECT event_id % 7 % 2 AS k, ts FROM events WHERE event_id % 20 = 0), generate_series(1, 2160) s(i))
+    GROUP BY k, e""")
+def skewed_hop_count(spark, d):
+    """Two busy keys and many short slides: each stretch of time is counted by itself."""
+    rows = events(spark, d).where("event_id % 20 = 0").select((F.col("event_id") % 7 % 2).alias("k"), "ts")
+    return windows.hop_count(rows, ["k"], "ts", 6 * HOUR, timedelta(seconds=10))
+
+
 @query("skewed_fail_window", f"""
     WITH RECURSIVE e AS (SELECT k, ts, event_id, event_type <> 'purchase' AS fail FROM {_SKEWED}),
     g AS (SELECT *, sum(CASE WHEN fail THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY ts, event_id) AS run FROM e),

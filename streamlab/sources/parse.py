@@ -69,6 +69,23 @@ def json_payload(df: DataFrame, value: str, schema: str | T.StructType) -> DataF
     return df.select(F.from_json(F.col(value), schema).alias("_r")).select("_r.*")
 
 
+_BAD = "_bad_message"
+
+
+def checked_payload(df: DataFrame, value: str, schema: str, fmt: str = "json", required: Sequence[str] = ()) -> DataFrame:
+    """Decode CSV or JSON messages for ``records`` and ``rejects``: a message that does not parse to the schema is a reject.
+
+    So is one that is NULL, or has no value for a ``required`` field.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    decode = F.from_json if fmt == "json" else F.from_csv
+    decoded = df.select(F.col(value).alias("line"), decode(F.col(value), f"{schema}, {_BAD} string", options).alias("_r"))
+    ok = F.col("_r").isNotNull() & F.col(f"_r.{_BAD}").isNull()
+    for field in required:
+        ok = ok & F.col(f"_r.{field}").isNotNull()
+    return decoded.select("line", "_r.*", F.coalesce(ok, F.lit(False)).alias(OK)).drop(_BAD)
+
+
 def to_csv_message(*columns: str) -> Column:
     return F.to_csv(F.struct(*columns)).alias("value")
 

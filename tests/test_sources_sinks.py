@@ -266,3 +266,14 @@ def test_entry_and_queries_have_matching_names():
     done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True,
                           env={**os.environ}, check=True)
     assert int(done.stdout.strip().split()[-1]) > 60
+
+
+def test_bad_messages_are_rejects(spark):
+    lines = ['{"id": 1, "v": 2.5}', '{"id": 1, "v": "x"}', "{", "", None, '{"v": 1}', '{"id": 2}', "[]"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    parsed = parse.checked_payload(df, "value", "id bigint, v double", required=["id"])
+    assert rows_of(parse.records(parsed)) == [(1, 2.5), (2, None)]
+    assert rows_of(parse.rejects(parsed)) == sorted([(x,) for x in lines if x not in (lines[0], lines[6])], key=repr)
+    table = spark.createDataFrame([("1,a",), ("x,a",), ("1",), ("1,a,b",), (None,)], "value string")
+    parsed = parse.checked_payload(table, "value", "id bigint, name string", "csv")
+    assert rows_of(parse.records(parsed)) == [(1, "a")] and parse.rejects(parsed).count() == 4

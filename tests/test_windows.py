@@ -134,3 +134,13 @@ def test_window_function_reads_as_much_as_it_wants(spark):
 
     sizes = windows.apply_rows(df, ["k"], "ts", timedelta(seconds=10), ["id"], count, "n bigint, zero int")
     assert {r.k: r.n for r in sizes.collect()} == {k: len(v) for k, v in best.items()}
+
+
+def test_sliding_counts_are_cut_at_stretches(spark, events, monkeypatch):
+    old = events.withColumn("ts", F.col("ts") - F.expr("INTERVAL 54 YEARS"))
+    for rows in (events, old):
+        args = (rows, ["event_type"], "ts", HOUR, 5 * MINUTE)
+        plain = rows_of(windows.hop_plain(*args, CNT))
+        for stretch in (1, 3, 12, 100):
+            monkeypatch.setattr(windows, "STRETCH", stretch)
+            assert rows_of(windows.hop_count(*args)) == plain
