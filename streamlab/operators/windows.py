@@ -246,15 +246,29 @@ def count_hop(
     aggs: dict[str, Agg],
     hot_rows: int | None = None,
 ) -> DataFrame:
-    """Every ``slide`` rows of a key, the aggregate over its last ``size`` rows (fewer at the start)."""
-    numbered = scan(df, keys, order, {"_n": running_count()}, hot_rows)
-    first = F.expr(f"((_n + {slide - 1}) div {slide}) * {slide}")
-    last = F.col("_n") + F.lit(size - 1)
+    """Every ``slide`` rows of a key, the aggregate over its last ``size`` rows (fewer at the start).
+
+    Without hot keys this is a moving frame over the rows of a key. Else windows may reach over slices: rows are reduced to
+    panes, as many rows as divide both numbers, and these are copied to their windows.
+    """
+    history = History.of(df, keys, order, hot_rows)
+    if not history.split:
+        in_order = Window.partitionBy(*keys).orderBy(*order)
+        frame = in_order.rowsBetween(1 - size, Window.currentRow)
+        moving = [a.over().over(frame).alias(n) for n, a in aggs.items()]
+        rows = df.select(*keys, F.row_number().over(in_order).cast("long").alias("window_no"), *moving)
+        return rows.where(F.col("window_no") % slide == 0)
+    pane = gcd(size, slide)
+    numbered = history.scan(_n=running_count()).rows
+    partials = [column for n, a in aggs.items() for column in a.partial(n)]
+    panes = numbered.groupBy(*keys, F.expr(f"(_n - 1) div {pane}").alias("_pane")).agg(F.max("_n").alias("_last"), *partials)
+    first = F.expr(f"((_pane * {pane} + {pane + slide - 1}) div {slide}) * {slide}")
+    last = F.expr(f"_pane * {pane} + {size}")
     fired = F.explode(F.when(first <= last, F.sequence(first, last, F.lit(slide).cast("long")))).alias("window_no")
     return (
-        numbered.select("*", fired)
+        panes.select("*", fired)
         .groupBy(*keys, "window_no")
-        .agg(F.max("_n").alias("_reached"), *[a.over().alias(n) for n, a in aggs.items()])
+        .agg(F.max("_last").alias("_reached"), *[a.merge(n) for n, a in aggs.items()])
         .where(F.col("_reached") == F.col("window_no"))
         .drop("_reached")
     )
