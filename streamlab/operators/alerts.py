@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from streamlab.operators import durations as d
 from streamlab.operators.history import (
+    HOT_ROWS,
     History,
     Scan,
     following,
@@ -53,21 +54,28 @@ def _anchor_windows(rows: DataFrame, keys: Sequence[str], ts: str, length: timed
         return F.unix_micros(F.col(c).cast("timestamp"))
 
     # one key for the chain, in which NULL keys are equal in joins too
-    merged = (
+    merged = checkpointed(
         rows.groupBy(F.struct(*group).alias("_c"), as_us(ts).alias("_us"))
         .agg(F.count("*").alias("_n"), F.max(as_us("_stop")).alias("_stop_us"))
     )
     chain = merged.groupBy("_c").agg(
-        F.min("_us").alias("first_us"), F.max("_us").alias("last_us"), F.sum("_n").alias("cnt"), F.max("_stop_us").alias("stop_us"))
+        F.min("_us").alias("first_us"), F.max("_us").alias("last_us"), F.sum("_n").alias("cnt"), F.max("_stop_us").alias("stop_us"),
+        F.count("*").alias("_rows"))
     long = F.col("last_us") - F.col("first_us") > span
-    chain = checkpointed(chain.withColumn("_long", long))
-    found = chain.where("not _long").drop("_long")
-    heads = chain.where("_long").select("_c", F.col("first_us").alias("_us"))
-    if not heads.isEmpty():
-        walked = checkpointed(merged.join(heads.select("_c"), "_c", "left_semi"))
-        anchors = _reached(_window_links(walked, span, hot_rows), heads)
+    # anchors of a chain lie more than a window apart
+    most, hops = chain.where(long).agg(F.max("_rows"), F.max(F.expr(f"(last_us - first_us) div {span + 1}"))).first()
+    found = chain.where(~long).drop("_rows")
+    if most is not None:
+        def history(df: DataFrame, order: list[str]) -> History:
+            if most <= (HOT_ROWS if hot_rows is None else hot_rows):
+                return History(df, ("_c",), tuple(order), split=False)
+            return History.of(df, ["_c"], order, hot_rows)
+
+        heads = chain.where(long).select("_c", F.col("first_us").alias("_us"))
+        walked = merged.join(heads.select("_c"), "_c", "left_semi")
+        anchors = _reached(_window_links(walked, span, history), heads, hops.bit_length())
         marked = walked.join(anchors.withColumn("_anchor", F.col("_us")), ["_c", "_us"], "left")
-        own = scan(marked, ["_c"], ["_us"], {"_anchor": last_so_far(F.col("_anchor"))}, hot_rows)
+        own = history(marked, ["_us"]).scan(_anchor=last_so_far(F.col("_anchor"))).rows
         found = found.unionByName(own.groupBy("_c", F.col("_anchor").alias("first_us")).agg(
             F.max("_us").alias("last_us"), F.sum("_n").alias("cnt"), F.max("_stop_us").alias("stop_us")))
     kind = rows.schema[ts].dataType.simpleString()
@@ -80,26 +88,28 @@ def _anchor_windows(rows: DataFrame, keys: Sequence[str], ts: str, length: timed
     )
 
 
-def _window_links(rows: DataFrame, span: int, hot_rows: int | None) -> DataFrame:
+def _window_links(rows: DataFrame, span: int, history: Callable[[DataFrame, list[str]], History]) -> DataFrame:
     """(_c, _us, _to): the first row of the chain later than ``span`` after each row."""
     # a mark at the end of each row's window, behind rows of the same time, sees the next row as its following one
-    at_row = rows.select("_c", F.col("_us").alias("_at"), F.lit(0).alias("_mark"), "_us")
-    marks = rows.select("_c", (F.col("_us") + span).alias("_at"), F.lit(1).alias("_mark"), "_us")
-    seen = scan(at_row.unionByName(marks), ["_c"], ["_at", "_mark"], {"_to": next_match(F.col("_mark") == 0, F.col("_us"))}, hot_rows)
+    both = rows.select("_c", "_us", F.inline(F.array(
+        F.struct(F.col("_us").alias("_at"), F.lit(0).alias("_mark")), F.struct((F.col("_us") + span).alias("_at"), F.lit(1).alias("_mark")))))
+    seen = history(both, ["_at", "_mark"]).scan(_to=next_match(F.col("_mark") == 0, F.col("_us"))).rows
     return seen.where("_mark = 1 and _to is not null").select("_c", "_us", F.col("_to._us").alias("_to"))
 
 
-def _reached(links: DataFrame, heads: DataFrame) -> DataFrame:
-    """(_c, _us) of all rows that ``links`` reach from ``heads``, these included."""
-    links, reached, new = checkpointed(links), heads, heads
-    while True:
-        new = checkpointed(reached.join(links, ["_c", "_us"]).select("_c", F.col("_to").alias("_us")))
-        if new.isEmpty():
-            return reached
+def _reached(links: DataFrame, heads: DataFrame, rounds: int) -> DataFrame:
+    """(_c, _us) of all rows that ``links`` reach from ``heads``, these included, in fewer than 2^rounds links."""
+    reached = heads
+    if rounds > 1:
+        links = checkpointed(links)
+    for k in range(rounds):
         # rows reached so far are fewer links away than the new ones, so none comes twice
-        reached = reached.unionByName(new)
-        further = links.select("_c", F.col("_us").alias("_to"), F.col("_to").alias("_then"))
-        links = checkpointed(links.join(further, ["_c", "_to"]).select("_c", "_us", F.col("_then").alias("_to")))
+        new = reached.join(links, ["_c", "_us"]).select("_c", F.col("_to").alias("_us"))
+        reached = reached.unionByName(new if rounds == 1 else checkpointed(new))
+        if k + 1 < rounds:
+            further = links.select("_c", F.col("_us").alias("_to"), F.col("_to").alias("_then"))
+            links = checkpointed(links.join(further, ["_c", "_to"]).select("_c", "_us", F.col("_then").alias("_to")))
+    return reached
 
 
 def no_decrease_alarm(
