@@ -238,6 +238,13 @@ def test_language_model_odd(spark, odd):
     assert language_model.score(odd.limit(0), F.lit(True)).count() == 0
 
 
+def test_short_floats():
+    rng = np.random.default_rng(3)
+    values = np.concatenate([np.arange(-256, 257), rng.normal(size=1000) * 10.0 ** rng.integers(-9, 9, 1000)]).astype(np.float32)
+    got = language_model.long_floats(language_model.short_floats(values))
+    assert (got[:513] == values[:513]).all() and np.allclose(got, values, rtol=2**-8, atol=0)
+
+
 def test_class_chances_sum_to_one():
     rng = np.random.default_rng(2)
     model = language_model.Model(rng.normal(size=language_model.CLASSES), rng.normal(size=(language_model.FEATURES, language_model.BUCKETS, language_model.CLASSES)))
