@@ -6,8 +6,8 @@ file counts only if the index names it, so a lost or repeated task attempt does
 found first from digests alone; the table of repeated payloads holds one row per such payload and is joined by whatever
 way its size on disk allows, so a payload that a third of the pages share is split by adaptive execution.
 
-Reading: index rows are selected, dealt by file and stretch of offsets, sorted, and neighbours are fetched with one range
-read, which may also bridge a small gap.
+Reading: index rows are selected, dealt by file and stretch of offsets to as many readers as the bytes they name ask for,
+sorted, and neighbours are fetched with one range read, which may also bridge a small gap.
 
 Defined cases: null html is the empty payload; a null url is written as an empty URI and read back as null. Of equal
 payloads of at least ``min_bytes`` bytes the record with the largest page id is the response; rows that repeat it whole are
@@ -18,6 +18,7 @@ ignored. No pages give an empty index and no archive.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import urllib.parse
 import uuid
@@ -29,16 +30,18 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlab.llm.common import as_text
+from streamlab.llm.common import as_text, slices, task_count
 
 INDEX = "file string, offset bigint, length bigint, page_id bigint, url string, payload_digest string, record_type string"
 RECORD = "page_id bigint, url string, payload binary, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 #: A file is closed when it has reached so many bytes.
 FILE_BYTES = 64 << 20
 #: A range read spans at most so many bytes, unless one record is longer, and bridges gaps up to ``GAP_BYTES``.
-RANGE_BYTES, GAP_BYTES = 8 << 20, 64 << 10
-#: Offsets of one file are dealt to readers in stretches of so many bytes.
-STRETCH_BYTES = 16 << 20
+RANGE_BYTES, GAP_BYTES = 4 << 20, 64 << 10
+#: Offsets of one file are dealt to readers in stretches of so many bytes, and a reader gets about ``READER_BYTES``.
+STRETCH_BYTES, READER_BYTES = 4 << 20, 32 << 20
+#: So many pages are held as Python values at once.
+WRITE_ROWS = 256
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -109,7 +112,7 @@ def _writer(folder: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         storage, base = open_storage(folder)
         out, name, at = None, "", 0
-        for batch in batches:
+        for batch in slices(batches, WRITE_ROWS):
             rows = []
             for row in batch.to_pylist():
                 if out is None:
@@ -195,6 +198,10 @@ def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_records(index: DataFrame) -> DataFrame:
     """The records that ``index`` (any selection of its rows) names."""
+    spans = index.select("file", "offset", "length")
+    # index rows are tiny beside what they name, so the number of readers goes by the bytes named, not by the rows' own size
+    named = spans.agg(F.sum("length")).first()[0] or 0
+    readers = max(task_count(index.sparkSession), math.ceil(named / READER_BYTES))
     stretch = F.floor(F.col("offset") / STRETCH_BYTES)
-    spans = index.select("file", "offset", "length").repartition("file", stretch).sortWithinPartitions("file", "offset")
+    spans = spans.repartition(readers, "file", stretch).sortWithinPartitions("file", "offset")
     return spans.mapInArrow(_reader, RECORD)
