@@ -10,7 +10,8 @@ inner product of the original vectors in double precision. r is the distance wit
 of sample queries lie; it widens in a block until ``k`` candidates or the whole block are found.
 
 The queries meet all blocks of the index, chunk by chunk; each meeting returns at most k rows per query, which one grouping
-by query merges.
+by query merges. Every vector is sent once per ``chunk`` queries and every query once per block, so what is shuffled is the number
+of vectors times that of queries, divided by the sizes of chunks and blocks: a scan in blocks.
 
 Defined cases: vectors that are null, all zero, hold null or non-finite components, or do not have the most frequent number of
 components (ties: the smaller) take no part. Of rows with one id the smallest vector in array order counts. A null id takes
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamlab.llm.common import checkpointed, task_count
+from streamlab.llm.common import checkpointed
 
 RESULT = "query_id bigint, vec_id bigint, score double"
 
@@ -43,7 +44,13 @@ class Settings:
     cover: float = 0.98
     block: int = 65536
     least_block: int = 8192
-    chunk: int = 1024
+    blocks: int = 64
+    chunk: int = 16384
+
+    def block_count(self, n: int) -> int:
+        """Blocks for ``n`` vectors: ``blocks`` while these hold ``least_block`` to ``block`` vectors each. No session
+        setting counts here, as the approximate answer depends on it."""
+        return max(math.ceil(n / self.block), min(self.blocks, math.ceil(n / self.least_block)))
 
 
 def usable(vector: Column) -> Column:
@@ -197,7 +204,7 @@ def search(vectors: DataFrame, queries: DataFrame, settings: Settings = Settings
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     sample = vectors.orderBy(F.xxhash64("id"), "id").limit(settings.sample).toPandas()["v"]
     coder = learn(np.stack([np.asarray(v, dtype=float) for v in sample]), largest, settings)
-    blocks = max(math.ceil(n / settings.block), min(2 * task_count(spark), math.ceil(n / settings.least_block)))
+    blocks = settings.block_count(n)
     chunks = math.ceil(n_queries / settings.chunk)
     deal = lambda parts: F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))

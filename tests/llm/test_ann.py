@@ -1,6 +1,7 @@
 """Approximate neighbours against brute force."""
 
 import numpy as np
+import pyarrow as pa
 
 from streamlab.llm import ann
 from streamlab.llm.queries import QUERIES
@@ -82,3 +83,15 @@ def test_recall_of_the_registered_query(spark):
     ids = sorted(data)
     want = brute(ids, np.stack([data[i] for i in ids]), [i for i in ids if i % 20 == 0], 20)
     assert recall(collected(QUERIES["op5_ann"](spark, folder)), want) >= 0.95
+
+
+def test_recall_on_several_blocks(spark):
+    settings = ann.Settings()
+    assert [settings.block_count(n) for n in (1, 8192, 8193, 524_288, 4_194_304, 4_194_305)] == [1, 1, 2, 64, 64, 65]
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(34_000, 32))
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(len(x)), "embedding": x.tolist()}))
+    vectors = ann.valid_vectors(df, "vec_id", "embedding")
+    assert settings.block_count(len(x)) == 5
+    got = collected(ann.search(vectors, vectors.where("id % 400 = 0")))
+    assert recall(got, brute(range(len(x)), x, range(0, len(x), 400), 20)) >= 0.95
