@@ -10,9 +10,10 @@ whole is linear in the word's subsequences it folds into one weight per bucket,
 Training: labels are known for documents. All words of a clean document's sentences are clean; a toxic document has at least one
 sentence with an insult, and its best word stands for it (the machine chooses it anew in each round). The first choice
 goes by how surely a word, or the beginning it shares with others, tells toxic from clean documents. Landmarks are such words
-and the clean words nearest to them. A document's value is that of its best word, turned into a chance by a logistic curve that
-is fitted to the training documents with their true shares. The training sample is bounded: ``SAMPLE`` documents of each class
-of at most ``SAMPLE_CHARS`` characters, the first by hash of the id; everything is scored, whole.
+and the clean words nearest to them. A document's values are those of its best word and of its second best, repeats included: one word
+like an insult may be chance, two are not. A logistic curve of both, fitted to the training documents with their true shares, gives
+the chance. The training sample is bounded: ``SAMPLE`` documents of each class, the first by hash of the id, if of at most
+``SAMPLE_CHARS`` characters, and of several rows with one id the smallest text; everything is scored, whole.
 
 Defined cases: a null text counts as the empty text; a text without words gets the score of its class of value, the smallest
 one. Labels that are null or not 0 or 1 are ignored; repeated label rows count once. Without a sample of both classes
@@ -41,7 +42,7 @@ DECAY, SPAN, BUCKETS = 0.6, 6, 1 << 20
 #: Longest stretch of a word that is compared at once; longer words are compared in overlapping stretches.
 LONGEST = 24
 KEPT_WORDS = 400_000
-#: z value from which a word counts as telling.
+#: Signed root of the likelihood ratio from which a word counts as telling.
 SURE = 4.0
 
 _OFFSETS = [(a, b, c) for a, b, c in combinations(range(1, SPAN), 3)]
@@ -137,15 +138,17 @@ def sparse_features(words: list[str]) -> list[dict[int, float]]:
 
 @dataclass(frozen=True)
 class Machine:
-    """Bucket weights, the value of no word, and the logistic curve (slope, shift)."""
+    """Bucket weights, the value of no word, and the logistic curve of a document's best two words (slopes, shift)."""
 
     table: np.ndarray
     bias: float
     slope: float
+    second_slope: float
     shift: float
 
-    def chance(self, values: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * values + self.shift, -700, 700)))
+    def chance(self, best: np.ndarray) -> np.ndarray:
+        """From rows of ``Scorer.best``."""
+        return 1 / (1 + np.exp(-np.clip(best @ [self.slope, self.second_slope] + self.shift, -700, 700)))
 
 
 def train_linear(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: float = 1e-3) -> np.ndarray:
@@ -166,6 +169,11 @@ def train_linear(x: np.ndarray, y: np.ndarray, weight: np.ndarray, penalty: floa
     return w
 
 
+def _gain(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """seen * log(seen / expected), 0 where nothing was seen."""
+    return seen * np.log(np.where(seen > 0, seen, 1) / np.where(seen > 0, expected, 1))
+
+
 class Trainer:
     """Trains on (toxic 0 or 1, text) pairs; ``share`` is the true share of toxic documents."""
 
@@ -173,6 +181,7 @@ class Trainer:
 
     def __init__(self, labels: list[int], texts: list[str], share: float):
         self.y = np.array(labels)
+        self.texts = texts
         self.share = share
         self.numbers: dict[str, int] = {}
         self.docs = []
@@ -182,7 +191,8 @@ class Trainer:
         self.words = list(self.numbers)
 
     def sureness(self) -> np.ndarray:
-        """Per word, how surely it or a beginning of at least five letters tells toxic from clean documents (a z value)."""
+        """Per word, how surely it or a beginning of at least five letters tells toxic from clean documents: the root of the
+        likelihood ratio, negative where clean documents have it more often. Fewer clean hits always make it larger."""
         n_toxic, n_clean = (self.y == 1).sum(), (self.y == 0).sum()
         beginnings: dict[str, int] = {}
         of_word = []
@@ -192,12 +202,13 @@ class Trainer:
         seen = np.zeros((2, len(beginnings)))
         for label, own in zip(self.y, self.docs, strict=True):
             seen[label, list({b for i in own for b in of_word[i]})] += 1
-        odds = np.log((seen[1] + 0.5) / (n_toxic + 1)) - np.log((seen[0] + 0.5) / (n_clean + 1))
-        z = odds / np.sqrt(1 / (seen[1] + 0.5) + 1 / (seen[0] + 0.5))
+        common = seen.sum(axis=0) / (n_toxic + n_clean)
+        ratio = sum(_gain(hits, n * common) + _gain(n - hits, n * (1 - common)) for hits, n in zip(seen, (n_clean, n_toxic), strict=True))
+        z = np.sign(seen[1] * n_clean - seen[0] * n_toxic) * np.sqrt(np.maximum(2 * ratio, 0))
         return np.array([max(z[b] for b in own) for own in of_word])
 
     def train(self) -> Machine:
-        prior = Machine(np.zeros(BUCKETS + 1, dtype=np.float32), 0.0, 0.0, float(np.log((self.share + 1e-9) / (1 - self.share + 1e-9))))
+        prior = Machine(np.zeros(BUCKETS + 1, dtype=np.float32), 0.0, 0.0, 0.0, float(np.log((self.share + 1e-9) / (1 - self.share + 1e-9))))
         if len(set(self.y.tolist())) < 2 or not self.words:
             return prior
         toxic = [own for label, own in zip(self.y, self.docs, strict=True) if label == 1 and len(own)]
@@ -247,7 +258,6 @@ class Trainer:
         rng = np.random.default_rng(3)
         negatives = sorted(set(hard) | set(rng.choice(clean, min(len(clean), self.NEGATIVES // 2), replace=False).tolist()))
         chosen = list(witness.elements())
-        machine = prior
         for _ in range(self.ROUNDS):
             positives = sorted(Counter(chosen).items())
             x = mapped([i for i, _ in positives] + negatives)
@@ -260,37 +270,50 @@ class Trainer:
             table = np.zeros(BUCKETS + 1, dtype=np.float32)
             table[used] = dense[:-1] @ (whiten @ w[:-1])
             value = weigh(self.words, table) + w[-1]
-            value_of = [value[own].max() if len(own) else w[-1] for own in self.docs]
-            machine = self._curve(table, float(w[-1]), np.array(value_of))
             best = [int(own[value[own].argmax()]) for own in toxic]
             chosen = [i for i in best if value[i] > -0.5] + list(witness.elements())
             worst = clean[np.argsort(-value[clean], kind="stable")][:self.NEGATIVES // 4]
             negatives = sorted(set(negatives) | {int(i) for i in worst})
-        return machine
+        return self._curve(table, float(w[-1]))
 
-    def _curve(self, table: np.ndarray, bias: float, values: np.ndarray) -> Machine:
+    def _curve(self, table: np.ndarray, bias: float) -> Machine:
         """Logistic curve by Newton steps, the classes weighted to their true shares."""
+        scorer = Scorer(Machine(table, bias, 0.0, 0.0, 0.0))
+        best = np.concatenate([scorer.best(self.texts[i:i + 512]) for i in range(0, len(self.texts), 512)])
         y = self.y.astype(float)
         weight = np.where(y == 1, self.share / max(y.sum(), 1), (1 - self.share) / max((1 - y).sum(), 1))
-        x = np.column_stack([values, np.ones(len(values))])
-        w = np.array([1.0, 0.0])
-        for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-            gradient = x.T @ (weight * (p - y)) + 1e-4 * np.array([w[0], 0.0])
-            hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(2)
-            step = np.linalg.solve(hessian, gradient)
-            w = w - np.clip(step, -2, 2)
-        return Machine(table, bias, float(w[0]), float(w[1]))
+        x = np.column_stack([best, np.ones(len(best))])
+        w, used = np.zeros(3), [0, 1, 2]
+        while True:
+            held = 1e-4 * np.array([1.0, 1.0, 1e-2])[used]
+            own, part = x[:, used], np.array([1.0, 0.0, 0.0])[used]
+            for _ in range(50):
+                p = 1 / (1 + np.exp(-np.clip(own @ part, -30, 30)))
+                gradient = own.T @ (weight * (p - y)) + held * part
+                hessian = (own * (weight * p * (1 - p))[:, None]).T @ own + np.diag(held)
+                part = part - np.clip(np.linalg.solve(hessian, gradient), -2, 2)
+            # a more telling word never lowers a score: a falling slope is left out
+            falling = [i for i, v in zip(used, part, strict=True) if i < 2 and v < 0]
+            if not falling:
+                break
+            used = [i for i in used if i != falling[0]]
+        w[used] = part
+        return Machine(table, bias, *map(float, w))
 
 
 class Scorer:
-    """Values of texts; words already weighed are kept."""
+    """Values of the best words of texts; words already weighed are kept."""
 
     def __init__(self, machine: Machine):
         self.machine = machine
         self.kept: dict[str, float] = {}
 
     def values(self, texts: list[str]) -> np.ndarray:
+        """The value of each text's best word."""
+        return self.best(texts)[:, 0]
+
+    def best(self, texts: list[str]) -> np.ndarray:
+        """The values of each text's best and second-best word, repeats included; without such a word that of no word."""
         if len(self.kept) > KEPT_WORDS:
             self.kept.clear()
         found = [tokens(t) for t in texts]
@@ -309,7 +332,13 @@ class Scorer:
             best[sizes == 0] = 0.0
         self.kept.update(zip(new, (best + bias).tolist(), strict=True))
         known = self.kept.__getitem__
-        return np.array([max(map(known, own), default=bias) for own in found])
+        out = np.full((len(texts), 2), bias)
+        for row, own in zip(out, found, strict=True):
+            value = np.fromiter(map(known, own), dtype=float, count=len(own))
+            if len(own) > 2:
+                value = np.partition(value, -2)[-2:]
+            row[:len(value)] = np.sort(value)[::-1]
+        return out
 
 
 def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Machine:
@@ -322,9 +351,9 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     sample = F.broadcast(first[0].unionByName(first[1]).withColumnRenamed("id", "sample_id"))
     rows = df.select(F.col(id_col).cast("bigint").alias("doc"), as_text(text_col).alias("text"))
     rows = rows.join(sample, F.col("doc") == F.col("sample_id")).where(F.length("text") <= SAMPLE_CHARS)
-    found = rows.select("label", "text").distinct().limit(4 * SAMPLE).collect()
-    found.sort(key=lambda r: (r.label, r.text))
-    return Trainer([r.label for r in found], [r.text for r in found], share).train()
+    # one text an id and label, so at most 2 * SAMPLE rows
+    found = sorted({(r.label, r.text) for r in rows.groupBy("label", "doc").agg(F.min("text").alias("text")).collect()})
+    return Trainer([label for label, _ in found], [text for _, text in found], share).train()
 
 
 def score(df: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -333,7 +362,7 @@ def score(df: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str
         scorer = Scorer(machine)
         gc.disable()  # the kept words are many and hold no cycles
         for batch in slices(batches):
-            values = scorer.values(batch["text"].to_pylist())
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(values), pa.array(machine.chance(values))], ["id", "value", "score"])
+            best = scorer.best(batch["text"].to_pylist())
+            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(best[:, 0]), pa.array(machine.chance(best))], ["id", "value", "score"])
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), as_text(text_col).alias("text"))
     return rows.mapInArrow(run, "id bigint, value double, score double")

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from streamlab.llm import exact_dedup, language_model, mixing, quality, toxicity, warc
-from streamlab.llm.common import fresh_folder
-from streamlab.llm.queries import PIECE_MODEL
+from streamlab.llm.common import fresh_folder, task_count
+from streamlab.llm.queries import PIECE_MODEL, QUERIES
 from tests.llm.test_simhash import brute_components, brute_print
 
 LONG = "word " * 50_000
@@ -149,6 +149,7 @@ def test_warc(spark):
         assert (r.url, r.payload_bytes, r.payload_digest) == (url, len(data), hashlib.sha1(data).hexdigest())
         assert r.record_type == "revisit" or bytes(r.payload) == data
     assert {i: r.refers_to for i, r in by_id.items() if r.record_type == "revisit"} == {1: 7, 2: 7, None: 7}
+    assert warc.read_records(index).rdd.getNumPartitions() >= task_count(spark)
     some = warc.read_records(index.where("page_id in (3, 6)")).collect()
     assert sorted(r.page_id for r in some) == [3, 6]
     assert warc.read_records(warc.write_archive(df.limit(0), fresh_folder(spark, "warc"))).count() == 0
@@ -203,6 +204,31 @@ def test_toxicity(spark, odd):
     assert toxicity.score(odd.limit(0), machine).count() == 0
 
 
+def test_toxicity_of_the_table(spark):
+    """Held-out precision and recall; in some languages clean texts hold one of the words that toxic ones hold several of."""
+    rows = QUERIES["op4_toxicity"](spark, "/root/testdata/sf0.1").where("held_out").select("doc_id", "predicted").collect()
+    toxic = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()}
+    y, found = np.array([toxic[r.doc_id] for r in rows if r.doc_id in toxic]), np.array([r.predicted for r in rows if r.doc_id in toxic])
+    hits = (y * found).sum()
+    assert hits / found.sum() > 0.9 and hits / y.sum() > 0.85
+
+
+def test_sureness_rises_with_fewer_clean_hits():
+    """Against the likelihood ratio of the four counts written out."""
+    labels, texts = [1] * 40 + [0] * 400, []
+    for i in range(440):
+        own = [w for w, toxic, clean in (("aaaa", 14, 0), ("bbbb", 14, 2), ("cccc", 2, 300)) if (i < toxic if i < 40 else i - 40 < clean)]
+        texts.append(" ".join(own))
+    trainer = toxicity.Trainer(labels, texts, 0.1)
+    z = dict(zip(trainer.words, trainer.sureness(), strict=True))
+    for w, toxic, clean in (("^aaaa", 14, 0), ("^bbbb", 14, 2), ("^cccc", 2, 300)):
+        all_ = (toxic + clean) / 440
+        cells = [(toxic, 40 * all_), (clean, 400 * all_), (40 - toxic, 40 * (1 - all_)), (400 - clean, 400 * (1 - all_))]
+        want = (2 * sum(k * np.log(k / e) for k, e in cells if k)) ** 0.5
+        assert abs(z[w] - (want if toxic / 40 > clean / 400 else -want)) < 1e-9
+    assert z["^aaaa"] > z["^bbbb"] > toxicity.SURE > 0 > z["^cccc"]
+
+
 def test_kernel_folds_into_weights():
     """The value of a word is the sum of its explicit features' weights."""
     rng = np.random.default_rng(1)
