@@ -179,6 +179,31 @@ def test_quality(spark, odd):
     assert quality.keep_good(odd, labels.limit(0), 0.3).count() == len(ODD)
 
 
+def test_quality_scores_by_hand(spark):
+    """Every score of the registered query against the discriminant written out with covariances, inverses and determinants."""
+    folder = "/root/testdata/sf0.01"
+    got = {r.doc_id: r.score for r in QUERIES["op1_quality"](spark, folder).collect()}
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    x = {r.doc_id: np.array(quality.statistics(r.text or "")) for r in docs}
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    learned = [(x[i], y) for i, y in labels.items() if i in x and y in (0, 1) and zlib.crc32(str(i).encode()) % 5 != 0]
+    rows = [np.stack([v for v, y in learned if y == c]) for c in (0, 1)]
+    within = [np.cov(r.T, bias=True) for r in rows]
+    pooled = sum(len(r) * w for r, w in zip(rows, within, strict=True)) / len(learned)
+    pooled = 0.95 * pooled + 0.05 * np.diag(np.diag(pooled)) + 1e-4 * np.eye(quality.FEATURES)
+    logs = {i: [] for i in x}
+    for r, w in zip(rows, within, strict=True):
+        lean = max(0.02, quality.FEATURES / (quality.FEATURES + len(r)))
+        shape = (1 - lean) * w + lean * pooled
+        inverse, log_det = np.linalg.inv(shape), np.linalg.slogdet(shape)[1]
+        for i, v in x.items():
+            away = v - r.mean(axis=0)
+            logs[i].append(0.5 * -0.5 * (away @ inverse @ away + log_det) + np.log(len(r) / len(learned)))
+    assert got.keys() == x.keys()
+    for i, (bad, good) in logs.items():
+        assert abs(got[i] - 1 / (1 + np.exp(np.clip(bad - good, -700, 700)))) < 1e-6
+
+
 def test_toxicity(spark, odd):
     rng = random.Random(5)
     words = ["".join(rng.choices("aeiourstlnmdp", k=rng.randint(3, 9))) for _ in range(3000)]
