@@ -4,8 +4,9 @@ A ``Machine`` sees the rows of one key in order and may ask to be called at a de
 rows in state until the watermark has passed them, so the result does not depend on the order of arrival within the
 watermark delay and equals the batch form in ``streamlab.operators``.
 
-Waiting rows lie in a map by time slot. A timer reads the slots that the watermark has passed, each once, and drops them; only
-the slot in which the watermark stands is written back. So the work of a key grows with its rows, not with rows times timers.
+Waiting rows lie in a map by time slot; neighbouring slots with few rows share an entry, as each entry costs calls to the state
+store. A timer reads the entries that the watermark has passed, each once, and drops them; only those in which the watermark stands
+are written back. So the work of a key grows with its rows, not with rows times timers.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from streamlab.streaming.map_state import MapView
 
 _US = "_us"
 SLOT = timedelta(hours=1)
+#: Rows up to which neighbouring slots share an entry.
+SHARED_ROWS = 256
 
 
 class Machine:
@@ -67,36 +70,48 @@ class _InOrder(StatefulProcessor):
         self.machine.maps = {n: MapView(handle.getMapState(n, k, v)) for n, (k, v) in self.machine.map_schemas.items()}
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        us = self.row_schema.names.index(_US)
+        new = [tuple(row[c] for c in self.row_schema.names) for row in rows]
+        self._put(new, us)
+        self._wake_at(min(r[us] for r in new))
+        return iter(())
+
+    def _put(self, rows: list[tuple], us: int) -> None:
+        """Into the map, by the first slot of each entry."""
         slots: dict[int, list[tuple]] = {}
+        for r in rows:
+            slots.setdefault(r[us] // self.slot, []).append(r)
+        entries: dict[int, list[tuple]] = {}
         first = None
-        for row in rows:
-            at = row[_US]
-            slots.setdefault(at // self.slot, []).append(tuple(row[c] for c in self.row_schema.names))
-            first = at if first is None else min(first, at)
-        for slot, new in slots.items():
-            self.waiting.updateValue((slot,), ([*self._in(slot), *new],))
-        self._wake_at(first)
-        return iter(())
+        for slot in sorted(slots):
+            if first is None or len(entries[first]) + len(slots[slot]) > SHARED_ROWS:
+                first, entries[slot] = slot, []
+            entries[first] += slots[slot]
+        for slot, own in entries.items():
+            self.waiting.updateValue((slot,), ([*self._in(slot), *own],))
 
     def _in(self, slot: int) -> list[tuple]:
         stored = self.waiting.getValue((slot,))
         return [] if stored is None else [tuple(r) for r in stored[0]]
 
     def _due(self, until: int) -> tuple[list[Row], int | None]:
-        """Rows up to ``until`` in order, taken out of state, and the time of the first that stays."""
-        due: list[Row] = []
-        slots = sorted(k[0] for k in list(self.waiting.keys()))
-        for slot in slots:
+        """Rows up to ``until`` in order, taken out of state, and the time of the first that stays, or of its slot."""
+        us = self.row_schema.names.index(_US)
+        rows: list[tuple] = []
+        beyond = None
+        for slot in sorted(k[0] for k in list(self.waiting.keys())):
             if slot * self.slot > until:
-                return due, slot * self.slot
-            rows = [self.row(*r) for r in self._in(slot)]
-            due += sorted((r for r in rows if r[_US] <= until), key=lambda r: tuple(r[c] for c in [_US, *self.order]))
-            later = [tuple(r) for r in rows if r[_US] > until]
-            if later:
-                self.waiting.updateValue((slot,), (later,))
-                return due, min(r[self.row_schema.names.index(_US)] for r in later)
+                beyond = slot * self.slot
+                break
+            rows += self._in(slot)
             self.waiting.removeKey((slot,))
-        return due, None
+        due = [self.row(*r) for r in rows if r[us] <= until]
+        later = [r for r in rows if r[us] > until]
+        if later:
+            self._put(later, us)
+            first = min(r[us] for r in later)
+            beyond = first if beyond is None else min(first, beyond)
+        return sorted(due, key=lambda r: tuple(r[c] for c in [_US, *self.order])), beyond
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.timer.clear()

@@ -1,8 +1,9 @@
 """Map-state machines, process functions, late rows and rankings on streams that arrive in pieces and out of order."""
 
 import random
+import tempfile
 from collections import Counter
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 import pandas as pd
 import pytest
@@ -15,7 +16,8 @@ from streamlab.operators import alerts as batch_alerts
 from streamlab.operators import late as batch_late
 from streamlab.operators import patterns
 from streamlab.streaming import alerts, late, topn
-from streamlab.streaming.event_time import run_machine
+from streamlab.streaming.event_time import _InOrder, run_machine
+from streamlab.streaming.map_state import MapView
 from streamlab.streaming.patterns import match_stream
 from streamlab.streaming.process import ProcessFunction, output_of, process
 
@@ -155,3 +157,70 @@ def test_process_function(spark):
     same(output_of(done, ["k"], "odd"), [(k, i, n) for k, i in ((1, 1), (2, 3), (2, 5)) for n in range(3)])
     same(output_of(done, ["k"], "bye").select("k", ms, "rows", "marked"), [
         (1, 249_000, 3, True), (1, 501_000, 1, True), (2, 160_000, 1, True), (2, 500_000, 1, True)])
+
+
+class _Store:
+    """A map, list of calls, in place of the state store's."""
+
+    def __init__(self):
+        self.held, self.calls = {}, []
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.calls.append(name)
+            key = tuple(args[0]) if args else None
+            if name == "updateValue":
+                self.held[key] = args[1]
+            return {"getValue": lambda: self.held.get(key), "removeKey": lambda: self.held.pop(key, None), "keys": lambda: iter(list(self.held)),
+                    "iterator": lambda: iter(list(self.held.items())), "containsKey": lambda: key in self.held}.get(name, lambda: None)()
+        return call
+
+
+def test_sparse_slots_share_entries():
+    """100 rows in 100 slots: a few calls of the state store, not some for every row; a slot in part due stays in part."""
+    row_schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("_us", T.LongType())])
+    machine = _InOrder(alerts.Jump("id", 1.0), ["id"], row_schema, ["at_us"], timedelta(hours=1))
+    machine.waiting = _Store()
+    hour = 3_600_000_000
+    machine._put([(i, i * hour + 5) for i in reversed(range(100))], 1)
+    due, later = machine._due(40 * hour + 5)
+    assert [r.id for r in due] == list(range(41)) and later == 41 * hour + 5
+    assert len(machine.waiting.calls) <= 8
+    machine._put([(200, 3 * hour)], 1)
+    due, later = machine._due(1000 * hour)
+    assert [r.id for r in due] == [200, *range(41, 100)] and later is None and not machine.waiting.held
+
+
+def test_map_view_reads_single_entries():
+    store = _Store()
+    store.held = {(i,): (i,) for i in range(50)}
+    view = MapView(store)
+    assert view.get((7,)) == (7,)
+    view.remove((7,))
+    view.put((60,), (60,))
+    view.write()
+    assert "iterator" not in store.calls and (7,) not in store.held and store.held[(60,)] == (60,)
+    view.begin()
+    view.put((3,), (33,))
+    assert [view.get((k,)) for k in (1, 2, 4, 3, 60, 99)] == [(1,), (2,), (4,), (33,), (60,), None]
+    assert len(list(view)) == 50
+
+
+def test_split_batches_like_split_late(spark):
+    """Three micro-batches, shards cut into slices: the same rows are late as one by one, and no Python worker holds a shard."""
+    rng = random.Random(3)
+    rows = [(i, i % 3 if i % 7 else None, datetime(2024, 1, 1) + timedelta(seconds=i * 5 - rng.randrange(400))) for i in range(300)]
+    folder = tempfile.mkdtemp(prefix="streamlab-test-")
+    split = late.split_batches(F.col("k") % 2, ["seq"], "ts", F.col("ts"), timedelta(seconds=60), ["seq", "k"], folder, 20)
+    for batch in range(3):
+        df = spark.createDataFrame(rows[batch * 100:batch * 100 + 100], "seq long, k long, ts timestamp")
+        split(df, batch)
+        if batch == 1:
+            split(df, batch)  # a replay
+    got = {(r.seq, side) for side in ("kept", "late") for r in spark.read.parquet(f"{folder}/{side}").collect()}
+    top, want = {}, set()
+    for seq, k, at in rows:
+        shard = None if k is None else k % 2
+        want.add((seq, "late" if shard in top and at <= top[shard] - timedelta(seconds=60) else "kept"))
+        top[shard] = max(at, top.get(shard, at))
+    assert got == want and any(side == "late" for _, side in want)
