@@ -234,10 +234,9 @@ def _arriving(spark, d):
 
 def _split(spark, name, rows, closes, keep):
     """Tables of the kept and of the late rows of a stream."""
-    spark.conf.set(_PROVIDER, DEFAULTS[_PROVIDER])
     folder = _folder(spark, name)
-    split = stream_late.split_late(rows, F.col("user_id") % 8, ["seq", "event_id"], "ts", closes, HOUR, keep)
-    run_to_end(split, f"{folder}/checkpoint", each_batch=stream_late.split_to_tables(f"{folder}/kept", f"{folder}/late"))
+    split = stream_late.split_batches(F.col("user_id") % 8, ["seq", "event_id"], "ts", closes, HOUR, keep, folder)
+    run_to_end(rows, f"{folder}/checkpoint", each_batch=split)
     return [spark.read.parquet(f"{folder}/{side}").drop("batch") for side in ("kept", "late")]
 
 
