@@ -6,12 +6,13 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from streamlab.operators.arrow_runs import Batches, pieces
+from streamlab.operators.arrow_runs import Batches, key_of, starts
 from streamlab.operators.history import (
     KEY,
     PARTS,
@@ -148,10 +149,11 @@ def _unique(names: Sequence[str]) -> list[str]:
     return list(dict.fromkeys(names))
 
 
-def _with_state(rows: pa.RecordBatch, parts: Sequence[str], state: tuple, kinds: pa.Schema) -> pa.RecordBatch:
-    """The slice of the first of ``rows`` with a state."""
-    value = pa.array([dict(zip(kinds.names, state, strict=True))], pa.struct(list(kinds)))
-    return pa.RecordBatch.from_arrays([*[rows[p].slice(0, 1) for p in parts], value], [*parts, _STATE])
+def _with_states(rows: pa.RecordBatch, parts: Sequence[str], places: list[int], states: list[tuple], kinds: pa.Schema) -> pa.RecordBatch:
+    """The slices of the rows at ``places``, each with a state."""
+    values = pa.array([dict(zip(kinds.names, state, strict=True)) for state in states], pa.struct(list(kinds)))
+    found = rows.take(pa.array(places, pa.int64()))
+    return pa.RecordBatch.from_arrays([*[found[p] for p in parts], values], [*parts, _STATE])
 
 
 def _state(rows: pa.RecordBatch, row: int, kinds: pa.Schema) -> tuple:
@@ -167,17 +169,21 @@ def _fold(reducer: Reducer, keys: Sequence[str], columns: Sequence[str], kinds:
     """Rows sorted by key with the running state behind them; a row that carries a state gives none."""
     def run(batches: Batches) -> Batches:
         current, state = None, None
-        for key, rows in pieces(batches, keys):
-            if key != current:
-                current, state = key, None
-            if carried and rows[_CARRIES][0].as_py():
-                state = _state(rows, 0, kinds)
-                rows = rows.slice(1)
-            found = []
-            for row in _rows(rows, reducer.columns):
-                state = reducer.add(state, row)
-                found.append(state)
+        for batch in batches:  # slices may be small, so a batch goes out as one
+            at, values, found = starts(batch, keys).tolist(), list(_rows(batch, reducer.columns)), []
+            carries = batch[_CARRIES].to_pylist() if carried else []
+            for a, b in zip(at[:-1], at[1:], strict=True):
+                key = key_of(batch, a, keys)
+                if key != current:
+                    current, state = key, None
+                if carried and carries[a]:
+                    state = _state(batch, a, kinds)
+                    a += 1
+                for row in values[a:b]:
+                    state = reducer.add(state, row)
+                    found.append(state)
             if found:
+                rows = batch.filter(pc.invert(batch[_CARRIES])) if carried else batch
                 added = [pa.array(list(v), f.type) for v, f in zip(zip(*found, strict=True), kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*[rows[c] for c in columns], *added], [*columns, *kinds.names])
     return run
@@ -185,16 +191,27 @@ def _fold(reducer: Reducer, keys: Sequence[str], columns: Sequence[str], kinds:
 
 def _sum_slices(reducer: Reducer, parts: Sequence[str], kinds: pa.Schema):
     def run(batches: Batches) -> Batches:
-        current, state, head = None, None, None
-        for key, rows in pieces(batches, parts):
-            if key != current:
-                if head is not None:
-                    yield _with_state(head, parts, state, kinds)
-                current, state, head = key, None, rows.slice(0, 1)
-            for row in _rows(rows, reducer.columns):
-                state = reducer.add(state, row)
+        current, state, head = None, None, None  # the slice that may go on in the next batch
+        for batch in batches:
+            at, values, places, states = starts(batch, parts).tolist(), list(_rows(batch, reducer.columns)), [], []
+            place = None
+            for a, b in zip(at[:-1], at[1:], strict=True):
+                key = key_of(batch, a, parts)
+                if key != current:
+                    if place is not None:
+                        places.append(place)
+                        states.append(state)
+                    elif head is not None:
+                        yield _with_states(head, parts, [0], [state], kinds)
+                    current, state, place, head = key, None, a, None
+                for row in values[a:b]:
+                    state = reducer.add(state, row)
+            if places:
+                yield _with_states(batch, parts, places, states, kinds)
+            if place is not None:
+                head = batch.slice(place, 1)
         if head is not None:
-            yield _with_state(head, parts, state, kinds)
+            yield _with_states(head, parts, [0], [state], kinds)
     return run
 
 
@@ -202,12 +219,18 @@ def _carry(reducer: Reducer, keys: Sequence[str], parts: Sequence[str], kinds: p
     """Per slice, what all earlier slices of the key come to; the first has none."""
     def run(batches: Batches) -> Batches:
         current, before = None, None
-        for key, rows in pieces(batches, keys):
-            if key != current:
-                current, before = key, None
-            for i in range(rows.num_rows):
-                own = _state(rows, i, kinds)
-                if before is not None:
-                    yield _with_state(rows.slice(i, 1), parts, before, kinds)
-                before = own if before is None else reducer.merge(before, own)
+        for batch in batches:
+            at, places, states = starts(batch, keys).tolist(), [], []
+            for a, b in zip(at[:-1], at[1:], strict=True):
+                key = key_of(batch, a, keys)
+                if key != current:
+                    current, before = key, None
+                for i in range(a, b):
+                    own = _state(batch, i, kinds)
+                    if before is not None:
+                        places.append(i)
+                        states.append(before)
+                    before = own if before is None else reducer.merge(before, own)
+            if places:
+                yield _with_states(batch, parts, places, states, kinds)
     return run

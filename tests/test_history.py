@@ -2,6 +2,7 @@
 
 from datetime import timedelta
 
+import pyarrow as pa
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -139,3 +140,20 @@ def test_chained_scans_shuffle_whole_rows_once(events):
     assert plan.count("Exchange hashpartitioning(user_id") and "Python" not in plan
     wide = [line for line in plan.split("\n") if "FileScan" in line and "props" in line]
     assert len(wide) == 1
+
+
+def test_reduce_of_small_slices_in_whole_batches():
+    """A batch with many small slices goes out as one batch, and a slice over two batches has one state."""
+    kinds = pa.schema([("n", pa.int64())])
+    count = rolling.Reducer(("v",), "n bigint", lambda s, row: ((s[0] if s else 0) + row[0],), lambda a, b: (a[0] + b[0],))
+    batches = [pa.record_batch({"k": [i // 4 if i < 12 else None for i in part], "v": [1] * len(part)}) for part in (range(6), range(6, 15))]
+    sums = list(rolling._sum_slices(count, ["k"], kinds)(iter(batches)))
+    assert [(r["k"], r["_state"]["n"]) for b in sums for r in b.to_pylist()] == [(0, 4), (1, 4), (2, 4), (None, 3)]
+    carried = pa.record_batch({
+        "k": [1, 1, 2, 2], "v": [None, 5, None, 6], "_carries": [True, False, True, False],
+        "_state": pa.array([{"n": 10}, None, {"n": 20}, None], pa.struct([("n", pa.int64())]))})
+    out = list(rolling._fold(count, ["k"], ["k", "v"], kinds, True)(iter([carried])))
+    assert [b.to_pylist() for b in out] == [[{"k": 1, "v": 5, "n": 15}, {"k": 2, "v": 6, "n": 26}]]
+    sums = pa.record_batch({"g": [1, 1, 1, 2], "p": [0, 1, 2, 0], "_state": [{"n": 1}, {"n": 2}, {"n": 3}, {"n": 4}]})
+    carries = list(rolling._carry(count, ["g"], ["g", "p"], kinds)(iter([sums])))
+    assert [b.to_pylist() for b in carries] == [[{"g": 1, "p": 1, "_state": {"n": 1}}, {"g": 1, "p": 2, "_state": {"n": 3}}]]
