@@ -325,6 +325,36 @@ def test_class_chances_sum_to_one():
     assert np.allclose(chances.sum(axis=1), 1)
 
 
+def test_word_factor_sees_the_history(spark):
+    """Two words of one class, equally frequent, each behind a word of its own: only a word factor with features tells them apart."""
+    assert language_model.word_class(b"ark") == language_model.word_class(b"park")
+    texts = ["red ark", "blue park"] * 300 + ["red ark", "red park", "blue ark", "blue park"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.id: r for r in language_model.score(docs, F.col("doc_id") < 600).where("id >= 600").collect()}
+    assert math.isclose(got[600].base_score, got[601].base_score) and math.isclose(got[602].base_score, got[603].base_score)
+    assert got[600].score > got[601].score + 0.2 and got[603].score > got[602].score + 0.2
+
+
+def test_word_chances_sum_to_one():
+    """Over all leaves of a class, and over the words of each leaf with the one unknown word."""
+    rng = np.random.default_rng(4)
+    mass = rng.integers(1, 9, size=(language_model.CLASSES, 1 << language_model.DEPTH)).astype(float)
+    tree = language_model.Tree(language_model.node_odds(mass), np.zeros((language_model.FEATURES, language_model.SLOTS), dtype=np.float32))
+    hashes = np.arange(1 << language_model.DEPTH, dtype=np.uint32)
+    nodes, sides = language_model.Block([], None, None, None, np.full(len(hashes), 5), hashes).choices()
+    history = np.repeat(rng.integers(0, 1 << 32, size=(language_model.FEATURES, 1), dtype=np.uint32), len(hashes), axis=1)
+    assert np.allclose(np.exp(tree.log_chances(history, nodes, sides)), mass[5] / mass[5].sum(), rtol=1e-4)
+    tree.weights = rng.normal(size=tree.weights.shape).astype(np.float32)
+    chances = np.exp(tree.log_chances(history, nodes, sides))
+    assert np.isclose(chances.sum(), 1, rtol=1e-4) and not np.allclose(chances, mass[5] / mass[5].sum(), rtol=0.1)
+
+
+def test_classes_of_a_block():
+    words = [b"a", b" ", b"ab", b"abc", b"a ", b"\xc3\xa9", b"xing"]
+    data, lengths = np.frombuffer(b"".join(words), dtype=np.uint8), np.array([len(w) for w in words])
+    assert language_model.word_classes(np.cumsum(lengths), data, lengths).tolist() == [language_model.word_class(w) for w in words]
+
+
 def test_pipeline(spark):
     """Each stage, on what its predecessor kept, against a plain version of it."""
     folder = "/root/testdata/sf0.001"
