@@ -1,6 +1,6 @@
 """Routing of rows: flat map, tags, side outputs, connected and united streams, distinct.
 
-Everything here works on batch and streaming DataFrames alike.
+Everything here but ``word_counts`` works on batch and streaming DataFrames alike.
 """
 
 from __future__ import annotations
@@ -19,6 +19,37 @@ def words(df: DataFrame, text: str, pattern: str = " ", keep: Sequence[str] = ()
     return df.select(*keep, F.explode(F.split(text, pattern)).alias("word")).where("word <> ''")
 
 
+def word_counts(df: DataFrame, key: str, text: str, name: str) -> DataFrame:
+    """``word=count;…`` in the order of the words for each key that has any, counted over all its texts.
+
+    A key's only text is counted within its row, so words are neither copied to rows of their own nor shuffled; the
+    texts of keys that come more than once are.
+    """
+    rows = df.select(key, text)
+    repeated = rows.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).where("_n > 1")
+    marked = rows.join(repeated, F.col(key).eqNullSafe(F.col("_key")), "left")
+    single = marked.where(F.col("_n").isNull() & (F.trim(text) != "")).select(key, _counted_within(F.col(text)).alias(name))
+    counts = words(marked.where("_n is not null"), text, keep=[key]).groupBy(key, "word").agg(F.count("*").alias("cnt"))
+    entry = F.array_sort(F.collect_list(F.struct("word", "cnt")))
+    joined = F.array_join(F.transform(entry, lambda e: F.concat(e["word"], F.lit("="), e["cnt"].cast("string"))), ";")
+    return single.unionByName(counts.groupBy(key).agg(joined.alias(name)))
+
+
+def _counted_within(text: Column) -> Column:
+    """The same within one text: its sorted words, cut where they change."""
+    def entries(w: Column) -> Column:
+        ends = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: ~F.get(w, i).eqNullSafe(F.get(w, i + 1)))
+        return _with(ends, lambda at: F.transform(at, lambda e, j: F.concat(
+            F.get(w, e), F.lit("="), (e - F.coalesce(F.get(at, j - 1), F.lit(-1))).cast("string"))))
+
+    return F.array_join(_with(F.sort_array(F.filter(F.split(text, " "), lambda w: w != "")), entries), ";")
+
+
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def tagged(df: DataFrame, rules: dict[str, Column], default: str) -> DataFrame:
     """Add ``tag``: the first rule that holds, else ``default``."""
     column: Column | None = None

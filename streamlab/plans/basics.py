@@ -42,11 +42,7 @@ def distinct_words(spark, d):
       GROUP BY doc_id, word)
     GROUP BY doc_id""")
 def word_dictionary(spark, d):
-    counts = route.words(table(spark, d, "documents"), "text", keep=["doc_id"]).groupBy("doc_id", "word").agg(
-        F.count("*").alias("cnt"))
-    entry = F.array_sort(F.collect_list(F.struct("word", "cnt")))
-    text = F.array_join(F.transform(entry, lambda e: F.concat(e["word"], F.lit("="), e["cnt"].cast("string"))), ";")
-    return counts.groupBy("doc_id").agg(text.alias("dictionary"))
+    return route.word_counts(table(spark, d, "documents"), "doc_id", "text", "dictionary")
 
 
 @query("split_high_low", """

@@ -2,6 +2,7 @@ import os
 import subprocess
 import sys
 import time
+from collections import Counter
 from datetime import timedelta
 from pathlib import Path
 from types import SimpleNamespace
@@ -277,3 +278,19 @@ def test_bad_messages_are_rejects(spark):
     table = spark.createDataFrame([("1,a",), ("x,a",), ("1",), ("1,a,b",), (None,)], "value string")
     parsed = parse.checked_payload(table, "value", "id bigint, name string", "csv")
     assert rows_of(parse.records(parsed)) == [(1, "a")] and parse.rejects(parsed).count() == 4
+
+
+def test_word_counts(spark):
+    """Keys that come once are counted within their row; repeated and NULL keys over all their rows."""
+    rows = [(1, "b a b"), (2, ""), (3, None), (4, "  "), (5, "x  y"), (5, "y z"), (None, "n n"), (None, "m"), (6, "é e É  e é"), (7, "one"), (8, None), (8, "p"),
+            (9, " ".join(str(i % 700) for i in range(20_000)))]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    want = {}
+    for key, text in rows:
+        words = [w for w in (text or "").split(" ") if w]
+        if words:
+            want.setdefault(key, Counter()).update(words)
+    got = route.word_counts(docs, "doc_id", "text", "dictionary")
+    assert {r.doc_id: r.dictionary for r in got.collect()} == {
+        k: ";".join(f"{w}={n}" for w, n in sorted(c.items(), key=lambda x: x[0].encode())) for k, c in want.items()}
+    assert got.count() == len(want)
