@@ -102,22 +102,32 @@ def hop(
     A pane is the greatest common divisor of size and slide, so it lies wholly inside or outside a window and rows are
     shuffled once per pane instead of once per window. Panes are copied with one ``explode``; the expression Spark
     generates for a sliding ``window`` has a branch per copy and does not compile for hundreds of them.
+
+    Panes are dealt out by key and stretch of ``STRETCH`` slides before they are copied, so copies are not shuffled, to as many
+    tasks as keep a task's windows below about ``COPIES``.
     """
     pane = timedelta(microseconds=gcd(d.micros(size), d.micros(slide)))
     partials = [column for n, a in aggs.items() for column in a.partial(n)]
     panes = df.groupBy(*keys, window_of(ts, pane)).agg(*partials).withColumn("_pane", F.col("window.start"))
-    newest = F.col("window.start")
-    oldest = F.col("_newest") - F.lit((-(-d.micros(size) // d.micros(slide)) - 1) * slide)
-    copies = (
+    fan_out, step = -(-d.micros(size) // d.micros(slide)), d.micros(slide)
+    kind = panes.schema["_pane"].dataType.simpleString()
+    length = STRETCH * step
+    panes = (
         panes.withColumn("window", window_of("_pane", slide))
-        .withColumn("_newest", newest)
+        .withColumn("_newest", F.unix_micros(F.col("window.start").cast("timestamp")))
         .drop("window")
-        .withColumn("_oldest", oldest)
-        .withColumn("window_start", F.explode(F.sequence("_oldest", "_newest", F.lit(slide))))
+        .withColumn("_oldest", F.col("_newest") - (fan_out - 1) * step)
+        .withColumn("_stretch", F.explode(F.sequence(_stretch_of("_oldest", length), _stretch_of("_newest", length))))
     )
+    tasks = -(-df.count() * fan_out // COPIES)
+    dealt = panes.repartition(*([tasks] if tasks > 1 else []), *keys, "_stretch")
+    first, last = F.greatest("_oldest", F.col("_stretch") * length), F.least("_newest", (F.col("_stretch") + 1) * length - step)
+    copies = dealt.withColumn("window_start", F.explode(F.sequence(first, last, F.lit(step))))
+    copies = copies.withColumn("window_start", F.timestamp_micros("window_start").cast(kind))
     if d.micros(size) % d.micros(slide):
         copies = copies.where(F.col("window_start") + F.lit(size) > F.col("_pane"))
-    merged = copies.groupBy(*keys, "window_start").agg(*[a.merge(n) for n, a in aggs.items()])
+    # the stretch follows from the start; naming it lets the grouping stay where the panes are
+    merged = copies.groupBy(*keys, "_stretch", "window_start").agg(*[a.merge(n) for n, a in aggs.items()])
     return merged.select(*keys, "window_start", (F.col("window_start") + F.lit(size)).alias("window_end"), *aggs)
 
 
@@ -144,6 +154,12 @@ def hop_count(
 
 #: Slides in a stretch of time that one task counts.
 STRETCH = 1000
+#: Copies of panes that a task of ``hop`` merges, about.
+COPIES = 1_000_000
+
+
+def _stretch_of(at: str, length: int) -> Column:
+    return F.expr(f"(({at}) - pmod({at}, {length})) div {length}")
 
 
 def count_levels(spans: DataFrame, keys: Sequence[str], slide: timedelta, name: str) -> DataFrame:
@@ -158,10 +174,7 @@ def count_levels(spans: DataFrame, keys: Sequence[str], slide: timedelta, name:
     grouped = spans.groupBy(*keys, "_rise", "_fall").agg(F.count("*").alias("_c"))
     cut = grouped.select(*keys, *[F.unix_micros(F.col(c).cast("timestamp")).alias(c) for c in ("_rise", "_fall")], "_c")
 
-    def stretch_of(at: str) -> Column:
-        return F.expr(f"(({at}) - pmod({at}, {length})) div {length}")
-
-    cut = cut.withColumn("_stretch", F.explode(F.sequence(stretch_of("_rise"), stretch_of("_fall - 1"))))
+    cut = cut.withColumn("_stretch", F.explode(F.sequence(_stretch_of("_rise", length), _stretch_of("_fall - 1", length))))
     rise = F.struct(F.greatest("_rise", F.col("_stretch") * length).alias("_at"), F.col("_c").alias("_by"))
     fall = F.struct(F.least("_fall", (F.col("_stretch") + 1) * length).alias("_at"), (-F.col("_c")).alias("_by"))
     changes = cut.select(*keys, "_stretch", F.inline(F.array(rise, fall)))

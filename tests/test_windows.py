@@ -144,3 +144,18 @@ def test_sliding_counts_are_cut_at_stretches(spark, events, monkeypatch):
         for stretch in (1, 3, 12, 100):
             monkeypatch.setattr(windows, "STRETCH", stretch)
             assert rows_of(windows.hop_count(*args)) == plain
+
+
+def test_hop_deals_panes_to_tasks_by_their_copies(spark, monkeypatch):
+    """More copies are merged in more tasks, not in larger ones, and copies are not shuffled."""
+    monkeypatch.setattr(windows, "COPIES", 1000)
+    monkeypatch.setattr(windows, "STRETCH", 5)
+    rng, start = random.Random(8), datetime(2024, 1, 1)
+    rows = [(rng.choice([1, 2, 3, None]), start + timedelta(seconds=rng.randrange(40_000)), rng.randrange(9)) for _ in range(700)] + [(1, None, 4)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, value int")
+    aggs = {"cnt": Agg("count"), "low": Agg("min", F.col("value")), "at": Agg("last", F.col("value"), F.struct("ts", "value"))}
+    for size, slide in ((60, 5), (100, 30)):
+        args = (df, ["k"], "ts", timedelta(minutes=size), timedelta(minutes=slide), aggs)
+        got = windows.hop(*args)
+        assert got.rdd.getNumPartitions() == -(-len(rows) * -(-size // slide) // 1000)
+        assert rows_of(got) == rows_of(windows.hop_plain(*args)) and got.schema["window_start"].dataType == df.schema["ts"].dataType
