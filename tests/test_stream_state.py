@@ -224,3 +224,64 @@ def test_split_batches_like_split_late(spark):
         want.add((seq, "late" if shard in top and at <= top[shard] - timedelta(seconds=60) else "kept"))
         top[shard] = max(at, top.get(shard, at))
     assert got == want and any(side == "late" for _, side in want)
+
+
+class _FakeState:
+    """Value or map state in memory, counting its calls."""
+
+    def __init__(self, calls) -> None:
+        self.calls, self.value, self.entries = calls, None, {}
+
+    def _called(self, result=None):
+        self.calls.append(1)
+        return result
+
+    def get(self):
+        return self._called(self.value)
+
+    def update(self, value):
+        self.value = self._called(value)
+
+    def getValue(self, key):
+        return self._called(self.entries.get(key))
+
+    def updateValue(self, key, value):
+        self.entries[key] = self._called(value)
+
+    def iterator(self):
+        return self._called(list(self.entries.items()))
+
+    def clear(self):
+        self.value = self._called()
+        self.entries.clear()
+
+
+class _FakeHandle:
+    def __init__(self) -> None:
+        self.calls = []
+
+    def getValueState(self, *names):
+        return _FakeState(self.calls)
+
+    getMapState = getValueState
+
+    def registerTimer(self, at):
+        self.calls.append(1)
+
+
+def test_state_calls_of_rankings_do_not_grow_with_items():
+    rng, key, handle, total = random.Random(6), (datetime(2024, 1, 1), 0), _FakeHandle(), Counter()
+    counts = topn._Counts(3)
+    counts.init(handle)
+    for _ in range(4):
+        items = [f"i{rng.randrange(20_000)}" for _ in range(6000)] + ["hot"] * 50
+        before = len(handle.calls)
+        got = [(r["item"], r["cnt"]) for r in counts.handleInputRows(key, iter([{"item": i} for i in items]), None)]
+        total.update(items)
+        assert got == sorted(((i, total[i]) for i in set(items)), key=lambda x: (-x[1], x[0].encode()))[:3]
+        assert len(handle.calls) - before < 100
+    stored = {i: n for _, entry in counts.counts.iterator() for i, n in zip(*entry, strict=True)}
+    assert stored == total and counts.held.get()[0] == len(total) and counts.held.get()[1] > 1
+    assert sum(len(e[0]) for e in counts.counts.entries.values()) == len(total)
+    list(counts.handleExpiredTimer(key, None, None))
+    assert counts.held.get() is None and not counts.counts.entries
