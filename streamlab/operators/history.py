@@ -4,9 +4,9 @@ A plain window function sends all rows of a key to one task. That is fine until
 table, so a ``History`` splits the rows of such *hot* keys into slices along the order column:
 
 1. Rows are counted per key (partial aggregation, only the key is read). Without a key above ``hot_rows`` nothing more is
-   done. Else ``hot_keys`` reads the rows of such keys once more for quantiles of their order column, and more of
-   them the more slices a key needs. There can be at most ``rows / hot_rows`` hot keys; they are broadcast only up to
-   ``MOST_SENT`` cuts in all. The result is checkpointed.
+   done. Else ``hot_keys`` reads the rows of such keys once more for quantiles of their order column, up to four times as
+   many as a key needs slices. There can be at most ``rows / hot_rows`` hot keys. The busiest are broadcast, up to ``MOST_SENT`` cuts
+   in all; the others are joined by key, past which the rows of the busiest are led. The result is checkpointed.
 2. Rows are grouped by (key, slice); keys that are not hot have the single slice NULL. This is the only shuffle of whole
    rows, also when several scans follow each other.
 3. Each slice of a hot key is reduced to one summary row, and what a slice needs to know about its neighbours (running
@@ -22,7 +22,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,10 +30,10 @@ from pyspark.sql import types as T
 from streamlab.session import checkpointed
 
 HOT_ROWS = 1_000_000
-#: Cuts of hot keys that are broadcast (under 20 MB); with more, hot keys are joined by key.
+#: Cuts of hot keys that are broadcast (under 20 MB); the keys beyond are joined by key.
 MOST_SENT = 1_000_000
-#: Quantile cuts come in levels: SEGMENTS parts, each of SEGMENTS parts, and so on, up to LEVELS times.
-SEGMENTS, LEVELS = 16, 3
+#: A key is cut into a power of two of segments by its quantiles, at most 2 ** DEPTH; up to 2 ** SHALLOW few quantiles do.
+SHALLOW, DEPTH = 4, 12
 
 PARTS = "_parts"
 SLICE = "_slice"
@@ -139,42 +138,91 @@ def hot_counts(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
     return counted.select(*keys, F.ceil(F.col("_n") / hot_rows).alias(PARTS))
 
 
-def _levels(parts: int) -> int:
-    return next((n for n in range(1, LEVELS) if SEGMENTS**n >= parts), LEVELS)
+def _depth() -> Column:
+    """A key has 2 ** depth segments: two to four times the slices it needs, or the most there are."""
+    # one more than the digits of (slices - 1) in base two, counted without a logarithm's rounding
+    return F.least(F.length(F.bin(F.col(PARTS) - 1)) + 1, F.lit(DEPTH))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame, levels: int) -> DataFrame:
-    """The ``hot`` keys with the places of their rows in order: ``SEGMENTS ** levels`` quantiles, and both ends."""
-    n = SEGMENTS**levels
-    same = [F.col(f"_h{i}").eqNullSafe(F.col(k)) for i, k in enumerate(keys)]
-    own = hot.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], PARTS)
-    rows = df.select(*keys, position(df, order[0]).alias("_pos")).join(own, same)
-    return rows.groupBy(*keys, PARTS).agg(
-        F.min("_pos").alias("_lo"), F.percentile_approx("_pos", [i / n for i in range(1, n)], 20 * n).alias("_cuts"),
-        F.max("_pos").alias("_hi"))
+def _two_to(depth: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1), depth)
 
 
-def _with_slice(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str], levels: int) -> DataFrame:
+def _busy_depth(sizes: dict[int, int]) -> int:
+    """The least depth from which on all hot keys can be broadcast; ``sizes`` has the number of keys by depth."""
+    sent = 0
+    for depth in sorted(sizes, reverse=True):
+        # a key is counted with its cuts, both ends and itself
+        sent += sizes[depth] * (2**depth + 2)
+        if sent > MOST_SENT:
+            return depth + 1
+    return 0
+
+
+def _beside(rows: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str], busy: int) -> DataFrame:
+    """Rows with the columns of their hot key, NULL for other keys.
+
+    Hot keys at least ``busy`` deep are broadcast. If there are others they are joined by key, and a row that has found its key
+    already goes to a task by its place in the order instead. So no task gets all rows of a busy key, and as
+    the rows are not left partitioned by key alone, slices are dealt out afterwards.
+    """
+    found = rows.join(F.broadcast(hot.where(_depth() >= busy)), list(keys), "left")
+    if not busy:
+        return found
+    added = [c for c in hot.columns if c not in keys]
+    # always 0, but not a literal, which Spark would take out of the join's keys
+    home = (F.col(PARTS) < 1).cast("long")
+    others = hot.where(_depth() < busy).select(
+        *keys, home.alias("_way"), *[F.col(c).alias(f"_by_key{c}") for c in added])
+    way = F.when(F.col(PARTS).isNull(), F.lit(0).cast("long")).otherwise(F.abs(F.xxhash64(*order) % 1_000_000) + 1)
+    both = found.withColumn("_way", way).join(others, [*keys, "_way"], "left")
+    return both.select(*rows.columns, *[F.coalesce(c, f"_by_key{c}").alias(c) for c in added])
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot: DataFrame, busy: int = 0) -> DataFrame:
+    """The ``hot`` keys with the places of their rows in order: the quantiles that cut them, and both ends."""
+    pos, shallow = F.col("_pos"), _depth() <= SHALLOW
+
+    def quantiles(kept: Column, depth: int) -> Column:
+        n = 2**depth
+        return F.percentile_approx(F.when(kept, pos), [i / n for i in range(1, n)], 20 * n)
+
+    rows = _beside(df.select(*dict.fromkeys([*keys, *order]), position(df, order[0]).alias("_pos")), hot, keys, order, busy)
+    places = rows.where(F.col(PARTS).isNotNull()).groupBy(*keys, PARTS).agg(
+        F.min(pos).alias("_lo"), F.max(pos).alias("_hi"),
+        quantiles(shallow, SHALLOW).alias("_few"), quantiles(~shallow, DEPTH).alias("_many"))
+
+    def thinned(cuts: str, depth: int) -> Column:
+        step = _two_to(F.lit(depth) - _depth())
+        return F.filter(cuts, lambda _, i: (i + 1) % step == 0)
+
+    cuts = F.when(shallow, thinned("_few", SHALLOW)).otherwise(thinned("_many", DEPTH))
+    return places.select(*keys, PARTS, "_lo", cuts.alias("_cuts"), "_hi")
+
+
+def _with_slice(df: DataFrame, hot: DataFrame, keys: Sequence[str], order: Sequence[str], deepest: int, busy: int) -> DataFrame:
     """Add the slice: rows of a hot key are cut at quantiles of the key and evenly in between.
 
     The quantiles follow bursts, the even cuts give the number of slices. Rows that tie in the first order column share
-    a slice; those with NULL there come first and have slice -1. Each step is its own projection, so Spark computes it once
-    per row; a level compares with ``SEGMENTS - 1`` cuts, so a row never walks all cuts.
+    a slice; those with NULL there come first and have slice -1. The segment is searched in halves, so a row never walks all
+    cuts; each half is its own projection, so Spark computes it once per row. A place beyond the cuts of a key counts
+    as not passed.
     """
-    pos, n = F.col("_pos"), SEGMENTS**levels
-    parts = F.ceil(F.col(PARTS) / F.lit(n))
-    edges = F.concat(F.array("_lo"), F.col("_cuts"), F.array("_hi"))
-    rows = df.withColumn("_pos", position(df, order[0])).join(hot.withColumn("_edges", edges), list(keys), "left")
-    rows = rows.withColumn("_segment", F.lit(0))
-    for level in range(levels):
-        step = SEGMENTS ** (levels - 1 - level)
-        passed = [(pos >= F.get("_cuts", F.col("_segment") + (i * step - 1))).cast("int") for i in range(1, SEGMENTS)]
-        rows = rows.withColumn("_segment", F.col("_segment") + reduce(lambda x, y: x + y, passed) * step)
-    share = (pos - F.col("_low")) / F.nullif(F.get("_edges", F.col("_segment") + 1) - F.col("_low"), F.lit(0.0))
+    pos, segments = F.col("_pos"), _two_to(_depth())
+    parts = F.ceil(F.col(PARTS) / segments)
+    last = segments - 1
+    rows = _beside(df.withColumn("_pos", position(df, order[0])), hot, keys, order, busy).withColumn("_segment", F.lit(0))
+    for step in (2**i for i in reversed(range(deepest))):
+        passed = F.coalesce(pos >= F.get("_cuts", F.col("_segment") + (step - 1)), F.lit(False))
+        rows = rows.withColumn("_segment", F.col("_segment") + F.when(passed, F.lit(step)).otherwise(F.lit(0)))
+    low = F.when(F.col("_segment") == 0, F.col("_lo")).otherwise(F.get("_cuts", F.col("_segment") - 1))
+    high = F.when(F.col("_segment") == last, F.col("_hi")).otherwise(F.get("_cuts", F.col("_segment")))
+    share = (pos - F.col("_low")) / F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
     within = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * parts), parts - 1)
+    number = F.when(pos.isNull(), F.lit(-1)).otherwise(F.col("_segment") * parts + within)
     return (
-        rows.withColumn("_low", F.get("_edges", F.col("_segment")))
-        .withColumn(SLICE, F.when(F.col(PARTS).isNotNull(), F.coalesce(F.col("_segment") * parts + within, F.lit(-1))))
+        rows.withColumn("_low", low).withColumn("_high", high)
+        .withColumn(SLICE, F.when(F.col(PARTS).isNotNull(), number))
         .select(*df.columns, PARTS, SLICE)
     )
 
@@ -196,20 +244,22 @@ class History:
     def of(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None) -> History:
         """``hot_rows`` sets when a key is split; by default it is ``HOT_ROWS``."""
         counted = hot_counts(df, keys, HOT_ROWS if hot_rows is None else hot_rows)
-        n_hot, most = counted.agg(F.count("*"), F.max(PARTS)).first()
-        if not n_hot:
+        unkeyed = F.lit(False)
+        for k in keys:
+            unkeyed = unkeyed | F.col(k).isNull()
+        found = counted.groupBy(_depth().alias("_depth")).agg(F.count("*").alias("_n"), F.max(unkeyed).alias("_unkeyed")).collect()
+        if not found:
             return History(df, tuple(keys), tuple(order), split=False)
-        levels = _levels(most)
-        # approximate quantiles may differ between two runs, so all branches of the plan read one stored result
-        hot = checkpointed(hot_keys(df, keys, order, counted, levels))
-        if not hot.where(" or ".join(f"`{k}` is null" for k in keys)).isEmpty():
+        if any(r["_unkeyed"] for r in found):
             # a struct of NULLs equals another one, so the joins below also find a hot NULL key
             df = df.withColumn(KEY, F.struct(*keys))
-            hot = hot.withColumn(KEY, F.struct(*keys)).drop(*keys)
+            counted = counted.select(F.struct(*keys).alias(KEY), PARTS)
             keys = [KEY]
-        if n_hot * SEGMENTS**levels <= MOST_SENT:
-            hot = F.broadcast(hot)
-        sliced = _with_slice(df, hot, keys, order, levels)
+        sizes = {r["_depth"]: r["_n"] for r in found}
+        busy = _busy_depth(sizes)
+        # approximate quantiles may differ between two runs, so all branches of the plan read one stored result
+        hot = checkpointed(hot_keys(df, keys, order, counted, busy))
+        sliced = _with_slice(df, hot, keys, order, max(sizes), busy)
         return History(sliced, tuple(keys), tuple(order))
 
     @property

@@ -5,6 +5,7 @@ from datetime import timedelta
 import pyarrow as pa
 import pytest
 from conftest import rows_of
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from streamlab.operators import alerts, distinct, history, late, patterns, rolling, windows
@@ -22,6 +23,7 @@ from streamlab.operators.history import (
     scan,
 )
 from streamlab.operators.windows import Agg
+from streamlab.session import checkpointed
 
 ORDER, HOUR, DAY = ["ts", "event_id"], timedelta(hours=1), timedelta(days=1)
 NEVER = 1_000_000
@@ -116,6 +118,31 @@ def test_many_hot_keys_are_joined_by_key(events, monkeypatch):
     assert rows_of(scan(events, ["user_id"], ORDER, columns(), 5)) == plain
 
 
+def test_a_busy_key_beside_many_hot_keys_is_dealt_out(spark, events, monkeypatch):
+    skewed = events.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, -1).otherwise(F.col("user_id")))
+    plain = rows_of(scan(skewed, ["user_id"], ORDER, columns()))
+    stored = []
+    monkeypatch.setattr(history, "checkpointed", lambda df: stored.append(checkpointed(df)) or stored[-1])
+    monkeypatch.setattr(history, "MOST_SENT", 70)
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        sliced = scan(skewed, ["user_id"], ORDER, columns(), 20)
+        assert rows_of(sliced) == plain
+        in_slice = Window.partitionBy("user_id", "_parts", "_slice").orderBy(*ORDER)
+        dealt = History.of(skewed, ["user_id"], ORDER, 20).sliced.withColumn("n", F.row_number().over(in_slice))
+        found = dealt.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    # one task had all rows of the busiest key, and every key as many cuts as the busiest
+    assert len({r["task"] for r in found if r["user_id"] == -1}) > 1
+    keys, cuts, parts = stored[0].agg(F.count("*"), F.sum(F.size("_cuts")), F.sum("_parts")).first()
+    assert keys > 1 and cuts <= 4 * parts
+
+
 def test_a_null_order_value_in_a_hot_key(events):
     holed = events.withColumn("ts", F.when(F.col("event_id") % 7 != 0, F.col("ts")))
     plain = rows_of(scan(holed, ["user_id"], ORDER, columns()))
