@@ -177,7 +177,8 @@ def count_levels(spans: DataFrame, keys: Sequence[str], slide: timedelta, name:
     cut = cut.withColumn("_stretch", F.explode(F.sequence(_stretch_of("_rise", length), _stretch_of("_fall - 1", length))))
     rise = F.struct(F.greatest("_rise", F.col("_stretch") * length).alias("_at"), F.col("_c").alias("_by"))
     fall = F.struct(F.least("_fall", (F.col("_stretch") + 1) * length).alias("_at"), (-F.col("_c")).alias("_by"))
-    changes = cut.select(*keys, "_stretch", F.inline(F.array(rise, fall)))
+    # dealt out by stretch at once: neither the sums nor the levels need another shuffle
+    changes = cut.select(*keys, "_stretch", F.inline(F.array(rise, fall))).repartition(*keys, "_stretch")
     changes = changes.groupBy(*keys, "_stretch", "_at").agg(F.sum("_by").alias("_by"))
     in_time = Window.partitionBy(*keys, "_stretch").orderBy("_at")
     levels = changes.select(

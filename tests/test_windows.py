@@ -159,3 +159,10 @@ def test_hop_deals_panes_to_tasks_by_their_copies(spark, monkeypatch):
         got = windows.hop(*args)
         assert got.rdd.getNumPartitions() == -(-len(rows) * -(-size // slide) // 1000)
         assert rows_of(got) == rows_of(windows.hop_plain(*args)) and got.schema["window_start"].dataType == df.schema["ts"].dataType
+
+
+def test_sliding_counts_are_shuffled_twice(events):
+    counted = windows.hop_count(events, ["user_id"], "ts", timedelta(hours=1), timedelta(minutes=5))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    # by span, where equal ones meet, and by stretch of time; sums of changes and levels took one each before
+    assert plan.count("Exchange hashpartitioning") == 2
